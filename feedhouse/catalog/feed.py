@@ -60,7 +60,7 @@ def line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("place"), F.concat(text(k), F.lit(","), "c_name", end).alias("line")
     )
     path = write_files(lines, "key,name", "scan")
-    return scan_lines(spark, path).select(F.col("value").alias("line"))
+    return scan_lines(spark.read, path).select(F.col("value").alias("line"))
 
 
 @query("row_numbers", """

@@ -75,7 +75,11 @@ def surrogate_keys(emails: DataFrame, first_free: int) -> DataFrame:
 
 
 def merge_customers(
-    current: DataFrame | None, incoming: DataFrame, run_id: str, run_at: dt.datetime
+    current: DataFrame | None,
+    incoming: DataFrame,
+    run_id: str,
+    run_at: dt.datetime,
+    first_free: int | None = None,
 ) -> DataFrame:
     """The dimension after the upsert of `incoming` (one row per email, see `one_per_email`).
 
@@ -85,7 +89,8 @@ def merge_customers(
     stamp = stamp_literal(run_at)
     if current is None:
         current = incoming.sparkSession.createDataFrame([], DIM_SCHEMA)
-    first_free = (current.agg(F.max("customer_key")).first()[0] or 0) + 1
+    if first_free is None:
+        first_free = (current.agg(F.max("customer_key")).first()[0] or 0) + 1
     arrived = F.col("new.n").isNotNull()
 
     def updated(name: str) -> Column:

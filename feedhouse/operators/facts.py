@@ -63,7 +63,10 @@ def fact_rows(
     """
     countries = F.broadcast(dim_country.select("country_code", "country_key"))
     file = F.lit(source_file) if source_file is not None else F.col("_sourceFile")
-    coded = customers.withColumns({"contact_email": F.col("email"), "country_code": country_code(customers)})
+    place = [c for c in ("_sourceFile", "_rowNumber", "_rowOrder") if c in customers.columns]
+    coded = customers.select(
+        *place, F.col("email").alias("contact_email"), country_code(customers).alias("country_code")
+    )
     stamp = stamp_literal(run_at)
     return (
         lookup(coded, keys, "contact_email", order, how="inner", **how)

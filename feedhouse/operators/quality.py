@@ -154,6 +154,7 @@ def null_profile(rows: DataFrame) -> DataFrame:
 
 
 def profile_from_counts(counts: DataFrame) -> DataFrame:
+    """The profile for one row of `_total` and one count per expected field."""
     pairs = ", ".join(f"'{f}', coalesce(`{f}`, 0)" for f in EXPECTED_FIELDS)
     long = counts.selectExpr(
         "_total", f"stack({len(EXPECTED_FIELDS)}, {pairs}) as (field, null_count)"

@@ -1,8 +1,8 @@
-"""Dense running numbers over a whole frame, without putting it in one partition."""
+"""Running numbers over a whole frame, without putting it in one partition."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedhouse.sources.tables import settle
@@ -25,3 +25,12 @@ def dense_numbers(df: DataFrame, order: str, name: str, label: str = "ranks") ->
     return numbered.join(F.broadcast(starts), "_part").select(
         *df.columns, (F.col("_start") + F.col("_index") + 1).cast("bigint").alias(name)
     )
+
+
+def growing_key(first_free: int) -> Column:
+    """A key for rows about to be written: unique, above all earlier keys, with gaps between tasks.
+
+    Settled once the rows are written. 2^33 numbers go to each task, which leaves room for ten thousand
+    loads of a hundred thousand tasks.
+    """
+    return F.monotonically_increasing_id() + F.lit(first_free)

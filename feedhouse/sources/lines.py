@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from feedhouse.functions.text import is_blank
 from feedhouse.session import scratch_path
@@ -23,10 +24,10 @@ BROADCAST_BLOCKS = 1_000_000
 LINE_BITS = 40
 
 
-def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def scan_lines(reader: DataFrameReader | DataStreamReader, paths: str | list[str]) -> DataFrame:
     """Non-blank lines with their file and block; LF, CRLF and CR end a line."""
     return (
-        spark.read.text(paths)
+        reader.text(paths)
         .select(
             "value",
             F.col("_metadata.file_path").alias("_sourceFile"),
@@ -52,14 +53,15 @@ def land_lines(
 ) -> Landing:
     """Write the scanned lines to Parquet, parsed into columns when `parse` is given."""
     target = target or scratch_path(spark, "landing")
-    lines = scan_lines(spark, paths)
+    lines = scan_lines(spark.read, paths)
     lines = parse(lines) if parse else lines
     lines.write.option("maxRecordsPerFile", 0).parquet(f"{target}/lines")
-    return open_landing(spark, f"{target}/lines", f"{target}/blocks")
+    return open_landing(spark, [f"{target}/lines"], f"{target}/blocks")
 
 
-def open_landing(spark: SparkSession, lines_path: str, blocks_path: str) -> Landing:
-    lines = spark.read.parquet(lines_path).withColumn("_line", F.col("_metadata.row_index"))
+def open_landing(spark: SparkSession, lines_paths: list[str], blocks_path: str | None = None) -> Landing:
+    """Landed lines of some folders or files; the block table is written anew."""
+    lines = spark.read.parquet(*lines_paths).withColumn("_line", F.col("_metadata.row_index"))
     blocks = lines.groupBy("_sourceFile", "_block").agg(
         F.min("_line").alias("_first"), F.count(F.lit(1)).alias("_count")
     )
@@ -79,6 +81,14 @@ def file_sizes(landing: Landing) -> DataFrame:
     return landing.blocks.frame.groupBy("_sourceFile").agg(F.sum("_count").alias("lines"))
 
 
+def head_lines(landing: Landing) -> DataFrame:
+    """The first line of each file, read from the blocks that can hold one."""
+    firsts = landing.blocks.frame.groupBy("_sourceFile").agg(F.min("_block").alias("_block"))
+    bound = firsts.agg(F.max("_block")).first()[0] or 0
+    heads = Landing(landing.lines.where(F.col("_block") <= bound), landing.blocks)
+    return number_lines(heads).where(F.col("_rowNumber") == 1)
+
+
 def number_lines(landing: Landing) -> DataFrame:
     """Add `_rowNumber` (1-based in its file) and `_rowOrder` (file order, then row number)."""
     starts = landing.blocks.frame.drop("_count")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from feedhouse.functions.numbers import count_where
 from feedhouse.functions.text import WHITE_SPACE
-from feedhouse.sources.lines import Landing, file_sizes, land_lines, number_lines, scan_lines
+from feedhouse.sources.lines import Landing, file_sizes, head_lines, land_lines, number_lines, scan_lines
+from feedhouse.sources.tables import settle
 
 ROW_NUMBER = "_rowNumber"
 _MARK, _ESC = "\x01", "\x02"
@@ -50,7 +51,7 @@ def _split_quoted(line: Column) -> Column:
 
 def read_header(spark: SparkSession, paths: str | list[str]) -> list[str]:
     """Raw names from the first non-blank line; a scan that stops at the first row."""
-    first = scan_lines(spark, paths).select(split_fields(F.col("value")).alias("names")).first()
+    first = scan_lines(spark.read, paths).select(split_fields(F.col("value")).alias("names")).first()
     if first is None:
         raise ValueError("a feed must have a header line and at least one data line")
     return list(first.names)
@@ -98,42 +99,62 @@ def parse_summary(parsed: DataFrame, header: list[str]) -> DataFrame:
 
 @dataclass
 class Feed:
-    """A landed feed: raw header, well-formed rows and parse errors, both with exact row numbers."""
+    """A feed with its raw header, well-formed rows and parse errors, both with exact row numbers."""
 
     header: list[str]
     rows: DataFrame
     parse_errors: DataFrame
-    landing: Landing
 
 
-def read_feed(spark: SparkSession, paths: str | list[str], target: str | None = None) -> Feed:
-    """Land feed files that share one header, each numbered by itself.
+def _parse_columns(lines: DataFrame, header: list[str]) -> DataFrame:
+    """`value` replaced by one column per field, the field count, and whether the line equals the header."""
+    others = [c for c in lines.columns if c != "value"]
+    fields = F.col("_fields")
+    is_header = fields == F.array(*[F.lit(name) for name in header])
+    return lines.select(split_fields(F.col("value")).alias("_fields"), *others).select(
+        *pick_fields(fields, header), F.size(fields).alias("_found"), is_header.alias("_isHeader"), *others
+    )
 
-    Fields become Parquet columns at once, so later passes read only the columns they need.
-    """
-    header = read_header(spark, paths)
-    places = resolve_header(header)
-
-    def parse(lines: DataFrame) -> DataFrame:
-        fields = F.col("_fields")
-        is_header = fields == F.array(*[F.lit(name) for name in header])
-        return lines.select(split_fields(F.col("value")).alias("_fields"), "_sourceFile", "_block").select(
-            *pick_fields(fields, header), F.size(fields).alias("_found"), is_header.alias("_isHeader"),
-            "_sourceFile", "_block",
-        )
 
-    landing = land_lines(spark, paths, parse, target)
-    sizes = file_sizes(landing).where("lines < 2").limit(5).collect()
-    if sizes:
-        raise ValueError(f"no data line in {[r._sourceFile for r in sizes]}")
-    lines = number_lines(landing)
-    odd = lines.where((F.col(ROW_NUMBER) == 1) & ~F.col("_isHeader")).select("_sourceFile").limit(5).collect()
-    if odd:
-        raise ValueError(f"files with another header need a load of their own: {[r._sourceFile for r in odd]}")
+def _as_feed(lines: DataFrame, header: list[str]) -> Feed:
     data = lines.where(F.col(ROW_NUMBER) > 1)
     good = F.col("_found") == len(header)
-    rows = data.where(good).select("_sourceFile", ROW_NUMBER, "_rowOrder", *places)
+    rows = data.where(good).select("_sourceFile", ROW_NUMBER, "_rowOrder", *resolve_header(header))
     errors = data.where(~good).select(
         "_sourceFile", ROW_NUMBER, mismatch_text(F.col(ROW_NUMBER), F.col("_found"), len(header)).alias("message")
     )
-    return Feed(header, rows, errors, landing)
+    return Feed(header, rows, errors)
+
+
+def _check_heads(other: DataFrame) -> None:
+    odd = [r._sourceFile for r in other.select("_sourceFile").limit(5).collect()]
+    if odd:
+        raise ValueError(f"files with another header need a load of their own: {odd}")
+
+
+def _check_sizes(landing: Landing) -> None:
+    empty = file_sizes(landing).where("lines < 2").limit(5).collect()
+    if empty:
+        raise ValueError(f"a feed must have a header line and at least one data line: {[r._sourceFile for r in empty]}")
+
+
+def read_feed(spark: SparkSession, paths: str | list[str], target: str | None = None) -> Feed:
+    """Land feed files that share one header, each numbered by itself.
+
+    Fields become Parquet columns at once, so later passes read only the columns they need.
+    """
+    header = read_header(spark, paths)
+    landing = land_lines(spark, paths, lambda lines: _parse_columns(lines, header), target)
+    _check_sizes(landing)
+    _check_heads(head_lines(landing).where(~F.col("_isHeader")))
+    return _as_feed(number_lines(landing), header)
+
+
+def feed_from_landing(landing: Landing, target: str | None = None) -> Feed:
+    """The feed of lines landed as raw text, written once more as columns."""
+    _check_sizes(landing)
+    heads = head_lines(landing)
+    first = heads.first().value
+    _check_heads(heads.where(F.col("value") != first))
+    header = list(heads.sparkSession.range(1).select(split_fields(F.lit(first)).alias("names")).first().names)
+    return _as_feed(settle(_parse_columns(number_lines(landing), header), "feed", target).frame, header)
