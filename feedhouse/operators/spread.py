@@ -46,7 +46,8 @@ def lookup(
         return left.join(keyed.frame, key, how)
 
     hot = keyed.frame.where(F.col("n") > limit).select(key, F.struct(*figures).alias(_HOT))
-    cold = keyed.frame.where(F.col("n") <= limit).withColumn(_SALT, F.lit(0).cast("bigint"))
+    # Zero, but not as a literal: the optimizer would fold that out of the join key and undo the spreading.
+    cold = keyed.frame.where(F.col("n") <= limit).withColumn(_SALT, F.col("n").cast("bigint").bitwiseAND(F.lit(0)))
     own: Column = F.xxhash64(order).bitwiseOR(F.lit(1))
     tagged = left.join(F.broadcast(hot), key, "left").withColumn(
         _SALT, F.when(F.col(key).isNull() | F.col(_HOT).isNotNull(), own).otherwise(F.lit(0).cast("bigint"))
