@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from feedhouse.functions.text import country_prefix, empty_to_null
 from feedhouse.functions.times import stamp_literal
 from feedhouse.operators.ranks import dense_numbers
+from feedhouse.operators.spread import lookup, weight_stats
+from feedhouse.sources.tables import settle
 
 # Replaced by every load of a known email; tax_id, first_seen_at, is_active and the key are kept.
 REPLACED = [
@@ -54,18 +56,27 @@ def dimension_columns(customers: DataFrame) -> DataFrame:
     )
 
 
-def one_per_email(incoming: DataFrame, order: str = "_rowNumber") -> DataFrame:
+def one_per_email(incoming: DataFrame, order: str = "_rowNumber", **how) -> DataFrame:
     """The net effect of upserting the rows in order: the last row's values, the first row's tax id.
 
-    `n` counts the rows. Combined before the shuffle, so a repeated email is cheap.
+    `n` counts the rows. Only figures are grouped; the rows themselves are not shuffled unless very many
+    emails repeat, and a repeated email is combined before anything moves.
     """
-    last = F.max_by(F.struct(*REPLACED), F.col(order)).alias("_last")
-    first_tax = F.min_by(F.struct("tax_id"), F.col(order)).alias("_first")
-    return (
-        incoming.groupBy("contact_email")
-        .agg(last, first_tax, F.count(F.lit(1)).alias("n"))
-        .select("contact_email", "_last.*", F.col("_first.tax_id").alias("tax_id"), "n")
+    columns = ["contact_email", *REPLACED, "tax_id"]
+    counts = incoming.groupBy("contact_email").agg(
+        F.min(order).alias("_firstRow"), F.max(order).alias("_lastRow"), F.count(F.lit(1)).alias("n")
     )
+    repeats = settle(counts.where("n > 1"), "repeated-emails", **weight_stats())
+    if not repeats.rows:
+        return incoming.select(*columns, F.lit(1).cast("bigint").alias("n"))
+    marked = lookup(incoming.select(order, *columns), repeats, "contact_email", order, **how)
+    firsts = marked.where(F.col(order) == F.col("_firstRow")).select(
+        "contact_email", F.col("tax_id").alias("_firstTax"), F.lit(1).cast("bigint").alias("n")
+    )
+    lasts = marked.where(F.col("n").isNull() | (F.col(order) == F.col("_lastRow"))).withColumnRenamed("n", "_rows")
+    taxed = lookup(lasts, settle(firsts, "first-tax-ids", **weight_stats()), "contact_email", order, **how)
+    tax_id = F.when(F.col("_rows").isNull(), F.col("tax_id")).otherwise(F.col("_firstTax")).alias("tax_id")
+    return taxed.select(*columns[:-1], tax_id, F.coalesce("_rows", F.lit(1)).alias("n"))
 
 
 def surrogate_keys(emails: DataFrame, first_free: int) -> DataFrame:
@@ -104,7 +115,9 @@ def merge_customers(
 
     names = [f.split()[0] for f in DIM_SCHEMA.split(", ")]
     kept = current.alias("old").join(incoming.alias("new"), "contact_email", "left").select(*map(updated, names))
-    fresh = incoming.join(current.select("contact_email"), "contact_email", "left_anti")
+    # The dimension is cut to the arriving emails first: a small load then moves no part of a large dimension.
+    known = current.select("contact_email").join(incoming.select("contact_email"), "contact_email", "left_semi")
+    fresh = incoming.join(known, "contact_email", "left_anti")
     keyed = dense_numbers(fresh, "contact_email", "_rank", "new-customers")
     added = keyed.withColumns({
         "customer_key": F.col("_rank") + (first_free - 1),

@@ -15,7 +15,7 @@ from feedhouse.functions.numbers import count_where, half_up, number_text
 from feedhouse.functions.text import (
     compact_texts, content_hash, is_blank, is_email, is_phone, lowercase, trimmed, uppercase,
 )
-from feedhouse.operators.spread import lookup, weight_stats
+from feedhouse.operators.spread import BROADCAST_ROWS, lookup, weight_stats
 from feedhouse.sources.tables import Settled, settle
 
 
@@ -40,16 +40,22 @@ class Repeats:
     emails: Settled
 
 
-def hash_profile(keyed: DataFrame, history: DataFrame | None, order: str) -> DataFrame:
+def hash_profile(
+    keyed: DataFrame, history: DataFrame | None, order: str, feed_rows: int | None = None
+) -> DataFrame:
     """First place, count and loaded flag of each hash that occurs twice or was loaded before.
 
     Rows are combined per hash before anything is shuffled, and history is joined to the combined rows,
-    so a hash held by any share of the rows costs one record per input partition.
+    so a hash held by any share of the rows costs one record per input partition. A feed known to be small
+    (`feed_rows`) is sent to the history instead, which then is read but not moved.
     """
     firsts = keyed.groupBy("_sourceHash").agg(F.min(order).alias("_firstRow"), F.count(F.lit(1)).alias("n"))
     if history is None:
         return firsts.where("n > 1").withColumn("_loaded", F.lit(False))
-    loaded = history.select(F.col("source_hash").alias("_sourceHash")).distinct().withColumn("_loaded", F.lit(True))
+    staged = history.select(F.col("source_hash").alias("_sourceHash"))
+    if feed_rows is not None and feed_rows <= BROADCAST_ROWS:
+        staged = staged.join(F.broadcast(keyed.select("_sourceHash").distinct()), "_sourceHash", "left_semi")
+    loaded = staged.distinct().withColumn("_loaded", F.lit(True))
     return (
         firsts.join(loaded, "_sourceHash", "left")
         .withColumn("_loaded", F.coalesce("_loaded", F.lit(False)))
@@ -67,16 +73,20 @@ def email_profile(keyed: DataFrame, order: str) -> DataFrame:
     )
 
 
-def find_repeated_rows(keyed: DataFrame, history: DataFrame | None = None, order: str = "_rowNumber") -> Settled:
-    return settle(hash_profile(keyed, history, order), "hashes", **weight_stats())
+def find_repeated_rows(
+    keyed: DataFrame, history: DataFrame | None = None, order: str = "_rowNumber", feed_rows: int | None = None
+) -> Settled:
+    return settle(hash_profile(keyed, history, order, feed_rows), "hashes", **weight_stats())
 
 
 def find_repeated_emails(keyed: DataFrame, order: str = "_rowNumber") -> Settled:
     return settle(email_profile(keyed, order), "emails", **weight_stats())
 
 
-def find_repeats(keyed: DataFrame, history: DataFrame | None = None, order: str = "_rowNumber") -> Repeats:
-    return Repeats(find_repeated_rows(keyed, history, order), find_repeated_emails(keyed, order))
+def find_repeats(
+    keyed: DataFrame, history: DataFrame | None = None, order: str = "_rowNumber", feed_rows: int | None = None
+) -> Repeats:
+    return Repeats(find_repeated_rows(keyed, history, order, feed_rows), find_repeated_emails(keyed, order))
 
 
 def flag_duplicate_rows(keyed: DataFrame, hashes: Settled, order: str = "_rowNumber", **how) -> DataFrame:
@@ -115,15 +125,16 @@ def enrich(
     history: DataFrame | None = None,
     order: str = "_rowNumber",
     country_codes: Sequence[str] = COUNTRY_CODES,
-    repeats: Repeats | None = None,
+    feed_rows: int | None = None,
     **how,
 ) -> DataFrame:
     """Add `_sourceHash`, `_qualityIssues`, `_isClean` and the flags `_loaded`, `_duplicateRow`.
 
-    `history` holds the column `source_hash` of rows loaded before.
+    `history` holds the column `source_hash` of rows loaded before; `feed_rows` is the number of rows where
+    it is known.
     """
     keyed = with_keys(rows)
-    repeats = repeats or find_repeats(keyed, history, order)
+    repeats = find_repeats(keyed, history, order, feed_rows)
     flagged = flag_duplicate_rows(keyed, repeats.hashes, order, **how)
     flagged = flag_duplicate_emails(flagged, repeats.emails, order, **how)
     issues = compact_texts(

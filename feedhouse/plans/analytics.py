@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedhouse.functions.numbers import count_where, percent, rounded_ratio
@@ -46,36 +46,37 @@ def daily_import_volume(facts: DataFrame, dates: DataFrame, since: dt.date | Non
 def customer_by_country(facts: DataFrame, customers: DataFrame, countries: DataFrame) -> DataFrame:
     """Customers and imports per country, with one row for facts without a known country.
 
-    Facts are combined per country key and customer, so that a customer counts as one row per country and
-    no distinct count is left to do. The country dimension is bounded by its two-letter code.
+    The country dimension is bounded by its two-letter code and joined on the map side. Facts are then
+    combined per country and customer, so that a customer is one row per country: no distinct count is
+    left to do, and neither a large customer nor a large country reaches the customer join as many rows.
     """
-    per_pair = facts.groupBy("country_key", "customer_key").agg(
-        F.count("import_key").alias("imports"), count_where(F.col("was_valid")).alias("valid")
-    )
-    named = per_pair.join(
-        F.broadcast(countries.select("country_key", "country_name", "country_code", "region")), "country_key", "left"
-    )
     names = ["country_name", "country_code", "region"]
-    # Several unknown country keys end in one group: combine again, so that a customer still counts once.
-    per_customer = named.groupBy(*names, "customer_key").agg(
-        F.sum("imports").alias("imports"), F.sum("valid").alias("valid")
+    # Countries count as one when all their names agree; facts of unknown countries share the null group.
+    groups = F.broadcast(
+        countries.select("country_key", *names, F.min("country_key").over(Window.partitionBy(*names)).alias("group_key"))
+    )
+    per_customer = (
+        facts.join(groups.select("country_key", "group_key"), "country_key", "left")
+        .groupBy("group_key", "customer_key")
+        .agg(F.count("import_key").alias("imports"), count_where(F.col("was_valid")).alias("valid"))
     )
     known = customers.select("customer_key", F.lit(True).alias("known"))
-    return (
+    per_country = (
         per_customer.join(known, "customer_key", "left")
-        .groupBy(*names)
+        .groupBy("group_key")
         .agg(
             F.count("known").alias("unique_customers"),
             F.sum("imports").alias("total_imports"),
             F.sum("valid").alias("valid_imports"),
         )
-        .select(
-            F.coalesce("country_name", F.lit("Unknown")).alias("country"),
-            F.coalesce("country_code", F.lit("XX")).alias("country_code"),
-            F.coalesce("region", F.lit("Unknown")).alias("region"),
-            "unique_customers", "total_imports", "valid_imports",
-            percent(F.col("valid_imports"), F.col("total_imports")).alias("validity_rate"),
-        )
+    )
+    named = groups.where(F.col("country_key") == F.col("group_key")).select("group_key", *names)
+    return per_country.join(named, "group_key", "left").select(
+        F.coalesce("country_name", F.lit("Unknown")).alias("country"),
+        F.coalesce("country_code", F.lit("XX")).alias("country_code"),
+        F.coalesce("region", F.lit("Unknown")).alias("region"),
+        "unique_customers", "total_imports", "valid_imports",
+        percent(F.col("valid_imports"), F.col("total_imports")).alias("validity_rate"),
     )
 
 

@@ -102,7 +102,7 @@ def assess(
     feed: Feed, loaded: DataFrame | None, validation: dict | None, country_codes: Sequence[str], path: str
 ) -> Settled:
     """All rows with errors, issues and flags, written once; every count of the reports is taken on the way."""
-    enriched = quality.enrich(feed.rows, loaded, ORDER, country_codes)
+    enriched = quality.enrich(feed.rows, loaded, ORDER, country_codes, feed.lines)
     assessed = enriched.withColumn("errors", rules.error_list(feed.rows.columns, validation))
     figures = {
         "valid": count_where(F.size("errors") == 0),

@@ -74,7 +74,7 @@ def open_landing(spark: SparkSession, lines_paths: list[str], blocks_path: str |
         (F.coalesce(F.sum("_count").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
         (F.dense_rank().over(Window.orderBy("_sourceFile")) - 1).cast("bigint").alias("_file"),
     )
-    return Landing(lines, settle(starts, "blocks", blocks_path))
+    return Landing(lines, settle(starts, "blocks", blocks_path, lines=F.sum("_count")))
 
 
 def file_sizes(landing: Landing) -> DataFrame:

@@ -99,11 +99,15 @@ def parse_summary(parsed: DataFrame, header: list[str]) -> DataFrame:
 
 @dataclass
 class Feed:
-    """A feed with its raw header, well-formed rows and parse errors, both with exact row numbers."""
+    """A feed with its raw header, well-formed rows and parse errors, both with exact row numbers.
+
+    `lines` counts all of them, headers included.
+    """
 
     header: list[str]
     rows: DataFrame
     parse_errors: DataFrame
+    lines: int
 
 
 def _parse_columns(lines: DataFrame, header: list[str]) -> DataFrame:
@@ -116,14 +120,14 @@ def _parse_columns(lines: DataFrame, header: list[str]) -> DataFrame:
     )
 
 
-def _as_feed(lines: DataFrame, header: list[str]) -> Feed:
+def _as_feed(lines: DataFrame, header: list[str], count: int) -> Feed:
     data = lines.where(F.col(ROW_NUMBER) > 1)
     good = F.col("_found") == len(header)
     rows = data.where(good).select("_sourceFile", ROW_NUMBER, "_rowOrder", *resolve_header(header))
     errors = data.where(~good).select(
         "_sourceFile", ROW_NUMBER, mismatch_text(F.col(ROW_NUMBER), F.col("_found"), len(header)).alias("message")
     )
-    return Feed(header, rows, errors)
+    return Feed(header, rows, errors, count)
 
 
 def _check_heads(other: DataFrame) -> None:
@@ -147,7 +151,7 @@ def read_feed(spark: SparkSession, paths: str | list[str], target: str | None =
     landing = land_lines(spark, paths, lambda lines: _parse_columns(lines, header), target)
     _check_sizes(landing)
     _check_heads(head_lines(landing).where(~F.col("_isHeader")))
-    return _as_feed(number_lines(landing), header)
+    return _as_feed(number_lines(landing), header, landing.blocks.stats["lines"])
 
 
 def feed_from_landing(landing: Landing, target: str | None = None) -> Feed:
@@ -157,4 +161,5 @@ def feed_from_landing(landing: Landing, target: str | None = None) -> Feed:
     first = heads.first().value
     _check_heads(heads.where(F.col("value") != first))
     header = list(heads.sparkSession.range(1).select(split_fields(F.lit(first)).alias("names")).first().names)
-    return _as_feed(settle(_parse_columns(number_lines(landing), header), "feed", target).frame, header)
+    parsed = settle(_parse_columns(number_lines(landing), header), "feed", target)
+    return _as_feed(parsed.frame, header, parsed.rows)

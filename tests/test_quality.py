@@ -162,3 +162,21 @@ def test_validation_rules(spark):
     absent = rules.validate(data.drop("company_name", "contact_first_name")).first().errors
     assert absent[0] == 'Missing required field: "company_name"' and len(absent) == 2
     assert rules.validate(data, {"other": ["city"]}).first().errors == []
+
+
+def test_known_figures_of_the_test_feed(spark):
+    """Figures worked out beforehand for the feed at scale factor 0.01."""
+    from feedhouse.catalog.relations import customer_feed
+
+    feed = customer_feed(spark, "/root/testdata/sf0.01")
+    enriched = quality.enrich(feed)
+    assert tuple(quality.quality_summary(enriched).first())[:4] == (1515, 1077, 438, 15)
+    kinds = enriched.select(F.explode("_qualityIssues").alias("i")).groupBy(F.split("i", ":")[0].alias("k")).count()
+    assert {r.k: r["count"] for r in kinds.collect()} == {
+        "DUPLICATE_ROW": 15, "DUPLICATE_EMAIL": 91, "NULL_REQUIRED": 63, "INVALID_COUNTRY": 299,
+        "INVALID_PHONE": 40, "INVALID_EMAIL_FORMAT": 34,
+    }
+    rates = {r.field: r.null_pct for r in quality.null_profile(feed).collect()}
+    assert (rates["phone_number"], rates["country"], rates["contact_email"], rates["company_name"]) == (
+        71.49, 20.92, 2.18, 1.98,
+    )
