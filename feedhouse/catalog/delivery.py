@@ -145,12 +145,12 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = history.new_rows(enriched_feed(spark, sf_dir)).agg(
         F.count(F.lit(1)).alias("records_new"), F.count(F.when(F.col("_isClean"), 1)).alias("records_loaded")
     )
+    rates = delivery.delivery_summary(outcomes(spark, sf_dir))
     return runs.run_metrics(
         parse_summary(parsed, rel.FEED_FIELDS),
         rules.validation_summary(rules.validate(rows)),
         new,
-        new,
-        delivery.delivery_summary(outcomes(spark, sf_dir)),
+        rates,
     )
 
 

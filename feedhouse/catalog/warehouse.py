@@ -18,6 +18,7 @@ from feedhouse.operators.mapping import map_rows
 from feedhouse.operators.runs import one_row
 from feedhouse.operators.spread import key_counts
 from feedhouse.sources import seeds
+from feedhouse.sources.tables import settle
 
 
 
@@ -110,9 +111,9 @@ def current_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def valid_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mapped valid rows; an email can come twice."""
+    """Mapped valid rows, written once because several steps read them; an email can come twice."""
     valid = rules.valid_rows(rules.validate(rel.customer_feed(spark, sf_dir)))
-    return map_rows(valid, run_at=RUN_AT).customers
+    return settle(map_rows(valid, run_at=RUN_AT).customers, "customers").frame
 
 
 _VALID_SQL = "select * from mapped_feed where row_number in (select row_number from checked_feed where errors = '')"
@@ -152,7 +153,8 @@ def _merged_sql() -> str:
 
 @query("dim_upsert", _merged_sql())
 def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    incoming = dimension.one_per_email(dimension.dimension_columns(valid_customers(spark, sf_dir)))
+    arriving = dimension.one_per_email(dimension.dimension_columns(valid_customers(spark, sf_dir)))
+    incoming = settle(arriving, "incoming").frame
     merged = dimension.merge_customers(current_dimension(spark, sf_dir), incoming, RUN_ID, RUN_AT)
     return merged.withColumns({c: plain(c) for c in ("first_seen_at", "last_updated_at")})
 
@@ -254,10 +256,10 @@ def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from issue_feed""")
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written by a load of the clean new rows; rows a conflict rule ignores are not counted."""
-    enriched = enriched_feed(spark, sf_dir)
+    enriched = settle(enriched_feed(spark, sf_dir), "rows").frame
     new = history.new_rows(enriched)
-    customers = map_rows(quality.clean_rows(new), run_at=RUN_AT).customers
-    incoming = dimension.one_per_email(dimension.dimension_columns(customers))
+    customers = settle(map_rows(quality.clean_rows(new), run_at=RUN_AT).customers, "customers").frame
+    incoming = settle(dimension.one_per_email(dimension.dimension_columns(customers)), "incoming").frame
     merged = dimension.merge_customers(current_dimension(spark, sf_dir), incoming, RUN_ID, RUN_AT)
     keys = facts.settle_keys(
         facts.with_delivery(facts.email_keys(merged, incoming.select("contact_email", "n")), None)

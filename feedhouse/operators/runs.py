@@ -109,14 +109,12 @@ def one_row(**frames: DataFrame) -> DataFrame:
     return spark.range(1).select(*parts).select(*[f"{name}.*" for name in frames])
 
 
-def run_metrics(parse: DataFrame, validation: DataFrame, new_count: DataFrame, loaded: DataFrame,
-                delivery: DataFrame) -> DataFrame:
-    """The metrics row of a run from its one-row counts."""
+def run_metrics(parse: DataFrame, validation: DataFrame, new_rows: DataFrame, delivery: DataFrame) -> DataFrame:
+    """The metrics row of a run from its one-row counts; `new_rows` has `records_new` and `records_loaded`."""
     merged = one_row(
         parse=parse.select("rows_in_file", "total_rows", "parse_errors"),
         validation=validation.select("valid", "invalid"),
-        new=new_count.select("records_new"),
-        loaded=loaded.select("records_loaded"),
+        new=new_rows.select("records_new", "records_loaded"),
         delivery=delivery.select(F.col("total").alias("sent"), "success", "failed"),
     )
     rate = F.when(

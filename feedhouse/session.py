@@ -23,6 +23,8 @@ def build_session(app_name: str = "feedhouse", **conf: str) -> SparkSession:
         "spark.sql.parquet.compression.codec": "zstd",
         # Shuffles carry content hashes as hex text, which zstd halves and the default codec does not.
         "spark.io.compression.codec": "zstd",
+        # Remembering the call site of every expression costs several driver calls for each one.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
