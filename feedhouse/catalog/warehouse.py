@@ -16,7 +16,7 @@ from feedhouse.functions.text import empty_to_null
 from feedhouse.operators import checks, delivery, dimension, facts, history, quality, rules, staging
 from feedhouse.operators.mapping import map_rows
 from feedhouse.operators.runs import one_row
-from feedhouse.operators.spread import key_counts
+from feedhouse.operators.spread import key_counts, settle_keyed
 from feedhouse.sources import seeds
 from feedhouse.sources.tables import settle
 
@@ -76,7 +76,8 @@ def mark_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ended = rel.pipeline_runs(spark, sf_dir).where(F.col("status").isin("success", "partial")).select(
         "run_id", end_stamp().alias("processed_at")
     )
-    return staging.with_processed(staged, ended).select("row_number", "is_processed", "processed_at")
+    marked = staging.with_processed(staged, ended, order="row_number")
+    return marked.select("row_number", "is_processed", "processed_at")
 
 
 def end_stamp() -> Column:
@@ -205,7 +206,7 @@ def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = valid_customers(spark, sf_dir)
     counted = key_counts(customers.select(F.col("email").alias("contact_email")), "contact_email")
     keys = facts.email_keys(current_dimension(spark, sf_dir), counted)
-    settled = facts.settle_keys(facts.with_delivery(keys, kept_outcomes(spark, sf_dir)))
+    settled = settle_keyed(facts.with_delivery(keys, kept_outcomes(spark, sf_dir)), "customer-keys")
     rows = facts.fact_rows(customers, settled, rel.dim_country(spark, sf_dir), RUN_ID, RUN_AT, "feed.csv")
     return rows.withColumn("imported_at", plain("imported_at"))
 
@@ -261,9 +262,8 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = settle(map_rows(quality.clean_rows(new), run_at=RUN_AT).customers, "customers").frame
     incoming = settle(dimension.one_per_email(dimension.dimension_columns(customers)), "incoming").frame
     merged = dimension.merge_customers(current_dimension(spark, sf_dir), incoming, RUN_ID, RUN_AT)
-    keys = facts.settle_keys(
-        facts.with_delivery(facts.email_keys(merged, incoming.select("contact_email", "n")), None)
-    )
+    per_email = facts.email_keys(merged, incoming.select("contact_email", "n"))
+    keys = settle_keyed(facts.with_delivery(per_email, None), "customer-keys")
     rows = facts.fact_rows(customers, keys, rel.dim_country(spark, sf_dir), RUN_ID, RUN_AT, "feed.csv")
 
     def counted(df: DataFrame, name: str) -> DataFrame:

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from feedhouse.functions.text import country_prefix, empty_to_null
 from feedhouse.functions.times import stamp_literal
 from feedhouse.operators.ranks import dense_numbers
-from feedhouse.operators.spread import lookup, weight_stats
-from feedhouse.sources.tables import settle
+from feedhouse.operators.spread import lookup, settle_keyed
 
 # Replaced by every load of a known email; tax_id, first_seen_at, is_active and the key are kept.
 REPLACED = [
@@ -66,7 +65,7 @@ def one_per_email(incoming: DataFrame, order: str = "_rowNumber", **how) -> Data
     counts = incoming.groupBy("contact_email").agg(
         F.min(order).alias("_firstRow"), F.max(order).alias("_lastRow"), F.count(F.lit(1)).alias("n")
     )
-    repeats = settle(counts.where("n > 1"), "repeated-emails", **weight_stats())
+    repeats = settle_keyed(counts.where("n > 1"), "repeated-emails")
     if not repeats.rows:
         return incoming.select(*columns, F.lit(1).cast("bigint").alias("n"))
     marked = lookup(incoming.select(order, *columns), repeats, "contact_email", order, **how)
@@ -74,7 +73,7 @@ def one_per_email(incoming: DataFrame, order: str = "_rowNumber", **how) -> Data
         "contact_email", F.col("tax_id").alias("_firstTax"), F.lit(1).cast("bigint").alias("n")
     )
     lasts = marked.where(F.col("n").isNull() | (F.col(order) == F.col("_lastRow"))).withColumnRenamed("n", "_rows")
-    taxed = lookup(lasts, settle(firsts, "first-tax-ids", **weight_stats()), "contact_email", order, **how)
+    taxed = lookup(lasts, settle_keyed(firsts, "first-tax-ids"), "contact_email", order, **how)
     tax_id = F.when(F.col("_rows").isNull(), F.col("tax_id")).otherwise(F.col("_firstTax")).alias("tax_id")
     return taxed.select(*columns[:-1], tax_id, F.coalesce("_rows", F.lit(1)).alias("n"))
 

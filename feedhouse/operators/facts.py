@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from feedhouse.fixed import FACT_RANGES
 from feedhouse.functions.text import country_prefix
 from feedhouse.functions.times import date_key, stamp_literal
-from feedhouse.operators.dimension import part
-from feedhouse.operators.spread import lookup, weight_stats
-from feedhouse.sources.tables import Settled, settle
+from feedhouse.operators.dimension import flat, part
+from feedhouse.operators.spread import lookup, settle_keyed
+from feedhouse.sources.tables import Settled
 
 
 def country_code(customers: DataFrame) -> Column:
@@ -42,10 +42,6 @@ def email_keys(dim_customer: DataFrame, counted: DataFrame) -> DataFrame:
     return counted.join(dim_customer.select("contact_email", "customer_key"), "contact_email")
 
 
-def settle_keys(keys: DataFrame) -> Settled:
-    return settle(keys, "customer-keys", **weight_stats())
-
-
 def fact_rows(
     customers: DataFrame,
     keys: Settled,
@@ -65,7 +61,7 @@ def fact_rows(
     file = F.lit(source_file) if source_file is not None else F.col("_sourceFile")
     place = [c for c in ("_sourceFile", "_rowNumber", "_rowOrder") if c in customers.columns]
     coded = customers.select(
-        *place, F.col("email").alias("contact_email"), country_code(customers).alias("country_code")
+        *place, flat(customers, "email").alias("contact_email"), country_code(customers).alias("country_code")
     )
     stamp = stamp_literal(run_at)
     return (
@@ -109,7 +105,7 @@ def missing_references(facts: DataFrame, key: str, dimension: DataFrame, dimensi
     """
     counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     known = dimension.select(F.col(dimension_key or key).alias(key))
-    return settle(counts.join(known, key, "left_anti"), f"missing-{key}", **weight_stats())
+    return settle_keyed(counts.join(known, key, "left_anti"), f"missing-{key}")
 
 
 def reference_violations(

@@ -15,8 +15,12 @@ from feedhouse.functions.numbers import count_where, half_up, number_text
 from feedhouse.functions.text import (
     compact_texts, content_hash, is_blank, is_email, is_phone, lowercase, trimmed, uppercase,
 )
-from feedhouse.operators.spread import BROADCAST_ROWS, lookup, weight_stats
-from feedhouse.sources.tables import Settled, settle
+from feedhouse.operators.spread import lookup, settle_keyed
+from feedhouse.sources.tables import BROADCAST_BYTES, Settled
+
+
+# Memory for one broadcast hash: 64 characters and the row around them.
+HASH_BYTES = 128
 
 
 def field_or_null(columns: Sequence[str], name: str) -> Column:
@@ -53,7 +57,7 @@ def hash_profile(
     if history is None:
         return firsts.where("n > 1").withColumn("_loaded", F.lit(False))
     staged = history.select(F.col("source_hash").alias("_sourceHash"))
-    if feed_rows is not None and feed_rows <= BROADCAST_ROWS:
+    if feed_rows is not None and feed_rows * HASH_BYTES <= BROADCAST_BYTES:
         staged = staged.join(F.broadcast(keyed.select("_sourceHash").distinct()), "_sourceHash", "left_semi")
     loaded = staged.distinct().withColumn("_loaded", F.lit(True))
     return (
@@ -76,11 +80,11 @@ def email_profile(keyed: DataFrame, order: str) -> DataFrame:
 def find_repeated_rows(
     keyed: DataFrame, history: DataFrame | None = None, order: str = "_rowNumber", feed_rows: int | None = None
 ) -> Settled:
-    return settle(hash_profile(keyed, history, order, feed_rows), "hashes", **weight_stats())
+    return settle_keyed(hash_profile(keyed, history, order, feed_rows), "hashes")
 
 
 def find_repeated_emails(keyed: DataFrame, order: str = "_rowNumber") -> Settled:
-    return settle(email_profile(keyed, order), "emails", **weight_stats())
+    return settle_keyed(email_profile(keyed, order), "emails")
 
 
 def find_repeats(

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedhouse.sources.tables import Settled
+from feedhouse.sources.tables import BROADCAST_BYTES, Settled, row_bytes, settle
 
-# A keyed table up to this many rows goes to every executor (about 100 MB of short rows).
-BROADCAST_ROWS = 1_000_000
 # A key is hot when its rows outweigh this share of one average shuffle partition.
 HOT_SHARE = 0.1
 
@@ -21,22 +19,22 @@ def lookup(
     key: str,
     order: str,
     how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Join `left` to a settled table with one row per key.
+    """Join `left` to a table with one row per key, settled by `settle_keyed`.
 
-    `keyed.frame` has a column `n`, the number of left rows with that key, and `keyed.stats` has its sum
-    (`total`) and maximum (`largest`). `order` names a column of `left` that differs from row to row.
+    Its column `n` is the number of left rows with that key. `order` names a column of `left` that differs
+    from row to row.
 
-    A small table is broadcast. A large one is joined by shuffle, with the hot keys taken out: fewer than
+    A table of up to `broadcast_bytes` is broadcast. A larger one is joined by shuffle, with the hot keys taken out: fewer than
     partitions / HOT_SHARE keys can be hot, so those are broadcast, and their left rows, like those without
     a key, are spread by a salt that no other row carries. No row is dropped on either way.
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
     figures = [c for c in keyed.frame.columns if c != key]
-    if keyed.rows <= broadcast_rows:
+    if keyed.fits(broadcast_bytes):
         return left.join(F.broadcast(keyed.frame), key, how)
     partitions = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     limit = max(1, int((keyed.stats["total"] or 0) / partitions * HOT_SHARE))
@@ -64,6 +62,6 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def weight_stats() -> dict[str, Column]:
-    """What `settle` must gather for a table used with `lookup`."""
-    return {"total": F.sum("n"), "largest": F.max("n")}
+def settle_keyed(df: DataFrame, label: str) -> Settled:
+    """Write a table for `lookup`: one row per key, `n` left rows each."""
+    return settle(df, label, total=F.sum("n"), largest=F.max("n"), size=F.sum(row_bytes(df)))

@@ -12,6 +12,7 @@ from feedhouse.functions.nested import json_text
 from feedhouse.functions.text import empty_to_null
 from feedhouse.functions.times import stamp_literal
 from feedhouse.operators.quality import field_or_null
+from feedhouse.operators.spread import key_counts, lookup, settle_keyed
 
 
 def staging_rows(
@@ -33,12 +34,12 @@ def staging_rows(
     )
 
 
-def with_processed(staging: DataFrame, finished_runs: DataFrame) -> DataFrame:
+def with_processed(staging: DataFrame, finished_runs: DataFrame, order: str = "source_hash", **how) -> DataFrame:
     """`is_processed` and `processed_at` from the runs that ended (`run_id`, `processed_at`).
 
-    Derived on reading, so staged files are never rewritten. One row per run: Catalyst broadcasts it.
+    Derived on reading, so staged files are never rewritten. A run may hold most of the rows.
     """
     done = finished_runs.select(F.col("run_id").alias("pipeline_run_id"), "processed_at")
-    return staging.join(done, "pipeline_run_id", "left").withColumn(
-        "is_processed", F.col("processed_at").isNotNull()
-    )
+    counted = key_counts(staging, "pipeline_run_id").join(done, "pipeline_run_id")
+    found = lookup(staging, settle_keyed(counted, "finished-runs"), "pipeline_run_id", order, **how)
+    return found.drop("n").withColumn("is_processed", F.col("processed_at").isNotNull())

@@ -17,6 +17,7 @@ from feedhouse.functions.times import date_key, stamp_literal, utc_now
 from feedhouse.operators import checks, delivery, dimension, facts, history, quality, rules, runs, staging
 from feedhouse.operators.mapping import map_rows
 from feedhouse.operators.ranks import growing_key
+from feedhouse.operators.spread import settle_keyed
 from feedhouse.plans.schemas import TABLES
 from feedhouse.session import scratch_path
 from feedhouse.sources import seeds
@@ -39,6 +40,8 @@ class LoadResult:
     dq_report: dict
     report: dict
     counts: dict
+    # Where the run wrote its row, error and outcome tables and its report.
+    folder: str
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
@@ -186,7 +189,7 @@ def _load_customers(
     done = settle(merged, "dim_customer", path, last=F.max("customer_key"))
     out.written["dim_customer"] = Written(path, replaces=True, last_key=done.stats["last"], rows=done.rows)
     keys = facts.email_keys(done.frame, incoming.select("contact_email", "n"))
-    return facts.settle_keys(facts.with_delivery(keys, outcomes))
+    return settle_keyed(facts.with_delivery(keys, outcomes), "customer-keys")
 
 
 def _load_facts(wh: Warehouse, customers: DataFrame, keys: Settled, run: _Run, out: _Loaded) -> None:
@@ -229,27 +232,26 @@ def run_load(
     """Load feed files into the warehouse at `root`.
 
     `gate` picks the rows that become customers: new clean ones, or new valid ones. `full_reload` takes
-    rows loaded before as new. A dry run reads no history and writes nothing but scratch data. All
-    tables of a run appear together when it ends; a failed run leaves them as they were.
+    rows loaded before as new. All tables of a run appear together when it ends; a failed run leaves them
+    as they were. Without a root there is no history and no run log: rows are checked, mapped, delivered
+    and reported. A dry run does not deliver either and writes nothing but scratch data.
     """
     if gate not in ("clean", "valid"):
         raise ValueError(f"gate must be 'clean' or 'valid', not {gate!r}")
-    if root is None and not dry_run:
-        raise ValueError("a load needs a warehouse root; use dry_run for a report only")
     started = utc_now()
     at = run_at or started
     at = at.replace(tzinfo=dt.timezone.utc) if at.tzinfo is None else at.astimezone(dt.timezone.utc)
     run_id = run_id or str(uuid.uuid4())
-    warehouse = None if dry_run else Warehouse(spark, root)
-    folder = scratch_path(spark, "dry-run") if dry_run else f"{warehouse.root}/runs/{run_id}"
+    warehouse = None if dry_run or root is None else Warehouse(spark, root)
+    folder = f"{warehouse.root}/runs/{run_id}" if warehouse else scratch_path(spark, "run")
     run = _Run(run_id, at, version, folder, full_reload)
     label = paths if isinstance(paths, str) else ", ".join(paths[:3])
     if warehouse:
         prepare(warehouse, at)
         log_event(warehouse, runs.start_event(spark, run_id, label, at, version))
     try:
-        return _run(spark, paths, warehouse, run, config or {}, gate, deliver, country_codes, source,
-                    also_written or {}, started)
+        return _run(spark, paths, warehouse, run, config or {}, gate, None if dry_run else deliver, country_codes,
+                    source, also_written or {}, started)
     except Exception as error:
         if warehouse:
             took = utc_now() - started
@@ -278,7 +280,7 @@ def _run(spark, paths, warehouse, run, config, gate, deliver, country_codes, sou
         parse_error_count=parse_errors,
     )
     outcomes = None
-    if warehouse and deliver and customers.rows:
+    if deliver and customers.rows:
         log = deliver(customers.frame)
         keys = [c for c in (ORDER, "name", "email") if c in log.columns]
         outcomes = settle(
@@ -353,4 +355,4 @@ def _report(spark, feed, assessed, transform_errors, outcomes, metrics, dq_repor
         "delivered": runs.delivered_customers(sent),
         "customers": spark.read.parquet(f"{run.folder}/customers"),
     }
-    return LoadResult(run.run_id, metrics.status, metrics, dq_report, report, out.counts, tables)
+    return LoadResult(run.run_id, metrics.status, metrics, dq_report, report, out.counts, run.folder, tables)

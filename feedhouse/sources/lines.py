@@ -16,10 +16,8 @@ from pyspark.sql.streaming import DataStreamReader
 
 from feedhouse.functions.text import is_blank
 from feedhouse.session import scratch_path
-from feedhouse.sources.tables import Settled, settle
+from feedhouse.sources.tables import BROADCAST_BYTES, Settled, row_bytes, settle
 
-# One entry per input split (128 MB by default): about 100 MB of entries for 100 TB of text.
-BROADCAST_BLOCKS = 1_000_000
 # File ordinal and line number share one bigint; a file may hold 2^40 lines.
 LINE_BITS = 40
 
@@ -74,7 +72,9 @@ def open_landing(spark: SparkSession, lines_paths: list[str], blocks_path: str |
         (F.coalesce(F.sum("_count").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
         (F.dense_rank().over(Window.orderBy("_sourceFile")) - 1).cast("bigint").alias("_file"),
     )
-    return Landing(lines, settle(starts, "blocks", blocks_path, lines=F.sum("_count")))
+    return Landing(lines, settle(
+        starts, "blocks", blocks_path, lines=F.sum("_count"), size=F.sum(row_bytes(starts))
+    ))
 
 
 def file_sizes(landing: Landing) -> DataFrame:
@@ -92,7 +92,8 @@ def head_lines(landing: Landing) -> DataFrame:
 def number_lines(landing: Landing) -> DataFrame:
     """Add `_rowNumber` (1-based in its file) and `_rowOrder` (file order, then row number)."""
     starts = landing.blocks.frame.drop("_count")
-    if landing.blocks.rows <= BROADCAST_BLOCKS:
+    # One row per input split: some 200 MB for 100 TB of text in splits of 128 MB.
+    if landing.blocks.fits(BROADCAST_BYTES):
         starts = F.broadcast(starts)
     number = F.col("_line") + F.col("_shift")
     keep = [c for c in landing.lines.columns if c not in ("_block", "_line")]

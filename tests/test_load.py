@@ -136,6 +136,13 @@ def test_dry_run_writes_nothing(spark, tmp_path):
     assert not root.exists()
 
 
+def test_delivery_without_a_warehouse(spark, tmp_path):
+    result = run_load(spark, write(tmp_path / "f.csv", FEED), gate="valid", deliver=deliver)
+    assert (result.metrics.records_api_sent, result.metrics.records_api_failed, result.counts) == (6, 1, {})
+    assert result.tables["delivered"].count() == 5
+    assert '"apiFailed": 1' in spark.read.text(f"{result.folder}/report").first()[0]
+
+
 def test_failed_run_leaves_the_tables_and_can_be_repeated(spark, tmp_path, monkeypatch):
     feed, root = write(tmp_path / "f.csv", FEED), str(tmp_path / "wh")
 

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from feedhouse.fixed import EXPECTED_FIELDS
 from feedhouse.operators import quality, rules
-from feedhouse.operators.spread import lookup, weight_stats
-from feedhouse.sources.tables import settle
+from feedhouse.operators.spread import lookup, settle_keyed
 
 SCHEMA = "_rowNumber bigint, " + ", ".join(f"{f} string" for f in EXPECTED_FIELDS)
 GOOD = dict(
@@ -77,7 +76,7 @@ def replay(rows, loaded=frozenset()):
     return out
 
 
-@pytest.mark.parametrize("how", [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "partitions": 40}])
+@pytest.mark.parametrize("how", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "partitions": 40}])
 def test_duplicates_equal_a_replay_on_uneven_keys(spark, how):
     rows = uneven_rows(600, 7)
     loaded = {3, 11, 40, 41}
@@ -98,11 +97,11 @@ def test_lookup_gives_the_same_rows_on_every_way(spark, how):
         F.col("id"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 50).alias("key")
     )
     counted = left.where("key is not null and key % 4 <> 1").groupBy("key").agg(F.count("*").alias("n"))
-    keyed = settle(counted.withColumn("name", F.concat(F.lit("k"), "key")), "test", **weight_stats())
+    keyed = settle_keyed(counted.withColumn("name", F.concat(F.lit("k"), "key")), "test")
     ways = [
         lookup(left, keyed, "key", "id", how),
-        lookup(left, keyed, "key", "id", how, broadcast_rows=0, partitions=1000),
-        lookup(left, keyed, "key", "id", how, broadcast_rows=0, partitions=4),
+        lookup(left, keyed, "key", "id", how, broadcast_bytes=0, partitions=1000),
+        lookup(left, keyed, "key", "id", how, broadcast_bytes=0, partitions=4),
     ]
     plain = left.join(keyed.frame, "key", how)
     expected = sorted(map(tuple, plain.select("id", "key", "n", "name").collect()))
@@ -113,8 +112,8 @@ def test_lookup_gives_the_same_rows_on_every_way(spark, how):
 def test_hot_keys_do_not_share_a_partition(spark):
     """After the salted join the rows of a key that holds most of the frame lie in several partitions."""
     left = spark.range(4000).withColumn("key", F.when(F.col("id") % 4 > 0, 1).otherwise(F.col("id")))
-    keyed = settle(left.groupBy("key").agg(F.count("*").alias("n")), "test", **weight_stats())
-    joined = lookup(left, keyed, "key", "id", broadcast_rows=0, partitions=4)
+    keyed = settle_keyed(left.groupBy("key").agg(F.count("*").alias("n")), "test")
+    joined = lookup(left, keyed, "key", "id", broadcast_bytes=0, partitions=4)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:

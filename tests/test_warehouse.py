@@ -114,7 +114,7 @@ def test_missing_reference_rows_are_whole_on_every_way(spark):
         F.col("id").alias("row"), F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, F.col("id")).alias("ref")
     )
     known = spark.range(50).select(F.col("id").alias("key")).where("key <> 1")
-    for how in ({}, {"broadcast_rows": 0}):
+    for how in ({}, {"broadcast_bytes": 0}):
         found = facts.reference_violations(data, "row", {"ref": (known, "key")}, **how).collect()
         expected = {i for i in range(300) if i % 3 == 0 or (i % 3 == 1 and (i >= 50 or i == 1))}
         assert {r.row for r in found} == expected and len(found) == len(expected)
