@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -24,6 +25,16 @@ def test_trim_and_blank(spark, values):
         assert row.b == (row.t == "")
 
 
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet=list("a@..@b") + [" ", chr(0x3000), chr(0x85), "é"], max_size=9), min_size=1, max_size=60))
+def test_email_equals_the_pattern(spark, values):
+    space = re.escape(text.WHITE_SPACE)
+    pattern = re.compile(rf"[^{space}@]+@[^{space}@]+\.[^{space}@]+")
+    frame = spark.createDataFrame([(v,) for v in values], "x string")
+    for row in frame.select("x", text.is_email(F.col("x")).alias("ok")).collect():
+        assert row.ok == bool(pattern.fullmatch(row.x)), repr(row.x)
+
+
 def test_null_is_blank(spark):
     assert one(spark, None, text.is_blank(F.col("x")))[0] is True
 
