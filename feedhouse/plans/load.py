@@ -19,7 +19,7 @@ from feedhouse.operators.mapping import map_rows
 from feedhouse.operators.ranks import growing_key
 from feedhouse.operators.spread import settle_keyed
 from feedhouse.plans.schemas import TABLES
-from feedhouse.session import scratch_path
+from feedhouse.session import require_utc, scratch_path
 from feedhouse.sources import seeds
 from feedhouse.sources.records import Feed, read_feed
 from feedhouse.sources.tables import Settled, Warehouse, Written, settle
@@ -238,6 +238,7 @@ def run_load(
     """
     if gate not in ("clean", "valid"):
         raise ValueError(f"gate must be 'clean' or 'valid', not {gate!r}")
+    require_utc(spark)
     started = utc_now()
     at = run_at or started
     at = at.replace(tzinfo=dt.timezone.utc) if at.tzinfo is None else at.astimezone(dt.timezone.utc)

@@ -33,6 +33,13 @@ def build_session(app_name: str = "feedhouse", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Days and stamps are those of UTC; another session time zone would shift them."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone.upper() not in ("UTC", "ETC/UTC", "Z", "GMT", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC, not {zone}")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as named by the cluster.
 
