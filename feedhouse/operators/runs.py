@@ -88,11 +88,12 @@ def fold_events(log: DataFrame) -> DataFrame:
     """Current state of each run: for every column the latest event that sets it.
 
     A second start of a known run is ignored, so of several start events (`event_seq` 0) the earliest
-    counts. Runs without a start event do not exist.
+    counts; of several ends the latest. Runs without a start event do not exist.
     """
     begun = F.col("event_seq") == 0
     # Starts sort before ends; among starts the earliest must win, so its order value is the largest.
-    place = F.when(begun, -F.unix_micros(F.col("started_at").cast("timestamp"))).otherwise(F.col("event_seq"))
+    started, ended = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("started_at", "completed_at"))
+    place = F.when(begun, -started).otherwise(ended)
     rank = F.struct(F.when(begun, 0).otherwise(1).alias("kind"), place.alias("place"))
     columns = [c for c in RUN_COLUMNS if c != "run_id" and c in log.columns]
     state = log.groupBy("run_id").agg(

@@ -146,6 +146,8 @@ class _Run:
     run_id: str
     at: dt.datetime
     version: str
+    # Differs from attempt to attempt, so that a run can be started again under its id.
+    load_id: str
     folder: str
     full_reload: bool
 
@@ -163,7 +165,7 @@ def _load_staging(wh: Warehouse, assessed: DataFrame, loaded: DataFrame | None,
         # History was not looked at before; the hash of a staged row still stays unique.
         rows = rows.join(loaded, "source_hash", "left_anti")
     checked = checks.check_rows(rows, lengths=STAGING_LENGTHS)
-    path = wh.new_path("stg_customers", run.run_id)
+    path = wh.new_path("stg_customers", run.load_id)
     keyed = checks.accepted(checked).withColumn("stg_id", growing_key(wh.last_key("stg_customers") + 1))
     done = settle(keyed, "stg_customers", path, last=F.max("stg_id"))
     out.written["stg_customers"] = Written(path, last_key=done.stats["last"], rows=done.rows)
@@ -185,7 +187,7 @@ def _load_customers(
     merged = dimension.merge_customers(
         read_table(wh, "dim_customer"), incoming, run.run_id, run.at, wh.last_key("dim_customer") + 1
     )
-    path = wh.new_path("dim_customer", run.run_id)
+    path = wh.new_path("dim_customer", run.load_id)
     done = settle(merged, "dim_customer", path, last=F.max("customer_key"))
     out.written["dim_customer"] = Written(path, replaces=True, last_key=done.stats["last"], rows=done.rows)
     keys = facts.email_keys(done.frame, incoming.select("contact_email", "n"))
@@ -204,7 +206,7 @@ def _load_facts(wh: Warehouse, customers: DataFrame, keys: Settled, run: _Run, o
                         text.alias("error"))
         )
         rows = rows.limit(0)
-    path = wh.new_path("fact_customer_imports", run.run_id, import_month=run.at.strftime("%Y-%m"))
+    path = wh.new_path("fact_customer_imports", run.load_id, import_month=run.at.strftime("%Y-%m"))
     keyed = rows.drop("import_month").withColumn(
         "import_key", growing_key(wh.last_key("fact_customer_imports") + 1)
     )
@@ -244,8 +246,9 @@ def run_load(
     at = at.replace(tzinfo=dt.timezone.utc) if at.tzinfo is None else at.astimezone(dt.timezone.utc)
     run_id = run_id or str(uuid.uuid4())
     warehouse = None if dry_run or root is None else Warehouse(spark, root)
-    folder = f"{warehouse.root}/runs/{run_id}" if warehouse else scratch_path(spark, "run")
-    run = _Run(run_id, at, version, folder, full_reload)
+    load_id = f"{run_id}-{uuid.uuid4().hex[:8]}"
+    folder = f"{warehouse.root}/runs/{load_id}" if warehouse else scratch_path(spark, "run")
+    run = _Run(run_id, at, version, load_id, folder, full_reload)
     label = paths if isinstance(paths, str) else ", ".join(paths[:3])
     if warehouse:
         prepare(warehouse, at)
@@ -283,6 +286,8 @@ def _run(spark, paths, warehouse, run, config, gate, deliver, country_codes, sou
     outcomes = None
     if deliver and customers.rows:
         log = deliver(customers.frame)
+        if "name" not in log.columns:
+            log = log.withColumn("name", F.lit(None).cast("string"))
         keys = [c for c in (ORDER, "name", "email") if c in log.columns]
         outcomes = settle(
             delivery.delivery_outcomes(log, keys), "outcomes", f"{run.folder}/outcomes",
@@ -310,7 +315,7 @@ def _run(spark, paths, warehouse, run, config, gate, deliver, country_codes, sou
     result = _report(spark, feed, assessed, mapped.errors, outcomes, metrics, dq_report, run, out, warehouse)
     if warehouse:
         for name, write in also_written.items():
-            out.written[name] = write(run.run_id)
+            out.written[name] = write(run.load_id)
         if out.written:
             warehouse.commit(run.run_id, out.written, run.at)
         ended = run.at + (utc_now() - started)

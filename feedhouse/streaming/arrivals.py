@@ -57,8 +57,8 @@ def ingest(spark: SparkSession, arrivals: str, root: str, **options) -> LoadResu
     def source(target: str) -> Feed:
         return feed_from_landing(open_landing(spark, files, f"{target}-blocks"), target)
 
-    def record(run_id: str) -> Written:
-        path = warehouse.new_path("landed_files", run_id)
+    def record(load_id: str) -> Written:
+        path = warehouse.new_path("landed_files", load_id)
         spark.createDataFrame([(f,) for f in files], LANDED_FILES).coalesce(1).write.parquet(path)
         return Written(path)
 

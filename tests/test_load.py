@@ -157,8 +157,10 @@ def test_failed_run_leaves_the_tables_and_can_be_repeated(spark, tmp_path, monke
     state = run_log(warehouse).first()
     assert (state.status, state.error_message) == ("failed", "lost")
     assert read_table(warehouse, "stg_customers") is None and read_table(warehouse, "dim_customer") is None
-    again = run_load(spark, feed, root, run_id="r2", run_at=AT)
+    again = run_load(spark, feed, root, run_id="r1", run_at=AT)
     assert again.metrics.records_loaded == 4
+    state = run_log(warehouse).collect()
+    assert [(r.run_id, r.status, r.records_loaded) for r in state] == [("r1", "success", 4)]
 
 
 def test_day_outside_the_date_dimension_is_an_error_not_a_failure(spark, tmp_path):
@@ -184,6 +186,27 @@ def test_missing_and_extra_columns(spark, tmp_path):
     assert result.metrics.records_loaded == 1
 
 
+def test_only_malformed_rows(spark, tmp_path):
+    feed = write(tmp_path / "f.csv", ["a,b", "c"])
+    result = run_load(spark, feed, str(tmp_path / "wh"), run_id="r1", run_at=AT)
+    assert (result.metrics.records_in_file, result.metrics.records_parsed, result.metrics.success_rate) == (2, 0, 0.0)
+    assert result.dq_report["summary"]["qualityScore"] == 100 and result.status == "success"
+
+
+def test_own_rules_and_mapping(spark, tmp_path):
+    """Other rules, and a mapping without an email: its customers can have no key."""
+    config = {
+        "validationRules": {"required": ["tax_id"]},
+        "fieldMappings": {"name": {"from": "company_name", "transform": "caps"}},
+        "transforms": {"caps": "upper(trim(value))"},
+    }
+    feed, root = write(tmp_path / "f.csv", FEED), str(tmp_path / "wh")
+    result = run_load(spark, feed, root, config=config, gate="valid", run_id="r1", run_at=AT)
+    assert result.metrics.records_valid == 8
+    assert {r.name for r in result.tables["customers"].collect()} == {f"FIRM {i}" for i in range(1, 8)}
+    assert (result.counts["dimensionLoaded"], result.counts["factLoaded"], result.counts["errors"]) == (0, 0, 8)
+
+
 def test_arrivals_are_loaded_once(spark, tmp_path):
     arrivals, root = tmp_path / "in", str(tmp_path / "wh")
     arrivals.mkdir()
