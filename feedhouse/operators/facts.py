@@ -12,7 +12,7 @@ from feedhouse.functions.text import country_prefix
 from feedhouse.functions.times import date_key, stamp_literal
 from feedhouse.operators.dimension import flat, part
 from feedhouse.operators.spread import lookup, settle_keyed
-from feedhouse.sources.tables import Settled
+from feedhouse.sources.tables import Settled, side_by_side
 
 
 def country_code(customers: DataFrame) -> Column:
@@ -113,8 +113,11 @@ def reference_violations(
 ) -> DataFrame:
     """One reject per fact row and failing reference: `row_key`, `constraint_name`, `bad_key`."""
     found = None
-    for key, (dimension, dimension_key) in checks.items():
-        missing = missing_references(facts, key, dimension, dimension_key)
+    searches = [
+        lambda key=key, dim=dim, dim_key=dim_key: missing_references(facts, key, dim, dim_key)
+        for key, (dim, dim_key) in checks.items()
+    ]
+    for key, missing in zip(checks, side_by_side(*searches)):
         rejects = lookup(facts.select(row_key, key), missing, key, row_key, how="inner", **how).select(
             row_key, F.lit(key).alias("constraint_name"), F.col(key).cast("bigint").alias("bad_key")
         )

@@ -16,7 +16,7 @@ from feedhouse.functions.text import (
     compact_texts, content_hash, is_blank, is_email, is_phone, lowercase, trimmed, uppercase,
 )
 from feedhouse.operators.spread import lookup, settle_keyed
-from feedhouse.sources.tables import BROADCAST_BYTES, Settled
+from feedhouse.sources.tables import BROADCAST_BYTES, Settled, side_by_side
 
 
 # Memory for one broadcast hash: 64 characters and the row around them.
@@ -90,7 +90,10 @@ def find_repeated_emails(keyed: DataFrame, order: str = "_rowNumber") -> Settled
 def find_repeats(
     keyed: DataFrame, history: DataFrame | None = None, order: str = "_rowNumber", feed_rows: int | None = None
 ) -> Repeats:
-    return Repeats(find_repeated_rows(keyed, history, order, feed_rows), find_repeated_emails(keyed, order))
+    hashes, emails = side_by_side(
+        lambda: find_repeated_rows(keyed, history, order, feed_rows), lambda: find_repeated_emails(keyed, order)
+    )
+    return Repeats(hashes, emails)
 
 
 def flag_duplicate_rows(keyed: DataFrame, hashes: Settled, order: str = "_rowNumber", **how) -> DataFrame:
