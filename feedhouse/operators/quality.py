@@ -13,7 +13,7 @@ from feedhouse.fixed import (
 )
 from feedhouse.functions.numbers import count_where, half_up, number_text
 from feedhouse.functions.text import (
-    compact_texts, content_hash, is_blank, is_email, is_phone, lowercase, trimmed, uppercase,
+    compact_texts, content_hash, is_blank, is_email, is_phone, trimmed, uppercase,
 )
 from feedhouse.operators.spread import lookup, settle_keyed
 from feedhouse.sources.tables import BROADCAST_BYTES, Settled, side_by_side
