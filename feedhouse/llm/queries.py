@@ -10,12 +10,14 @@ from feedhouse.llm.ctw import op9_context_tree_weighting
 from feedhouse.llm.packing import op6_genetic_packing
 from feedhouse.llm.pieces import op8_streaming_viterbi
 from feedhouse.llm.quality_net import op5_random_indexing_net
+from feedhouse.llm.repeats import op3_interval_tree
 from feedhouse.llm.rules import op10_quality_rules
 from feedhouse.llm.sharding import op1_hash_tree
 from feedhouse.llm.sql import QUALITY_RULES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": op1_hash_tree,
+    "op3_interval_tree": op3_interval_tree,
     "op5_random_indexing_net": op5_random_indexing_net,
     "op6_genetic_packing": op6_genetic_packing,
     "op8_streaming_viterbi": op8_streaming_viterbi,
