@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from feedhouse.llm.ctw import op9_context_tree_weighting
+from feedhouse.llm.order_minhash import op7_order_minhash
 from feedhouse.llm.packing import op6_genetic_packing
 from feedhouse.llm.pieces import op8_streaming_viterbi
 from feedhouse.llm.quality_net import op5_random_indexing_net
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_interval_tree": op3_interval_tree,
     "op5_random_indexing_net": op5_random_indexing_net,
     "op6_genetic_packing": op6_genetic_packing,
+    "op7_order_minhash": op7_order_minhash,
     "op8_streaming_viterbi": op8_streaming_viterbi,
     "op9_context_tree_weighting": op9_context_tree_weighting,
     "op10_quality_rules": op10_quality_rules,
