@@ -14,7 +14,7 @@ new. A pair is linked if an alignment of their words, in a band as wide as the t
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -258,39 +258,34 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("part")).unionByName(roots).distinct()
 
 
-def linked(texts: DataFrame, distinct: DataFrame, settings: Settings) -> DataFrame:
-    """Verified links (a, b) between distinct texts, given as a written table (id, n, keys)."""
-    members = distinct.where("n > 0").select(
-        "id", "n", F.explode(F.array_distinct("keys")).alias("key"))
+def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """Verified links (a, b) between the ids that share a bucket; `members` is (key, id, n).
+
+    `verify` gets a written table of pairs and returns those that hold.
+    """
     crowded = members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     members = settle(members.join(crowded, "key", "left_semi").withColumn("part", F.col("id")), "members")
-    links = None
+    found = tried = None
     turn = 0
     while True:
-        pairs = settle(star_pairs(members, turn, settings.similarity), "pairs")
-        if links is not None:
-            pairs = settle(pairs.join(links.tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = star_pairs(members, turn, similarity)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = settle(pairs, "pairs")
         if pairs.isEmpty():
             break
-        new = settle(verified(pairs, texts, settings), "links")
-        tried = pairs if links is None else settle(links.tried.unionByName(pairs), "tried")
-        found = new if links is None else settle(links.found.unionByName(new), "links")
-        links = Links(found, tried)
-        # The first turn finds nearly all; the second and later ones go on while there is something to find.
+        new = settle(verify(pairs), "links")
+        found = new if found is None else settle(found.unionByName(new), "links")
+        tried = pairs if tried is None else settle(tried.unionByName(pairs), "tried")
+        # The first turn finds nearly all; later ones go on while there is something to find.
         if turn and new.isEmpty():
             break
-        parts = components(links.found)
-        joined = members.drop("part").join(parts, "id", "left")
+        joined = members.drop("part").join(components(found), "id", "left")
         members = settle(joined.withColumn("part", F.coalesce("part", "id")), "members")
         turn += 1
-    empty = members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    return links.found if links is not None else empty
-
-
-@dataclass
-class Links:
-    found: DataFrame
-    tried: DataFrame
+    if found is None:
+        found = members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    return found
 
 
 # --- operator -----------------------------------------------------------------------------------------------------
@@ -306,7 +301,8 @@ def near_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     sketched = settle(sketches(texts, settings), "sketches")
     first = sketched.groupBy("text_hash").agg(F.min(F.struct("rid", "n", "keys")).alias("x"))
     distinct = settle(first.select("text_hash", F.col("x.rid").alias("id"), "x.n", "x.keys"), "distinct")
-    links = linked(texts, distinct.select("id", "n", "keys"), settings)
+    members = distinct.where("n > 0").select("id", "n", F.explode(F.array_distinct("keys")).alias("key"))
+    links = linked(members, lambda pairs: verified(pairs, texts, settings), settings.similarity)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n_links"))
     parts = components(links)

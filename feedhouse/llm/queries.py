@@ -14,11 +14,15 @@ from feedhouse.llm.quality_net import op5_random_indexing_net
 from feedhouse.llm.repeats import op3_interval_tree
 from feedhouse.llm.rules import op10_quality_rules
 from feedhouse.llm.sharding import op1_hash_tree
+from feedhouse.llm.spots import op4_spot_fingerprints
 from feedhouse.llm.sql import QUALITY_RULES
+from feedhouse.llm.warc import op2_derivative_builder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": op1_hash_tree,
+    "op2_derivative_builder": op2_derivative_builder,
     "op3_interval_tree": op3_interval_tree,
+    "op4_spot_fingerprints": op4_spot_fingerprints,
     "op5_random_indexing_net": op5_random_indexing_net,
     "op6_genetic_packing": op6_genetic_packing,
     "op7_order_minhash": op7_order_minhash,
