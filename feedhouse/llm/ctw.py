@@ -138,9 +138,9 @@ def summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
-    """For x >= 0.5, by Stirling's series eight steps further on."""
-    shifted, below = x + 8, np.ones_like(x)
-    for i in range(8):
+    """For x >= 0.5, by Stirling's series twelve steps further on."""
+    shifted, below = x + 12, np.ones_like(x)
+    for i in range(12):
         below = below * (x + i)
     inverse = 1 / shifted
     series = inverse * (1 / 12 - inverse**2 * (1 / 360 - inverse**2 * (1 / 1260 - inverse**2 / 1680)))
@@ -286,8 +286,8 @@ def _dealt(df: DataFrame) -> DataFrame:
 def event_scores(events: DataFrame, settings: Settings) -> DataFrame:
     """key, log10 for a written table of events (key, n): how probable each is under the tree of those with n > 0."""
     cuts = list(range(settings.depth, 0, -settings.step))  # depth of the leaves of each round of groups
-    if settings.depth > 6 or settings.depth % settings.step:
-        raise ValueError("depth must be at most 6 and a multiple of step")
+    if settings.depth > 6 or settings.depth % settings.step or len(cuts) < 2:
+        raise ValueError("depth must be at most 6 and a multiple of step, two times step or more")
     step, rows = settings.step, settings.chunk_rows
 
     def parsed(chunk, leaf: bool) -> Level:
