@@ -11,7 +11,7 @@ from feedhouse.catalog import relations as rel
 from feedhouse.catalog.quality import enriched_feed
 from feedhouse.catalog.registry import query
 from feedhouse.catalog.relations import RUN_AT, RUN_AT_SQL, RUN_ID, row_number
-from feedhouse.fixed import STAGING_COLUMNS
+from feedhouse.fixed import COUNTRY_SEED, STAGING_COLUMNS
 from feedhouse.functions.text import empty_to_null
 from feedhouse.operators import checks, delivery, dimension, facts, history, quality, rules, staging
 from feedhouse.operators.mapping import map_rows
@@ -30,13 +30,10 @@ def plain(name: str) -> Column:
 # --- seeds and dates ----------------------------------------------------------------------------
 
 
-@query("seed_insert_absent", """
+@query("seed_insert_absent", f"""
     select country_code, country_name, region from dim_country
     union all
-    select * from (values ('GB', 'United Kingdom', 'Europe'), ('CA', 'Canada', 'North America'),
-      ('AU', 'Australia', 'Oceania'), ('FR', 'France', 'Europe'), ('IN', 'India', 'Asia'),
-      ('SG', 'Singapore', 'Asia'), ('AE', 'United Arab Emirates', 'Middle East'), ('NL', 'Netherlands', 'Europe'),
-      ('DE', 'Germany', 'Europe'), ('US', 'United States', 'North America')) s(country_code, country_name, region)
+    select * from (values {", ".join(map(str, COUNTRY_SEED))}) s(country_code, country_name, region)
     where country_code not in (select country_code from dim_country)""")
 def seed_insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     existing = rel.dim_country(spark, sf_dir).drop("country_key")
@@ -323,14 +320,14 @@ def check_numeric_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("apply_defaults", f"""
-    select import_key, coalesce(was_valid, true) as was_valid, api_success, false as api_sent,
-      cast(0 as integer) as api_attempts, {RUN_AT_SQL} as processed_at
+    select import_key, was_valid, api_success, false as api_sent, cast(0 as integer) as api_attempts,
+      {RUN_AT_SQL} as imported_at
     from fact_customer_imports""")
 def apply_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that have a default: two flags that are given keep their nulls, three that are absent get it."""
     loaded = rel.fact_customer_imports(spark, sf_dir).select("import_key", "was_valid", "api_success")
     defaults = {
-        "was_valid": F.lit(True), "api_success": F.lit(False), "api_sent": F.lit(False), "api_attempts": F.lit(0),
-        "processed_at": F.lit(RUN_AT).cast("timestamp_ntz"),
+        "api_sent": F.lit(False), "api_attempts": F.lit(0), "imported_at": F.lit(RUN_AT).cast("timestamp_ntz"),
     }
     return checks.with_defaults(loaded, defaults)
 

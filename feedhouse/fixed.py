@@ -14,13 +14,13 @@ DQ_REQUIRED_FIELDS = ["company_name", "contact_email"]
 HASH_FIELDS = ["company_name", "contact_email", "tax_id"]
 
 # Country codes accepted by the quality check.
-COUNTRY_CODES = (
-    "US GB CA AU DE FR IN SG AE NL JP CN "
-    "BR MX ZA NG KE PK BD PH ID TH VN MY "
-    "IT ES PT SE NO DK FI CH AT BE IE NZ "
-    "AR CL CO PE EG SA QA KW BH OM JO LB "
-    "IL TR PL CZ HU RO BG HR SK SI EE LV LT"
-).split()
+COUNTRY_CODES = [
+    "US", "GB", "CA", "AU", "DE", "FR", "IN", "SG", "AE", "NL", "JP", "CN",
+    "BR", "MX", "ZA", "NG", "KE", "PK", "BD", "PH", "ID", "TH", "VN", "MY",
+    "IT", "ES", "PT", "SE", "NO", "DK", "FI", "CH", "AT", "BE", "IE", "NZ",
+    "AR", "CL", "CO", "PE", "EG", "SA", "QA", "KW", "BH", "OM", "JO", "LB",
+    "IL", "TR", "PL", "CZ", "HU", "RO", "BG", "HR", "SK", "SI", "EE", "LV", "LT",
+]
 
 # Countries seeded into dim_country: code, name, region.
 COUNTRY_SEED = [
@@ -84,6 +84,14 @@ DEFAULT_RULES = {
     "nonEmpty": ["contact_first_name", "contact_last_name"],
 }
 
+# The texts that define the four built-in transforms in shipped configurations.
+SHIPPED_TRANSFORMS = {
+    "trim": "value => value?.trim() ?? ''",
+    "lowercase": "value => value?.trim().toLowerCase() ?? ''",
+    "uppercase": "value => value?.trim().toUpperCase() ?? ''",
+    "cleanPhone": "value => value?.replace(/[^\\d+\\-()\\s]/g, '').trim() ?? ''",
+}
+
 # Default mapping of feed columns to customer objects.
 DEFAULT_MAPPING = {
     "fieldMappings": {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +19,15 @@ def length_error(column: str, limit: int) -> Column:
     return F.when(F.char_length(column) > limit, F.lit(f"value too long for column {column} ({limit})"))
 
 
-def range_error(column: str, precision: int, scale: int) -> Column:
+def range_error(column: str, precision: int, scale: int, kind: str = "double") -> Column:
     """Values that do not fit `decimal(precision, scale)` after rounding half up. A comparison, since a cast
     of each value is many times slower."""
-    limit = 10 ** (precision - scale) - 0.5 * 10**-scale
+    limit = Decimal(10) ** (precision - scale) - Decimal(5).scaleb(-scale - 1)
     text = F.lit(f"value out of range for column {column} ({precision},{scale})")
-    return F.when(~(F.abs(F.col(column).cast("double")) < F.lit(limit)), text)
+    value = F.abs(F.col(column))
+    # Decimals are compared as decimals, exactly; NaN and infinity of other types are out of range.
+    bound = F.lit(limit) if kind.startswith("decimal") else F.lit(float(limit))
+    return F.when(~((value if kind.startswith("decimal") else value.cast("double")) < bound), text)
 
 
 def check_rows(
@@ -35,7 +39,8 @@ def check_rows(
     """Add `_rejects`, the constraint errors of each row; an over-long value is an error, never cut."""
     tests = [null_error(c) for c in not_null]
     tests += [length_error(c, n) for c, n in (lengths or {}).items() if c in df.columns]
-    tests += [range_error(c, p, s) for c, (p, s) in (ranges or {}).items()]
+    kinds = dict(df.dtypes)
+    tests += [range_error(c, p, s, kinds[c]) for c, (p, s) in (ranges or {}).items()]
     return df.withColumn("_rejects", compact_texts(*tests))
 
 
@@ -58,10 +63,8 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
-    """Fill absent columns and null values from `defaults`."""
-    return df.withColumns({
-        name: F.coalesce(F.col(name), value) if name in df.columns else value for name, value in defaults.items()
-    })
+    """Add absent columns from `defaults`. A null that is given stays null, as in an insert that names the column."""
+    return df.withColumns({name: value for name, value in defaults.items() if name not in df.columns})
 
 
 def reference_errors(violations: DataFrame, row_key: str) -> DataFrame:

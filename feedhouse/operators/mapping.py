@@ -6,6 +6,7 @@ import datetime as dt
 import json
 import warnings
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pandas as pd
@@ -13,9 +14,10 @@ from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedhouse.fixed import DEFAULT_MAPPING
+from feedhouse.fixed import DEFAULT_MAPPING, SHIPPED_TRANSFORMS
 from feedhouse.functions.text import clean_phone, lowercase, trimmed, uppercase
 from feedhouse.functions.times import iso_stamp, stamp_literal, utc_now
+from feedhouse.sources.tables import settle
 
 NOW = "__NOW__"
 
@@ -73,16 +75,28 @@ def _expression(spark: SparkSession, text: str) -> Transform | None:
         return F.expr(f"coalesce(transform(array({raw}), value -> cast(({text}) as string))[0], {raw})")
 
     try:
-        spark.range(0).select(apply("''"))
+        with _lenient(spark):
+            spark.range(0).select(apply("''"))
     except (AnalysisException, ParseException):
         return None
     return apply
 
 
+@contextmanager
+def _lenient(spark: SparkSession) -> Iterator[None]:
+    """Expressions resolved inside give null for a value they cannot take, so that value passes through raw."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def build_transforms(spark: SparkSession, config: dict) -> dict[str, Transform | PythonTransform]:
     """Named transforms of a configuration.
 
-    The four shipped names are built in, whatever text defines them. Any other name takes a
+    The four shipped names are built in as long as their text is the shipped one, or their name. Any other takes a
     PythonTransform or a Spark SQL expression over `value`; one that does not resolve is left out with a
     warning, and its fields pass through.
     """
@@ -90,7 +104,7 @@ def build_transforms(spark: SparkSession, config: dict) -> dict[str, Transform |
     for name, rule in (config.get("transforms") or {}).items():
         if isinstance(rule, PythonTransform):
             built[name] = rule
-        elif name in BUILT_IN:
+        elif name in BUILT_IN and rule in (name, SHIPPED_TRANSFORMS[name]):
             built[name] = lambda raw, fn=BUILT_IN[name]: fn(F.expr(raw))
         elif (made := _expression(spark, rule)) is not None:
             built[name] = made
@@ -99,6 +113,16 @@ def build_transforms(spark: SparkSession, config: dict) -> dict[str, Transform |
     return built
 
 
+def with_columns_of(config: dict, names: dict[str, str]) -> dict:
+    """The configuration with its sources named as the columns that hold them (`field_names` of a header)."""
+
+    def renamed(fields: dict) -> dict:
+        return {t: {**r, "from": names.get(r["from"], r["from"])} if "from" in r else r for t, r in fields.items()}
+
+    groups = {g: renamed(fields) for g, fields in (config.get("nestedMappings") or {}).items()}
+    return {**config, "fieldMappings": renamed(config.get("fieldMappings") or {}), "nestedMappings": groups}
+
+
 @dataclass
 class Mapped:
     customers: DataFrame
@@ -146,12 +170,15 @@ def map_rows(
     columns = [c.alias(name) for name, c in {**flat, **groups}.items()]
     if not outcomes:
         none = rows.sparkSession.createDataFrame([], "_rowNumber bigint, error string")
-        return Mapped(rows.select(*keep, *columns), none)
-    tried = rows.withColumns(outcomes)
+        with _lenient(rows.sparkSession):
+            return Mapped(rows.select(*keep, *columns), none)
+    # Written once: customers and errors both come from it, and each value is tried a single time.
+    tried = settle(rows.withColumns(outcomes), "tried").frame
     first_error = F.coalesce(*[F.col(name)["error"] for name in outcomes])
     errors = tried.where(first_error.isNotNull()).select("_rowNumber", first_error.alias("error"))
     kept = tried.where(first_error.isNull()) if on_error == "reject" else tried
-    return Mapped(kept.select(*keep, *columns), errors)
+    with _lenient(rows.sparkSession):
+        return Mapped(kept.select(*keep, *columns), errors)
 
 
 def flat_customers(customers: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -28,11 +28,17 @@ def field_or_null(columns: Sequence[str], name: str) -> Column:
 
 
 def with_keys(rows: DataFrame) -> DataFrame:
-    """Add `_sourceHash` and `_emailKey`, the two keys duplicates are found by; a blank email has no key."""
-    email = F.lower(field_or_null(rows.columns, "contact_email"))
+    """Add `_sourceHash`, `_emailKey` and `_emailScope`, the keys duplicates are found by.
+
+    A blank email has no key. An email repeats within its file only, so files loaded together give the same rows
+    as files loaded one by one; `_emailScope` is the email in its file, where rows know their file.
+    """
+    email = F.nullif(trimmed(F.lower(field_or_null(rows.columns, "contact_email"))), F.lit(""))
+    scope = F.concat(F.col("_sourceFile"), F.lit("\x01"), email) if "_sourceFile" in rows.columns else email
     return rows.withColumns({
         "_sourceHash": content_hash([field_or_null(rows.columns, f) for f in HASH_FIELDS]),
-        "_emailKey": F.nullif(trimmed(email), F.lit("")),
+        "_emailKey": email,
+        "_emailScope": scope,
     })
 
 
@@ -68,10 +74,10 @@ def hash_profile(
 
 
 def email_profile(keyed: DataFrame, order: str) -> DataFrame:
-    """First place and count of each email that occurs twice. Blank emails are left out beforehand."""
+    """First place and count of each email that occurs twice in a file. Blank emails are left out beforehand."""
     return (
-        keyed.where(F.col("_emailKey").isNotNull())
-        .groupBy("_emailKey")
+        keyed.where(F.col("_emailScope").isNotNull())
+        .groupBy("_emailScope")
         .agg(F.min(order).alias("_firstEmailRow"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )
@@ -105,8 +111,8 @@ def flag_duplicate_rows(keyed: DataFrame, hashes: Settled, order: str = "_rowNum
 
 
 def flag_duplicate_emails(keyed: DataFrame, emails: Settled, order: str = "_rowNumber", **how) -> DataFrame:
-    """Add `_duplicateEmail`: not the first row with its email, whatever the state of that first row."""
-    found = lookup(keyed, emails, "_emailKey", order, **how)
+    """Add `_duplicateEmail`: not the first row of its file with its email, whatever the state of that first row."""
+    found = lookup(keyed, emails, "_emailScope", order, **how)
     later = F.coalesce(F.col(order) > F.col("_firstEmailRow"), F.lit(False))
     return found.withColumn("_duplicateEmail", later).drop("_firstEmailRow", "n")
 
@@ -215,10 +221,16 @@ def quality_score(clean: Column, total: Column) -> Column:
 
 
 def row_issue_list(enriched: DataFrame, row: str = "_rowNumber") -> DataFrame:
-    """Rows with issues. Unsorted: sort on export."""
+    """Rows with issues, unsorted; `ordered_issues` gives them in row order."""
     return enriched.where(~F.col("_isClean")).select(row, F.col("_qualityIssues").alias("issue_types"))
 
 
+def ordered_issues(enriched: DataFrame, order: str = "_rowOrder") -> DataFrame:
+    """Rows with issues in the order of files and rows, for export: a range sort, no single task."""
+    place = [c for c in ("_sourceFile", "_rowNumber") if c in enriched.columns]
+    return enriched.where(~F.col("_isClean")).orderBy(order).select(*place, F.col("_qualityIssues").alias("issue_types"))
+
+
 def duplicate_list(enriched: DataFrame, row: str = "_rowNumber") -> DataFrame:
     company = field_or_null(enriched.columns, "company_name")
     return enriched.where("_duplicateRow").select(

@@ -13,6 +13,10 @@ from feedhouse.functions.text import empty_to_null
 from feedhouse.functions.times import stamp_literal
 from feedhouse.operators.quality import field_or_null
 from feedhouse.operators.spread import key_counts, lookup, settle_keyed
+from feedhouse.sources.tables import BROADCAST_BYTES
+
+# Memory for one broadcast run: its id, a stamp and the row around them.
+RUN_BYTES = 256
 
 
 def staging_rows(
@@ -40,6 +44,10 @@ def with_processed(staging: DataFrame, finished_runs: DataFrame, order: str = "s
     Derived on reading, so staged files are never rewritten. A run may hold most of the rows.
     """
     done = finished_runs.select(F.col("run_id").alias("pipeline_run_id"), "processed_at")
+    if done.count() * RUN_BYTES <= how.get("broadcast_bytes", BROADCAST_BYTES):
+        # The log of runs is small; staging is read once and not moved.
+        marked = staging.join(F.broadcast(done), "pipeline_run_id", "left").select(*staging.columns, "processed_at")
+        return marked.withColumn("is_processed", F.col("processed_at").isNotNull())
     counted = key_counts(staging, "pipeline_run_id").join(done, "pipeline_run_id")
     found = lookup(staging, settle_keyed(counted, "finished-runs"), "pipeline_run_id", order, **how)
     return found.drop("n").withColumn("is_processed", F.col("processed_at").isNotNull())

@@ -30,6 +30,9 @@ def daily_import_volume(facts: DataFrame, dates: DataFrame, since: dt.date | Non
     """Imports per day. `since` limits both sides before any work is done: the date key of a fact is its day."""
     if since is not None:
         facts = facts.where(F.col("date_key") >= since.year * 10000 + since.month * 100 + since.day)
+        if "import_month" in facts.columns:
+            # Facts of a warehouse lie in folders by month, which are left out unread.
+            facts = facts.where(F.col("import_month") >= since.strftime("%Y-%m"))
         dates = dates.where(F.col("full_date") >= F.lit(since))
     per_key = facts.groupBy("date_key").agg(
         F.count("import_key").alias("total_imports"),
@@ -98,7 +101,7 @@ def company_size_distribution(customers: DataFrame) -> DataFrame:
     give rows of their own with the same label. `customer_key` is the primary key, so rows are customers.
     """
     per_size = customers.groupBy("company_size").agg(F.count("customer_key").alias("customer_count"))
-    total = customers.agg(F.count("customer_key")).scalar()
+    total = per_size.agg(F.sum("customer_count")).scalar()
     label = F.coalesce(F.nullif(F.trim("company_size"), F.lit("")), F.lit("Not Specified"))
     return per_size.select(
         label.alias("company_size"), "customer_count", percent(F.col("customer_count"), total).alias("pct_of_total")
@@ -199,7 +202,7 @@ def worst_runs(runs: DataFrame, limit: int = 5) -> DataFrame:
 
 
 def new_vs_returning(runs: DataFrame, facts: DataFrame, customers: DataFrame) -> DataFrame:
-    """Distinct customers per run, and its facts split by whether the customer was first seen on the day of
+    """Distinct customers per run, latest run first, and its facts split by whether the customer was first seen on the day of
     the run or before.
 
     Facts shrink to one row per run and customer, and after the customer join to one row per run and
@@ -218,4 +221,4 @@ def new_vs_returning(runs: DataFrame, facts: DataFrame, customers: DataFrame) ->
         F.sum("customers").alias("total_customers"),
         F.sum(F.when(F.col("seen_on") == day, F.col("imports")).otherwise(0)).alias("new_customers"),
         F.sum(F.when(F.col("seen_on") < day, F.col("imports")).otherwise(0)).alias("returning_customers"),
-    )
+    ).orderBy(F.desc_nulls_first("started_at"))

@@ -11,21 +11,24 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedhouse.fixed import COUNTRY_CODES, CUSTOMER_LENGTHS, DATE_SPINE, EXPECTED_FIELDS, STAGING_LENGTHS
+from feedhouse.fixed import (
+    COUNTRY_CODES, CUSTOMER_LENGTHS, DATE_SPINE, DEFAULT_MAPPING, EXPECTED_FIELDS, STAGING_LENGTHS,
+)
 from feedhouse.functions.numbers import count_where
 from feedhouse.functions.times import date_key, stamp_literal, utc_now
 from feedhouse.operators import checks, delivery, dimension, facts, history, quality, rules, runs, staging
-from feedhouse.operators.mapping import map_rows
+from feedhouse.operators.mapping import map_rows, with_columns_of
 from feedhouse.operators.ranks import growing_key
 from feedhouse.operators.spread import settle_keyed
 from feedhouse.plans.schemas import TABLES
-from feedhouse.session import require_utc, scratch_path
+from feedhouse.session import delete_path, path_exists, require_utc, scratch_path
 from feedhouse.sources import seeds
-from feedhouse.sources.records import Feed, read_feed
+from feedhouse.sources.records import Feed, field_names, read_feed
 from feedhouse.sources.tables import Settled, Warehouse, Written, settle
 
 ORDER = "_rowOrder"
 KEEP = ("_sourceFile", "_rowNumber", ORDER)
+MAPPED = {"fieldMappings", "nestedMappings"}
 
 # Customer objects in, attempt log out: `email`, `attempt`, `status`, and optionally `error`, `response_id`, `name`
 # and `_rowOrder` (needed only where an email is sent more than once).
@@ -50,8 +53,11 @@ def read_table(warehouse: Warehouse, name: str) -> DataFrame | None:
 
 
 def run_log(warehouse: Warehouse) -> DataFrame:
-    """`pipeline_runs`: the current state of every run."""
-    return runs.fold_events(warehouse.spark.read.schema(runs.EVENT_SCHEMA).parquet(f"{warehouse.root}/run_events"))
+    """`pipeline_runs`: the current state of every run; empty where nothing ran yet."""
+    path = f"{warehouse.root}/run_events"
+    if not path_exists(warehouse.spark, path):
+        return runs.fold_events(warehouse.spark.createDataFrame([], runs.EVENT_SCHEMA))
+    return runs.fold_events(warehouse.spark.read.schema(runs.EVENT_SCHEMA).parquet(path))
 
 
 def log_event(warehouse: Warehouse, event: DataFrame) -> None:
@@ -62,7 +68,10 @@ def processed_staging(warehouse: Warehouse) -> DataFrame:
     """Staging with `is_processed` and `processed_at`."""
     ended = run_log(warehouse).where(F.col("status").isin("success", "partial"))
     ended = ended.select("run_id", F.col("completed_at").alias("processed_at"))
-    return staging.with_processed(read_table(warehouse, "stg_customers"), ended)
+    staged = read_table(warehouse, "stg_customers")
+    if staged is None:
+        staged = warehouse.spark.createDataFrame([], TABLES["stg_customers"])
+    return staging.with_processed(staged, ended)
 
 
 def warehouse_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
@@ -150,6 +159,7 @@ class _Run:
     load_id: str
     folder: str
     full_reload: bool
+    committed: bool = False
 
 
 @dataclass
@@ -230,6 +240,7 @@ def run_load(
     version: str = "1.0.0",
     source: Callable[[str], Feed] | None = None,
     also_written: dict[str, Callable[[str], Written]] | None = None,
+    label: str | None = None,
 ) -> LoadResult:
     """Load feed files into the warehouse at `root`.
 
@@ -249,7 +260,7 @@ def run_load(
     load_id = f"{run_id}-{uuid.uuid4().hex[:8]}"
     folder = f"{warehouse.root}/runs/{load_id}" if warehouse else scratch_path(spark, "run")
     run = _Run(run_id, at, version, load_id, folder, full_reload)
-    label = paths if isinstance(paths, str) else ", ".join(paths[:3])
+    label = label or (paths if isinstance(paths, str) else ", ".join(paths))
     if warehouse:
         prepare(warehouse, at)
         log_event(warehouse, runs.start_event(spark, run_id, label, at, version))
@@ -257,9 +268,10 @@ def run_load(
         return _run(spark, paths, warehouse, run, config or {}, gate, None if dry_run else deliver, country_codes,
                     source, also_written or {}, started)
     except Exception as error:
-        if warehouse:
+        # What is committed stays visible: such a run did not fail, even if its end could not be logged.
+        if warehouse and not run.committed:
             took = utc_now() - started
-            log_event(warehouse, runs.fail_event(spark, run_id, at, at + took, str(error)[:10_000]))
+            log_event(warehouse, runs.fail_event(spark, run_id, at, at + took, str(error)))
         raise
 
 
@@ -276,7 +288,8 @@ def _run(spark, paths, warehouse, run, config, gate, deliver, country_codes, sou
     dq_report = quality_report(spark, feed, assessed, run.at)
 
     passing = F.col("_isClean") if gate == "clean" else F.size("errors") == 0
-    mapped = map_rows(history.new_rows(rows).where(passing), config if "fieldMappings" in config else None, run.at, KEEP)
+    mapping = with_columns_of(config if config.keys() & MAPPED else DEFAULT_MAPPING, field_names(feed.header))
+    mapped = map_rows(history.new_rows(rows).where(passing), mapping, run.at, KEEP)
     customers = settle(mapped.customers, "customers", f"{run.folder}/customers")
     metrics = runs.RunMetrics(
         records_in_file=assessed.rows + parse_errors, records_parsed=assessed.rows, records_valid=stats["valid"],
@@ -318,8 +331,12 @@ def _run(spark, paths, warehouse, run, config, gate, deliver, country_codes, sou
             out.written[name] = write(run.load_id)
         if out.written:
             warehouse.commit(run.run_id, out.written, run.at)
+        run.committed = True
         ended = run.at + (utc_now() - started)
         log_event(warehouse, runs.complete_event(spark, run.run_id, run.at, ended, metrics, json.dumps(dq_report)))
+    # The row table holds all that the landed feed did; nothing reads these any more.
+    for name in ("feed", "feed-blocks", "incoming"):
+        delete_path(spark, f"{run.folder}/{name}")
     return result
 
 
@@ -355,7 +372,7 @@ def _report(spark, feed, assessed, transform_errors, outcomes, metrics, dq_repor
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{run.folder}/report")
     tables = {
         "rows": assessed.frame,
-        "row_issues": quality.row_issue_list(assessed.frame),
+        "row_issues": quality.ordered_issues(assessed.frame, ORDER),
         "duplicates": quality.duplicate_list(assessed.frame),
         "errors": errors.frame,
         "delivered": runs.delivered_customers(sent),

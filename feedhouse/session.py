@@ -62,8 +62,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/feedhouse-{app}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _file_system(spark, path)
+    return files.exists(place)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it; frames that still read it become unusable."""
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder, none if it is not there."""
+    place, files = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(entry.getPath().getName() for entry in files.listStatus(place))
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the scratch tables of this application; frames that still read them become unusable."""
     folder = f"{scratch_root(spark)}/feedhouse-{spark.sparkContext.applicationId}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, folder)

@@ -18,9 +18,6 @@ from feedhouse.functions.text import is_blank
 from feedhouse.session import scratch_path
 from feedhouse.sources.tables import BROADCAST_BYTES, Settled, row_bytes, settle
 
-# File ordinal and line number share one bigint; a file may hold 2^40 lines.
-LINE_BITS = 40
-
 
 def scan_lines(reader: DataFrameReader | DataStreamReader, paths: str | list[str]) -> DataFrame:
     """Non-blank lines with their file and block; LF, CRLF and CR end a line."""
@@ -70,7 +67,6 @@ def open_landing(spark: SparkSession, lines_paths: list[str], blocks_path: str |
         "_block",
         "_count",
         (F.coalesce(F.sum("_count").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-        (F.dense_rank().over(Window.orderBy("_sourceFile")) - 1).cast("bigint").alias("_file"),
     )
     return Landing(lines, settle(
         starts, "blocks", blocks_path, lines=F.sum("_count"), size=F.sum(row_bytes(starts))
@@ -90,7 +86,7 @@ def head_lines(landing: Landing) -> DataFrame:
 
 
 def number_lines(landing: Landing) -> DataFrame:
-    """Add `_rowNumber` (1-based in its file) and `_rowOrder` (file order, then row number)."""
+    """Add `_rowNumber` (1-based in its file) and `_rowOrder` (a struct: file, then row number)."""
     starts = landing.blocks.frame.drop("_count")
     # One row per input split: some 200 MB for 100 TB of text in splits of 128 MB.
     if landing.blocks.fits(BROADCAST_BYTES):
@@ -100,5 +96,5 @@ def number_lines(landing: Landing) -> DataFrame:
     return landing.lines.join(starts, ["_sourceFile", "_block"]).select(
         *keep,
         number.alias("_rowNumber"),
-        (F.shiftleft(F.col("_file"), LINE_BITS) + number).alias("_rowOrder"),
+        F.struct(F.col("_sourceFile").alias("file"), number.alias("row")).alias("_rowOrder"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedhouse.functions.numbers import count_where
 from feedhouse.functions.text import WHITE_SPACE
+from feedhouse.session import scratch_path
 from feedhouse.sources.lines import Landing, file_sizes, head_lines, land_lines, number_lines, scan_lines
 from feedhouse.sources.tables import settle
 
@@ -57,12 +59,32 @@ def read_header(spark: SparkSession, paths: str | list[str]) -> list[str]:
     return list(first.names)
 
 
-def resolve_header(header: list[str]) -> dict[str, int]:
-    """Trimmed name -> field place; the last of two equal names wins."""
+# Names that steps of a load give to their own columns; all others of theirs begin with an underscore.
+_TAKEN = {"n", "errors", "value"}
+_PLAIN = re.compile(r"[^\W_][^.`]*")
+
+
+def field_names(header: list[str]) -> dict[str, str]:
+    """Trimmed name -> column name, in header order; the last of two equal names wins.
+
+    A name that column expressions or the load's own columns could mistake, and the later of two names that differ in
+    case only, gets a column name by its place.
+    """
     places = {name.strip(WHITE_SPACE): place for place, name in enumerate(header)}
     if ROW_NUMBER in places:
         raise ValueError(f"{ROW_NUMBER} is a reserved column name")
-    return places
+    names, used = {}, {f"field{place}" for place in range(len(header))}
+    for name, place in places.items():
+        plain = _PLAIN.fullmatch(name) and name.lower() not in _TAKEN | used
+        names[name] = name if plain else f"field{place}"
+        used.add(names[name].lower())
+    return names
+
+
+def resolve_header(header: list[str]) -> dict[str, int]:
+    """Column name -> field place."""
+    places = {name.strip(WHITE_SPACE): place for place, name in enumerate(header)}
+    return {column: places[name] for name, column in field_names(header).items()}
 
 
 def pick_fields(fields: Column, header: list[str]) -> list[Column]:
@@ -130,16 +152,31 @@ def _as_feed(lines: DataFrame, header: list[str], count: int) -> Feed:
     return Feed(header, rows, errors, count)
 
 
-def _check_heads(other: DataFrame) -> None:
-    odd = [r._sourceFile for r in other.select("_sourceFile").limit(5).collect()]
-    if odd:
-        raise ValueError(f"files with another header need a load of their own: {odd}")
+def _refuse(files: DataFrame, text: str, folder: str | None) -> None:
+    """Raise if there is such a file; all their names are written to a table that the error names."""
+    if files.isEmpty():
+        return
+    path = f"{folder}/refused" if folder else scratch_path(files.sparkSession, "refused")
+    files.select("_sourceFile").distinct().write.mode("overwrite").parquet(path)
+    raise ValueError(f"{text}; first of them {files.agg(F.min('_sourceFile')).first()[0]}, all listed in {path}")
+
+
+def _check_heads(other: DataFrame, folder: str | None) -> None:
+    _refuse(other, "files with another header need a load of their own", folder)
+
+
+def _check_sizes(landing: Landing, folder: str | None, listed: DataFrame | None = None) -> None:
+    sizes = file_sizes(landing)
+    short = sizes.where("lines < 2").select("_sourceFile")
+    if listed is not None:
+        # A file without any line has no block.
+        short = short.unionByName(listed.join(sizes, "_sourceFile", "left_anti"))
+    _refuse(short, "a feed must have a header line and at least one data line", folder)
 
 
-def _check_sizes(landing: Landing) -> None:
-    empty = file_sizes(landing).where("lines < 2").limit(5).collect()
-    if empty:
-        raise ValueError(f"a feed must have a header line and at least one data line: {[r._sourceFile for r in empty]}")
+def _listed_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The files that a read of the paths covers; their contents are not read."""
+    return spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("_sourceFile"))
 
 
 def read_feed(spark: SparkSession, paths: str | list[str], target: str | None = None) -> Feed:
@@ -149,17 +186,17 @@ def read_feed(spark: SparkSession, paths: str | list[str], target: str | None =
     """
     header = read_header(spark, paths)
     landing = land_lines(spark, paths, lambda lines: _parse_columns(lines, header), target)
-    _check_sizes(landing)
-    _check_heads(head_lines(landing).where(~F.col("_isHeader")))
+    _check_sizes(landing, target, _listed_files(spark, paths))
+    _check_heads(head_lines(landing).where(~F.col("_isHeader")), target)
     return _as_feed(number_lines(landing), header, landing.blocks.stats["lines"])
 
 
 def feed_from_landing(landing: Landing, target: str | None = None) -> Feed:
     """The feed of lines landed as raw text, written once more as columns."""
-    _check_sizes(landing)
+    _check_sizes(landing, target)
     heads = head_lines(landing)
     first = heads.first().value
-    _check_heads(heads.where(F.col("value") != first))
+    _check_heads(heads.where(F.col("value") != first), target)
     header = list(heads.sparkSession.range(1).select(split_fields(F.lit(first)).alias("names")).first().names)
     parsed = settle(_parse_columns(number_lines(landing), header), "feed", target)
     return _as_feed(parsed.frame, header, parsed.rows)

@@ -1,65 +1,118 @@
 """Incremental ingest: land the files that arrived, then load what was landed and not loaded yet.
 
-Landing is a stateless streaming query; its checkpoint knows the files it has read and its sink log the
-Parquet files it has committed, so a restart neither loses nor repeats a file. The load records the landed
-files it used in the same commit as the rows, and staging hashes keep a repeated row out in any case.
+Landing is a stateless streaming query; its checkpoint knows the files it has read, and each of its batches has a
+folder of its own that a repeated batch overwrites, so a restart neither loses nor repeats a file. Batches that were
+loaded are recorded and their folders deleted, so what is looked at does not grow with history. Staging hashes keep
+a repeated row out in any case.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feedhouse.plans.load import LoadResult, read_table, run_load
+from feedhouse.functions.times import utc_now
+from feedhouse.operators import runs
+from feedhouse.plans.load import LoadResult, log_event, prepare, read_table, run_load
 from feedhouse.plans.schemas import LANDED_FILES
-from feedhouse.sources.lines import open_landing, scan_lines
+from feedhouse.session import delete_path, folder_names
+from feedhouse.sources.lines import Landing, file_sizes, head_lines, open_landing, scan_lines
 from feedhouse.sources.records import Feed, feed_from_landing
-from feedhouse.sources.tables import Warehouse, Written
+from feedhouse.sources.tables import Warehouse, Written, row_bytes, settle
 
 
 def land_arrivals(
     spark: SparkSession, arrivals: str, landing: str, checkpoint: str, files_per_batch: int | None = None
 ) -> StreamingQuery:
-    """Land the files that are in `arrivals` now, then stop."""
+    """Land the files that are in `arrivals` now, a folder per batch, then stop."""
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+
+    def land(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").option("maxRecordsPerFile", 0).parquet(f"{landing}/batch-{number}")
+
     return (
         scan_lines(reader, arrivals)
-        .writeStream.format("parquet")
+        .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", 0)
-        .outputMode("append")
         .trigger(availableNow=True)
-        .start(landing)
+        .start()
     )
 
 
-def pending_files(warehouse: Warehouse, landing: str) -> list[str]:
-    """Landed Parquet files no committed load has used; names only, the files are not read."""
-    landed = warehouse.spark.read.schema("value string, _sourceFile string, _block bigint").parquet(landing)
+def pending_batches(warehouse: Warehouse, landing: str) -> list[str]:
+    """Names of landed batches that no committed load has used; batches that were used are gone or named there."""
+    names = [n for n in folder_names(warehouse.spark, landing) if n.startswith("batch-")]
     used = read_table(warehouse, "landed_files")
-    done = set() if used is None else {r.landed_file for r in used.collect()}
-    return sorted(set(landed.inputFiles()) - done)
+    if used is None or not names:
+        return names
+    done = {r.landed_file for r in used.where(F.col("landed_file").isin(names)).collect()}
+    return [n for n in names if n not in done]
+
 
+def _one_header(landing: Landing, files: DataFrame, path: str) -> Landing:
+    """The landing of some files: lines meet their blocks, so leaving out blocks leaves out lines."""
+    blocks = landing.blocks.frame.join(files, "_sourceFile", "left_semi")
+    return Landing(landing.lines, settle(blocks, "blocks", path, lines=F.sum("_count"), size=F.sum(row_bytes(blocks))))
 
-def ingest(spark: SparkSession, arrivals: str, root: str, **options) -> LoadResult | None:
-    """Land what arrived and load it as one run; None when there is nothing new. `options` as in run_load."""
+
+def ingest(spark: SparkSession, arrivals: str, root: str, **options) -> list[LoadResult]:
+    """Land what arrived and load it, one run for all files with the same header; none when nothing is new.
+
+    A file without a data line is a failed run of its own and keeps no other file back. A file whose every line is
+    blank lands no line and is passed over. An error that is not the feed's fails the call; what was landed then
+    stays pending. `options` as in run_load.
+    """
     warehouse = Warehouse(spark, root)
-    warehouse.create()
+    prepare(warehouse, options.get("run_at"))
     landing = f"{warehouse.root}/landing/lines"
-    query = land_arrivals(spark, arrivals, landing, f"{warehouse.root}/landing/checkpoint")
-    query.awaitTermination()
-    files = pending_files(warehouse, landing)
-    if not files:
-        return None
+    land_arrivals(spark, arrivals, landing, f"{warehouse.root}/landing/checkpoint").awaitTermination()
+    batches = pending_batches(warehouse, landing)
+    if not batches:
+        return []
+    work = f"{warehouse.root}/landing/work-{uuid.uuid4().hex}"
+    landed = open_landing(spark, [f"{landing}/{b}" for b in batches], f"{work}/blocks")
+    results: list[LoadResult] = []
+    if landed.blocks.rows:
+        heads = settle(head_lines(landed).select("_sourceFile", "value").join(file_sizes(landed), "_sourceFile"),
+                       "heads", f"{work}/heads").frame
+        _fail_short_files(warehouse, heads.where("lines < 2"), options)
+        groups = heads.where("lines >= 2").groupBy("value").agg(F.min("_sourceFile").alias("first"))
+        for i, group in enumerate(groups.orderBy("first").collect()):  # distinct headers
+            files = heads.where((F.col("lines") >= 2) & (F.col("value") == group.value)).select("_sourceFile")
+            own = _one_header(landed, files, f"{work}/blocks-{i}")
+            own_options = dict(options)
+            if i and options.get("run_id"):
+                own_options["run_id"] = f"{options['run_id']}-{i + 1}"
+
+            def source(target: str, own: Landing = own) -> Feed:
+                return feed_from_landing(own, target)
 
-    def source(target: str) -> Feed:
-        return feed_from_landing(open_landing(spark, files, f"{target}-blocks"), target)
+            label = ", ".join(r[0] for r in files.orderBy("_sourceFile").collect())
+            results.append(run_load(spark, arrivals, root, source=source, label=label, **own_options))
+    warehouse.refresh()
+    load_id = f"landed-{uuid.uuid4()}"
+    path = warehouse.new_path("landed_files", load_id)
+    spark.createDataFrame([(b,) for b in batches], LANDED_FILES).coalesce(1).write.parquet(path)
+    warehouse.commit(load_id, {"landed_files": Written(path)}, utc_now())
+    for folder in [*[f"{landing}/{b}" for b in batches], work]:
+        delete_path(spark, folder)
+    return results
 
-    def record(load_id: str) -> Written:
-        path = warehouse.new_path("landed_files", load_id)
-        spark.createDataFrame([(f,) for f in files], LANDED_FILES).coalesce(1).write.parquet(path)
-        return Written(path)
 
-    return run_load(spark, arrivals, root, source=source, also_written={"landed_files": record}, **options)
+def _fail_short_files(warehouse: Warehouse, short: DataFrame, options: dict) -> None:
+    """A failed run in the log for each file without a data line, all in one write."""
+    at = options.get("run_at") or utc_now()
+    spark, version = warehouse.spark, options.get("version", "1.0.0")
+    text = "a feed must have a header line and at least one data line"
+    events = None
+    for row in short.select("_sourceFile").orderBy("_sourceFile").toLocalIterator():
+        run_id = str(uuid.uuid4())
+        for event in (runs.start_event(spark, run_id, row[0], at, version), runs.fail_event(spark, run_id, at, at, text)):
+            events = event if events is None else events.unionByName(event)
+    if events is not None:
+        log_event(warehouse, events)

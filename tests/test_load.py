@@ -212,11 +212,138 @@ def test_arrivals_are_loaded_once(spark, tmp_path):
     arrivals.mkdir()
     write(arrivals / "a.csv", FEED)
     write(arrivals / "b.csv", [line(20), line(1)])
-    first = ingest(spark, str(arrivals), root, run_id="r1", run_at=AT)
+    (first,) = ingest(spark, str(arrivals), root, run_id="r1", run_at=AT)
     assert (first.metrics.records_parsed, first.metrics.records_new) == (10, 10)
     assert first.dq_report["summary"]["duplicatesFound"] == 2
-    assert ingest(spark, str(arrivals), root) is None
+    assert ingest(spark, str(arrivals), root) == []
     write(arrivals / "c.csv", [line(21), line(2)])
-    second = ingest(spark, str(arrivals), root, run_id="r2", run_at=AT)
+    (second,) = ingest(spark, str(arrivals), root, run_id="r2", run_at=AT)
     assert (second.metrics.records_parsed, second.metrics.records_new) == (2, 1)
     assert table(root, spark, "dim_customer").count() == 6
+
+
+def test_bad_files_keep_no_good_file_back(spark, tmp_path):
+    arrivals, root = tmp_path / "in", str(tmp_path / "wh")
+    arrivals.mkdir()
+    write(arrivals / "a.csv", [line(1)])
+    (arrivals / "b.csv").write_text("company_name,contact_email,a.b\nAcme,a@b.co,1\n")
+    (arrivals / "c.csv").write_text(HEADER + "\n")
+    (arrivals / "d.csv").write_text("\n \n")
+    write(arrivals / "e.csv", [line(2)])
+    results = ingest(spark, str(arrivals), root, run_id="r1", run_at=AT)
+    assert [r.metrics.records_parsed for r in results] == [2, 1]
+    log = {r.source_file.split("/")[-1]: r.status for r in run_log(Warehouse(spark, root)).collect()}
+    assert sorted(log.values()) == ["failed", "success", "success"] and log["c.csv"] == "failed"
+    assert table(root, spark, "fact_customer_imports").count() == 3
+    write(arrivals / "f.csv", [line(3)])
+    assert [r.metrics.records_parsed for r in ingest(spark, str(arrivals), root)] == [1]
+    assert not [p for p in (tmp_path / "wh" / "landing" / "lines").iterdir() if p.name.startswith("batch")]
+
+
+def test_files_together_equal_files_one_by_one(spark, tmp_path):
+    one = write(tmp_path / "1.csv", [line(1, company_name="Old", country="US"), line(2)])
+    two = write(tmp_path / "2.csv", [line(1, company_name="New", country="DE", tax_id=""), line(3)])
+    run_load(spark, one, str(tmp_path / "a"), run_id="r1", run_at=AT)
+    run_load(spark, two, str(tmp_path / "a"), run_id="r2", run_at=AT)
+    together = run_load(spark, [one, two], str(tmp_path / "b"), run_id="r1", run_at=AT)
+    assert together.dq_report["summary"]["rowsWithIssues"] == 0
+    columns = ["contact_email", "company_name", "country_code", "tax_id"]
+    a, b = (sorted(map(tuple, table(str(tmp_path / r), spark, "dim_customer").select(columns).collect())) for r in "ab")
+    assert a == b and ("u1@x.co", "New", "DE", "T1") in b
+    assert [table(str(tmp_path / r), spark, "fact_customer_imports").count() for r in "ab"] == [4, 4]
+
+
+def test_run_log_names_all_files_and_whole_errors(spark, tmp_path, monkeypatch):
+    feeds = [write(tmp_path / f"{i}.csv", [line(i)]) for i in range(5)]
+    run_load(spark, feeds, str(tmp_path / "wh"), run_id="r1", run_at=AT)
+    assert run_log(Warehouse(spark, str(tmp_path / "wh"))).first().source_file == ", ".join(feeds)
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("x" * 30_000)
+
+    monkeypatch.setattr(load, "_load_staging", broken)
+    with pytest.raises(RuntimeError):
+        run_load(spark, write(tmp_path / "f.csv", [line(9)]), str(tmp_path / "wh"), run_id="r2", run_at=AT)
+    assert len(run_log(Warehouse(spark, str(tmp_path / "wh"))).where("run_id = 'r2'").first().error_message) == 30_000
+
+
+def test_blank_file_beside_a_good_one_is_refused(spark, tmp_path):
+    (tmp_path / "blank.csv").write_text("\n\n")
+    feeds = [write(tmp_path / "a.csv", [line(1)]), str(tmp_path / "blank.csv")]
+    with pytest.raises(ValueError, match="blank.csv"):
+        run_load(spark, feeds, str(tmp_path / "wh"))
+
+
+def test_a_commit_in_between_is_noticed(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    run_load(spark, write(tmp_path / "a.csv", [line(1)]), root, run_id="r1", run_at=AT)
+    late = Warehouse(spark, root)
+    assert late.last_key("dim_customer") == 1
+    run_load(spark, write(tmp_path / "b.csv", [line(2)]), root, run_id="r2", run_at=AT)
+    with pytest.raises(RuntimeError, match="another load"):
+        late.commit("r3", {}, AT)
+
+
+def test_empty_warehouse_can_be_read(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    warehouse.create()
+    assert all(t.count() == 0 for t in warehouse_tables(warehouse).values())
+    assert processed_staging(warehouse).count() == 0
+
+
+def test_feeds_go_after_the_run_and_vacuum_clears_the_rest(spark, tmp_path):
+    root = tmp_path / "wh"
+    for i in range(3):
+        run_load(spark, write(tmp_path / f"{i}.csv", [line(i)]), str(root), run_id=f"r{i}", run_at=AT)
+    assert not list(root.glob("runs/*/feed")) and not list(root.glob("runs/*/incoming"))
+    (root / "stg_customers" / "load_id=lost").mkdir()
+    gone = Warehouse(spark, str(root)).vacuum(keep=1)
+    assert len(gone) == 2 and len(list(root.glob("dim_customer/load_id=*"))) == 2
+    assert table(str(root), spark, "dim_customer").count() == 3
+    assert table(str(root), spark, "stg_customers").count() == 3
+
+
+def test_groups_only_and_redefined_transforms(spark, tmp_path):
+    config = {
+        "nestedMappings": {"contact": {"phone": {"from": "phone_number", "transform": "number"},
+                                       "first": {"from": "contact_first_name", "transform": "trim"}}},
+        "transforms": {"trim": "concat('<', value, '>')", "number": "cast(cast(value as int) + 1 as string)"},
+    }
+    feed = write(tmp_path / "f.csv", [line(1, phone_number="7"), line(2, phone_number="x")])
+    result = run_load(spark, feed, config=config, gate="valid")
+    rows = result.tables["customers"].orderBy("contact.phone").collect()
+    assert "name" not in result.tables["customers"].columns
+    assert [(r.contact.phone, r.contact.first) for r in rows] == [("8", "<A>"), ("x", "<A>")]
+
+
+def test_row_issues_come_in_row_order(spark, tmp_path):
+    feeds = [write(tmp_path / f"{n}.csv", [line(i, country="Nowhere") for i in range(30)]) for n in "ba"]
+    issues = run_load(spark, feeds).tables["row_issues"].collect()
+    places = [(r._sourceFile, r._rowNumber) for r in issues]
+    assert len(places) == 60 and places == sorted(places)
+
+
+def test_months_before_the_window_are_not_read(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    for i, day in enumerate([dt.datetime(2024, 1, 5), dt.datetime(2024, 3, 5)]):
+        run_load(spark, write(tmp_path / f"{i}.csv", [line(i)]), root, run_id=f"r{i}", run_at=day)
+    tables = warehouse_tables(Warehouse(spark, root))
+    volume = analytics.daily_import_volume(
+        tables["fact_customer_imports"], tables["dim_import_date"], dt.date(2024, 3, 1))
+    plan = volume._jdf.queryExecution().executedPlan().toString()
+    assert "import_month" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert [r.total_imports for r in volume.collect()] == [1]
+
+
+def test_any_header(spark, tmp_path):
+    names = ["company_name", "contact_email", "n", "a.b", "a`b", "errors", "_block", "_firstRow", "Contact_Email", "field3"]
+    (tmp_path / "f.csv").write_text(",".join(names) + "\n" + ",".join(["Acme", "a@b.co", *map(str, range(8))]) + "\n")
+    config = {"validationRules": {"required": ["company_name"]},
+              "fieldMappings": {"name": {"from": "company_name"}, "email": {"from": "contact_email"},
+                                "one": {"from": "a.b"}, "two": {"from": "n"}, "three": {"from": "Contact_Email"}}}
+    result = run_load(spark, str(tmp_path / "f.csv"), str(tmp_path / "wh"), config=config, gate="valid")
+    row = result.tables["customers"].first()
+    assert (row.name, row.email, row.one, row.two, row.three) == ("Acme", "a@b.co", "1", "0", "6")
+    assert result.dq_report["schemaDrift"]["unexpectedFields"] == names[2:]
+    assert [r.error for r in result.tables["errors"].collect()] == [
+        r.error for r in result.tables["errors"].where("stage = 'validation'").collect()]
