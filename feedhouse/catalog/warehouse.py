@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedhouse.catalog import relations as rel
+from feedhouse.catalog.feed import ROWS_PER_FILE, write_files
 from feedhouse.catalog.quality import enriched_feed
 from feedhouse.catalog.registry import query
 from feedhouse.catalog.relations import RUN_AT, RUN_AT_SQL, RUN_ID, row_number
@@ -18,10 +19,10 @@ from feedhouse.operators.mapping import map_rows
 from feedhouse.operators.runs import one_row
 from feedhouse.operators.spread import key_counts, settle_keyed
 from feedhouse.sources import seeds
+from feedhouse.sources.records import read_feed
 from feedhouse.sources.tables import settle
 
 
-
 def plain(name: str) -> Column:
     """A stamp without zone, as the SQL side holds it."""
     return F.col(name).cast("timestamp_ntz").alias(name)
@@ -353,3 +354,38 @@ def load_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
         checks.rejects(checks.check_rows(upserts, not_null=["phone_number"]), "dim_customer", "contact_email"),
         checks.reference_errors(violations, "import_key"),
     )
+
+
+# --- several files ------------------------------------------------------------------------------
+
+_FILES = 3
+
+
+@query("multi_file_load", f"""
+    with feed as (
+      select c_custkey as k, cast((c_custkey % {_FILES}) * 4000 + c_custkey // 250000 as varchar) as file, c_name as name,
+        'm' || (c_custkey // 4) || '@x.co' as email
+      from customer),
+    clean as (
+      select * from (select *, row_number() over (partition by file, email order by k) as place from feed) f
+      where place = 1),
+    ranked as (
+      select *, row_number() over (partition by email order by file, k) as early,
+        row_number() over (partition by email order by file desc, k desc) as late
+      from clean)
+    select email as contact_email, max(case when late = 1 then name end) as company_name,
+      max(case when early = 1 then 'T' || k end) as tax_id, count(*) as n
+    from ranked group by email""")
+def multi_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three files or more, emails shared between and within them: the upsert of the rows that are clean in their file."""
+    k = F.col("c_custkey")
+    fields = F.concat_ws(",", "c_name", F.concat(F.lit("m"), rel.text(F.floor(k / 4)), F.lit("@x.co")),
+                         F.concat(F.lit("T"), rel.text(k)))
+    lines = rel.table(spark, sf_dir, "customer").select(
+        ((k % _FILES) * (4000 * ROWS_PER_FILE) + k).alias("place"), fields.alias("line"))
+    rows = read_feed(spark, write_files(lines, "company_name,contact_email,tax_id", "files")).rows
+    keyed = quality.with_keys(rows)
+    flagged = quality.flag_duplicate_emails(keyed, quality.find_repeated_emails(keyed, "_rowOrder"), "_rowOrder")
+    customers = map_rows(flagged.where(~F.col("_duplicateEmail")), keep=("_sourceFile", "_rowNumber", "_rowOrder")).customers
+    upserts = dimension.one_per_email(dimension.dimension_columns(customers), "_rowOrder")
+    return upserts.select("contact_email", "company_name", "tax_id", "n")
