@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -29,18 +29,22 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once a session, so that Python tasks can import it anywhere."""
+    """Give this package to the executors once a session, by way of the shared folder, so that tasks can import it."""
     context = spark.sparkContext
     if getattr(context, "_feedhouse_shipped", False):
         return
-    path = os.path.join(tempfile.mkdtemp(prefix="feedhouse-code-"), "feedhouse_code.zip")
-    with zipfile.ZipFile(path, "w") as archive:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
         for folder, _, names in os.walk(_PACKAGE):
             for name in sorted(names):
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     archive.write(full, os.path.relpath(full, os.path.dirname(_PACKAGE)))
-    context.addPyFile(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'code')}.zip")
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+    stream.write(packed.getvalue())
+    stream.close()
+    context.addPyFile(place.toString())
     context._feedhouse_shipped = True
 
 
