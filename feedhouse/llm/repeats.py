@@ -32,9 +32,6 @@ GRAM = 32
 SLICE_BYTES = 1 << 19
 INDEX_BITS = 20
 
-# Tables of up to so many estimated bytes are sent to all tasks; larger ones are joined by shuffle.
-BROADCAST_BYTES = 32 << 20
-
 
 @dataclass(frozen=True)
 class Settings:
@@ -289,27 +286,23 @@ def with_rid(docs: DataFrame, name: str = "rid") -> DataFrame:
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
-def beside(docs: DataFrame, side: DataFrame, key: str, how: str, size: int) -> DataFrame:
-    """Join a wide table to a keyed one, which is sent to all tasks if its estimated size in bytes allows."""
-    return docs.join(F.broadcast(side) if size <= BROADCAST_BYTES else side, key, how)
-
-
 def repeated_spans(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """rid, spans: byte ranges [start, stop) covered by strings of `length` bytes that also start elsewhere.
 
     `texts` is (rid, text binary), read twice: pass a written table.
     """
     every = settle(anchor_table(texts, settings), "anchors")
-    several = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # Written, so that the join below has plain shuffles on both sides and a frequent gram can be split.
+    several = settle(every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "several")
     shared = settle(every.join(several, "gram", "left_semi"), "shared-anchors")
     place = F.struct("rid", "pos", "before", "after")
     contexts = settle(shared.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(place).alias("at")), "contexts")
     mixed = contexts.groupBy("gram").agg(
         F.count("*").alias("m"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("single"))
-    active = contexts.join(mixed.where("m > 1 and single > 0").select("gram"), "gram", "left_semi")
+    mixed = settle(mixed.where("m > 1 and single > 0").select("gram"), "mixed")
+    active = contexts.join(mixed, "gram", "left_semi")
     wanted = settle(active.groupBy(F.col("at.rid").alias("rid")).agg(F.collect_list(
         F.struct("gram", "context", "at.pos", "at.before", "at.after")).alias("cuts")), "wanted")
-    cuts, rows = wanted.agg(F.coalesce(F.sum(F.size("cuts")), F.lit(0)), F.count("*")).first()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
@@ -324,7 +317,7 @@ def repeated_spans(texts: DataFrame, settings: Settings = Settings()) -> DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                                  names=["key", "gram", "context", "before", "after"])
 
-    met = beside(texts, wanted, "rid", "inner", 48 * cuts + 64 * rows).select("text", "cuts")
+    met = texts.join(wanted, "rid").select("text", "cuts")
     buckets = settle(arrow_pass(met, cut, _BUCKET), "buckets")
     partly = repeat_reach(buckets, settings)
     wholly = contexts.where("n > 1").select("gram", "context", "at.before", "at.after")
@@ -358,8 +351,7 @@ def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def _with_spans(docs: DataFrame, settings: Settings) -> DataFrame:
     """`docs` (with a `text` that is binary and not null, and `rid`) plus `spans`."""
     spans = settle(repeated_spans(docs.select("rid", "text"), settings), "spans")
-    n, rows = spans.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0)), F.count("*")).first()
-    return beside(docs, spans, "rid", "left", 32 * n + 64 * rows)
+    return docs.join(spans, "rid", "left")
 
 
 REPORT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
