@@ -11,8 +11,10 @@ Nothing but lengths and row numbers leaves the texts; a group never holds more t
 
 from __future__ import annotations
 
+import json
 import os
 import random
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -25,8 +27,9 @@ from pyspark.sql import functions as F
 from feedhouse.llm.common import arrow_pass, documents, settle, ship_package
 
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 CACHED_CHARS = 64
+LATIN_LETTERS, LATIN_NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
 SLICE_ROWS = 256
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -58,9 +61,10 @@ def default_tokenizer() -> str:
 class WordIds:
     """Ids of whole texts, put together from the ids of their words, of which the recent ones are remembered.
 
-    The vocabulary never joins characters across white space, so words may be encoded apart. A text with special
-    token strings, or with a control character that Python but not the vocabulary takes for white space, is
-    encoded as one.
+    The vocabulary never joins characters across white space, so words may be encoded apart. A new word of Latin-1
+    letters is cut further, by the vocabulary's own pattern after lowering, so that its case and the signs around it
+    do not make it new. A text with special token strings, or with a control character that Python but not the
+    vocabulary takes for white space, is encoded as one.
     """
 
     def __init__(self, path: str):
@@ -69,29 +73,74 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            pattern = json.load(f)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        # Letters and numbers of Latin-1 in lower case, spelled out for Python's own, faster patterns.
+        self.cut = re.compile(pattern.replace(r"\p{L}", LATIN_LETTERS).replace(r"\p{N}", LATIN_NUMBERS)).findall
+        self.words, self.older_words = {}, {}
+        self.parts, self.older_parts = {}, {}
 
     def plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, "<u4").tobytes() for x in found]
 
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if any(c in text for c in "\x1c\x1d\x1e\x1f") or ("<|" in text and any(s in text for s in self.special)):
-            return self.plain([text])[0]
-        words = text.split()
-        known = self.known
-        new = list(set(words).difference(known))
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list(set(words))
+    def apart(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces without white space, encoded in one go and told apart by their places."""
+        found = self.tokenizer.encode("\n".join(pieces), add_special_tokens=False)
+        ids = np.asarray(found.ids, "<u4").tobytes()
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1
+        at = np.fromiter((start for start, _ in found.offsets), np.int64, len(found.offsets))
+        cuts = (4 * np.searchsorted(at, np.r_[0, np.cumsum(sizes)])).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def learn(self, words: set[str]) -> None:
+        """Put the words into `self.words`. Two generations are kept, so frequent words outlive the rare ones."""
+        if len(self.parts) > CACHED_WORDS:
+            self.parts, self.older_parts = {}, self.parts
+        known, parts = self.words, self.parts
+        cuts, new = {}, set()
+        for word in words:
+            ids = self.older_words.get(word)
+            if ids is not None:
+                known[word] = ids
+                continue
+            if word.isascii() or max(word) <= "\xff":
+                pieces = [word.lower()] if word.isalpha() else self.cut(word.lower())
+            else:
+                pieces = [word]
+            cuts[word] = pieces
+            for piece in pieces:
+                if piece not in parts:
+                    ids = self.older_parts.get(piece)
+                    if ids is None:
+                        new.add(piece)
+                    else:
+                        parts[piece] = ids
         if new:
-            known.update(zip(new, self.plain(new)))
-        joined = b"".join(map(known.__getitem__, words))
+            listed = list(new)
+            parts.update(zip(listed, self.apart(listed)))
+        for word, pieces in cuts.items():
+            known[word] = parts[pieces[0]] if len(pieces) == 1 else b"".join([parts[x] for x in pieces])
+        for piece in new:
+            if len(piece) > CACHED_CHARS:
+                del parts[piece]
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        split = [None if any(c in t for c in "\x1c\x1d\x1e\x1f") or ("<|" in t and any(s in t for s in self.special))
+                 else t.split() for t in texts]
+        wanted: set[str] = set()
+        for words in split:
+            wanted.update(words or ())
+        new = wanted.difference(self.words)
+        if len(self.words) + len(new) > CACHED_WORDS:
+            self.words, self.older_words, new = {}, self.words, wanted
+        self.learn(new)
+        for text, words in zip(texts, split):
+            yield self.plain([text])[0] if words is None else b"".join(map(self.words.__getitem__, words))
         for word in new:
             if len(word) > CACHED_CHARS:
-                del known[word]
-        return joined
+                del self.words[word]
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -113,8 +162,9 @@ def token_pieces(docs: DataFrame, path: str, capacity: int) -> DataFrame:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
                 rows: list[tuple] = []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = encoder.ids(text or "") + END_ID.to_bytes(4, "little")
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.ids(texts)):
+                    ids += END_ID.to_bytes(4, "little")
                     for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
                         cut = ids[4 * start : 4 * (start + capacity)]
                         rows.append((doc_id, piece, start, len(cut) // 4, zlib.crc32(cut)))

@@ -27,7 +27,14 @@ def test_words_apart_give_the_ids_of_the_whole(tokenizer):
     odd = "ab Éé ẍ̈ 'S 'll 12 ... <| <|endoftext|> \u0085 \x1c   ΑΣ İ 日本語 ́ \n \t ﬁ".split(" ")
     for _ in range(300):
         text = draw.choice([" ", "\n", "", " "]).join(draw.choices(odd, k=draw.randint(0, 12)))
-        assert words.ids(text) + packing.END_ID.to_bytes(4, "little") == whole(tokenizer, text)
+        assert next(words.ids([text])) + packing.END_ID.to_bytes(4, "little") == whole(tokenizer, text)
+
+
+def test_latin_words_are_cut_as_the_vocabulary_does(tokenizer):
+    words = packing.WordIds(packing.default_tokenizer())
+    signs = [chr(c) for c in range(0x21, 0x100) if c not in (0x85, 0xA0)]
+    texts = [a + "x" + b + "'" + a for a in signs for b in signs[::7]] + ["".join(signs)]
+    assert list(words.ids(texts)) == words.plain(texts)
 
 
 def test_pieces_and_places(awkward, tokenizer):
