@@ -6,9 +6,9 @@ in such a pair meet in a bucket. The chance of that falls with different shingle
 about the square of the share of shingles in common: with 24 tables, 98 % of pairs that differ in every tenth word
 meet, and 99.9 % of those that differ in every fifteenth.
 
-In a bucket all texts are compared with one center, not with each other. Links found so make components; buckets
-whose texts still lie in several components are gone through again with other centers until a round finds nothing
-new. A pair is linked if an alignment of their words, in a band as wide as the threshold allows, matches at least
+In a bucket all texts are compared with one center, not with each other. Links found so make components. What still
+lies in several components in a bucket of up to `crowd` texts is compared there, in one task that gives out links only;
+larger buckets are gone through again with other centers until a round finds nothing new. A pair is linked if an alignment of their words, in a band as wide as the threshold allows, matches at least
 `similarity` of all distinct places: m / (a + b - m), which is Jaccard similarity that minds the order.
 """
 
@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedhouse.llm.common import arrow_pass, documents, free_name, settle
-from feedhouse.llm.repeats import beside, with_rid
+from feedhouse.llm.common import arrow_pass, documents, free_name, settle, shared_partitions
+from feedhouse.llm.repeats import with_rid
 
 SLICE_ROWS = 64
 CACHED_WORDS = 500_000
@@ -35,6 +35,8 @@ class Settings:
     words: int = 5
     similarity: float = 0.8
     tables: int = 24
+    # Texts of a bucket that one task compares with each other.
+    crowd: int = 200
     seed: int = 20
 
 
@@ -197,18 +199,20 @@ def star_pairs(members: DataFrame, turn: int, similarity: float) -> DataFrame:
     centers = members.groupBy("key").agg(
         F.min(own).alias("center"), F.min("part").alias("first"), F.max("part").alias("last")
     ).where(F.col("first") != F.col("last")).select("key", "center")
-    met = members.join(centers, "key").where(F.col("part") != F.col("center.part"))
+    # Written, so that the join has plain shuffles on both sides and a large bucket can be split.
+    met = members.join(settle(centers, "centers"), "key").where(F.col("part") != F.col("center.part"))
     # Texts of very different length cannot be similar enough.
     close = F.least("n", "center.n") >= similarity * F.greatest(F.col("n"), F.col("center.n"))
-    return met.where(close).select(
+    met = met.where(close).select("id", "center")
+    if not turn:
+        # One comparison per text settles most of them; the others go on while parts differ.
+        met = met.groupBy("id").agg(F.min("center").alias("center"))
+    return met.select(
         F.least("id", "center.id").alias("a"), F.greatest("id", "center.id").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """Those of the written pairs whose texts are similar; `texts` is (rid, text binary)."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    needed = settle(ids, "needed")
-    size = 24 * needed.count()
+def packed_words(texts: DataFrame, needed: DataFrame) -> DataFrame:
+    """rid, h: 32-bit word hashes of the texts (rid, text binary) that are needed (rid)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
@@ -216,8 +220,54 @@ def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
                 [batch.column(0), pa.array([words_of(t).astype(np.uint32).tobytes()
                                             for t in batch.column(1).to_pylist()], pa.binary())], names=["rid", "h"])
 
-    found = settle(arrow_pass(beside(texts, needed, "rid", "inner", size).select("rid", "text"), pack,
-                              "rid bigint, h binary"), "word-hashes")
+    return settle(arrow_pass(texts.join(needed, "rid").select("rid", "text"), pack, "rid bigint, h binary"), "word-hashes")
+
+
+def crowd_links(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) between different parts in each bucket of the written table (key, id, part).
+
+    Buckets have at most `crowd` texts. Inside one, parts that a link has joined are not compared again.
+    """
+    words = packed_words(texts, members.select(F.col("id").alias("rid")).distinct()).withColumnRenamed("rid", "id")
+    parts = shared_partitions(members.sparkSession)
+    rows = members.select("key", "id", "part").join(words, "id").select("key", "id", "part", "h").repartition(
+        parts, "key").sortWithinPartitions("key", "id")
+
+    def links_of(held: list[dict]) -> Iterator[tuple[int, int]]:
+        joined = {r["part"]: r["part"] for r in held}
+
+        def root(part: int) -> int:
+            while joined[part] != part:
+                part = joined[part]
+            return part
+
+        hashes = [np.frombuffer(r["h"], np.uint32) for r in held]
+        for i, one in enumerate(held):
+            for j in range(i):
+                a, b = root(one["part"]), root(held[j]["part"])
+                if a != b and similar(hashes[i], hashes[j], settings.similarity):
+                    joined[max(a, b)] = min(a, b)
+                    yield held[j]["id"], one["id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        held: list[dict] = []
+        found: list[tuple[int, int]] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                for row in batch.slice(at, SLICE_ROWS).to_pylist():
+                    if held and held[-1]["key"] != row["key"]:
+                        found += links_of(held)
+                        held = []
+                    held.append(row)
+        found += links_of(held)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return arrow_pass(rows, run, "a bigint, b bigint").distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Those of the written pairs whose texts are similar; `texts` is (rid, text binary)."""
+    found = packed_words(texts, pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct())
     left = found.select(F.col("rid").alias("a"), F.col("h").alias("ha"))
     right = found.select(F.col("rid").alias("b"), F.col("h").alias("hb"))
 
@@ -258,12 +308,16 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("part")).unionByName(roots).distinct()
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+def linked(
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], similarity: float,
+    compare: Callable[[DataFrame], DataFrame] | None = None, crowd: int = 0,
+) -> DataFrame:
     """Verified links (a, b) between the ids that share a bucket; `members` is (key, id, n).
 
-    `verify` gets a written table of pairs and returns those that hold.
+    `verify` gets a written table of pairs and returns those that hold. After two turns `compare` gets the members of
+    buckets of up to `crowd` texts that still lie in several parts, and returns the links between those parts.
     """
-    crowded = members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    crowded = settle(members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "crowded")
     members = settle(members.join(crowded, "key", "left_semi").withColumn("part", F.col("id")), "members")
     found = tried = None
     turn = 0
@@ -277,12 +331,22 @@ def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], similar
         new = settle(verify(pairs), "links")
         found = new if found is None else settle(found.unionByName(new), "links")
         tried = pairs if tried is None else settle(tried.unionByName(pairs), "tried")
-        # The first turn finds nearly all; later ones go on while there is something to find.
+        # After the first turns, which find nearly all, others go on while there is something to find.
         if turn and new.isEmpty():
             break
         joined = members.drop("part").join(components(found), "id", "left")
         members = settle(joined.withColumn("part", F.coalesce("part", "id")), "members")
         turn += 1
+        if turn == 2 and compare is not None:
+            sizes = members.groupBy("key").agg(
+                F.count("*").alias("c"), F.min("part").alias("low"), F.max("part").alias("high"))
+            sizes = settle(sizes.where("low <> high").select("key", "c"), "several-parts")
+            open_rows = members.join(sizes, "key")
+            small = settle(open_rows.where(F.col("c") <= crowd).drop("c"), "small-buckets")
+            found = settle(found.unionByName(compare(small)), "links")
+            members = settle(open_rows.where(F.col("c") > crowd).drop("c"), "large-buckets")
+            if members.isEmpty():
+                break
     if found is None:
         found = members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     return found
@@ -302,7 +366,8 @@ def near_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     first = sketched.groupBy("text_hash").agg(F.min(F.struct("rid", "n", "keys")).alias("x"))
     distinct = settle(first.select("text_hash", F.col("x.rid").alias("id"), "x.n", "x.keys"), "distinct")
     members = distinct.where("n > 0").select("id", "n", F.explode(F.array_distinct("keys")).alias("key"))
-    links = linked(members, lambda pairs: verified(pairs, texts, settings), settings.similarity)
+    links = linked(members, lambda pairs: verified(pairs, texts, settings), settings.similarity,
+                   lambda open_rows: crowd_links(open_rows, texts, settings), settings.crowd)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n_links"))
     parts = components(links)
@@ -329,7 +394,7 @@ def keep_first(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     name = free_name(docs.columns, "_rid")
     classes = near_classes(with_rid(docs.select("doc_id", "text")), settings)
     gone = settle(classes.where("rid <> class_rid").select(F.col("rid").alias(name)), "copies")
-    return beside(with_rid(docs, name), gone, name, "left_anti", 24 * gone.count()).drop(name)
+    return with_rid(docs, name).join(gone, name, "left_anti").drop(name)
 
 
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
