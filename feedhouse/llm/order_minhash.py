@@ -283,19 +283,47 @@ def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
     return arrow_pass(both, check, "a bigint, b bigint")
 
 
-def components(links: DataFrame) -> DataFrame:
+def contracted(edges: DataFrame, chunk: int) -> tuple[DataFrame, int]:
+    """Edges (u, v) with v the smallest id that u reaches inside its chunk of about `chunk` edges, and the chunks."""
+    parts = max(1, -(-edges.count() // chunk))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while up.setdefault(x, x) != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                a, b = root(a), root(b)
+                up[max(a, b)] = min(a, b)
+        found = [(x, root(x)) for x in list(up) if up[x] != x]
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+    dealt = edges.repartition(parts) if parts > 1 else edges.coalesce(1)
+    return settle(arrow_pass(dealt, run, "u bigint, v bigint"), "contracted"), parts
+
+
+def components(links: DataFrame, chunk: int = 200_000) -> DataFrame:
     """id, part: the smallest id reachable over the links (a, b), for every id in them.
 
-    Large-star and small-star steps in turn, each written to the shared folder, until nothing moves.
+    Chunks of edges are contracted, one task each; if there are several, large-star and small-star steps follow,
+    each written to the shared folder, until nothing moves.
     """
     edges = settle(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
                    "edges")
     before = None
     while True:
+        edges, chunks = contracted(edges, chunk)
+        if chunks == 1:
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = settle(large.where("u <> v"), "large-star")
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = settle(large.where("u <> v").distinct(), "large-star")
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small_low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()

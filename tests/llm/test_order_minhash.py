@@ -119,8 +119,9 @@ def test_awkward_documents(awkward):
 
 def test_components(spark):
     links = [(i, i + 1) for i in range(10, 30)] + [(50, 7), (7, 60), (100, 101), (5, 5)]
-    found = dict(omh.components(spark.createDataFrame(links, "a long, b long")).collect())
-    assert found == {**{i: 10 for i in range(10, 31)}, 50: 7, 7: 7, 60: 7, 100: 100, 101: 100}
+    for chunk in (200_000, 6):
+        found = dict(omh.components(spark.createDataFrame(links, "a long, b long"), chunk).collect())
+        assert found == {**{i: 10 for i in range(10, 31)}, 50: 7, 7: 7, 60: 7, 100: 100, 101: 100}
 
 
 def test_empty_table(nothing):
