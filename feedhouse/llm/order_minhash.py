@@ -6,9 +6,11 @@ in such a pair meet in a bucket. The chance of that falls with different shingle
 about the square of the share of shingles in common: with 24 tables, 98 % of pairs that differ in every tenth word
 meet, and 99.9 % of those that differ in every fifteenth.
 
-In a bucket all texts are compared with one center, not with each other. Links found so make components. What still
-lies in several components in a bucket of up to `crowd` texts is compared there, in one task that gives out links only;
-larger buckets are gone through again with other centers until a round finds nothing new. A pair is linked if an alignment of their words, in a band as wide as the threshold allows, matches at least
+In a bucket all texts are compared with one center first, not with each other. Links found so make components. Buckets
+of more than `crowd` texts are gone through again with other centers while a round finds something new. Then all texts
+of different components that still share a bucket are compared, in tasks of about `crowd` texts that give out links
+only: a larger bucket is dealt into groups, and each two groups meet in a task, save those of its largest component.
+A pair is linked if an alignment of their words, in a band as wide as the threshold allows, matches at least
 `similarity` of all distinct places: m / (a + b - m), which is Jaccard similarity that minds the order.
 """
 
@@ -223,17 +225,54 @@ def packed_words(texts: DataFrame, needed: DataFrame) -> DataFrame:
     return settle(arrow_pass(texts.join(needed, "rid").select("rid", "text"), pack, "rid bigint, h binary"), "word-hashes")
 
 
-def crowd_links(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """Links (a, b) between different parts in each bucket of the written table (key, id, part).
+def dealt_crowds(members: DataFrame, crowd: int) -> DataFrame:
+    """Rows (key, low, high, own, id, part) of the buckets of `members` (key, id, part) that hold several parts.
 
-    Buckets have at most `crowd` texts. Inside one, parts that a link has joined are not compared again.
+    Each (key, low, high) is a task's share: the groups `low` and `high` of the bucket, of half a crowd each, or all of a
+    bucket of up to `crowd` texts. Groups of the largest part meet the others only, so that one large class costs rows
+    in proportion to its size.
     """
-    words = packed_words(texts, members.select(F.col("id").alias("rid")).distinct()).withColumnRenamed("rid", "id")
+    half = max(1, crowd // 2)
+    sizes = members.groupBy("key", "part").agg(F.count("*").alias("c")).groupBy("key").agg(
+        F.sum("c").alias("total"), F.max(F.struct("c", "part")).alias("top"), F.count("*").alias("parts"))
+    few = F.ceil((F.col("total") - F.col("top.c")) / half).cast("int")
+    many = F.ceil(F.col("top.c") / half).cast("int")
+    small = F.col("total") <= crowd
+    sizes = settle(sizes.where("parts > 1").select(
+        "key", F.col("top.part").alias("top"), F.when(small, 1).otherwise(few).alias("few"),
+        F.when(small, 0).otherwise(many).alias("many")), "several-parts")
+    rows = members.select("key", "id", "part").join(sizes, "key")
+    draw = F.xxhash64("id", F.lit("group"))
+    of_top = (F.col("part") == F.col("top")) & (F.col("many") > 0)
+    rows = rows.withColumn("own", F.when(of_top, F.col("few") + F.pmod(draw, F.greatest("many", F.lit(1)))).otherwise(
+        F.pmod(draw, "few")).cast("int"))
+    last = F.when(of_top, F.col("few")).otherwise(F.col("few") + F.col("many")) - 1
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return rows.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own",
+                       "id", "part")
+
+
+def crowd_links(
+    members: DataFrame, payload: Callable[[DataFrame], DataFrame], similarity: float, crowd: int,
+    alike: Callable[[np.ndarray, np.ndarray], bool],
+) -> DataFrame:
+    """Links (a, b) between different parts in each bucket of the written table (key, id, part), of whatever size.
+
+    `payload` gets a frame of ids and returns (id, h), h being 32-bit values; pairs that share enough of them go to
+    `alike`. A pair is compared in the first bucket it shares only. In a task, parts that a link has joined are not
+    compared again.
+    """
+    dealt = settle(dealt_crowds(members, crowd), "crowds")
+    # A pair of different parts shares no other buckets than those dealt out.
+    keys = dealt.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    values = settle(payload(keys.select("id")).join(keys, "id"), "crowd-texts")
     parts = shared_partitions(members.sparkSession)
-    rows = members.select("key", "id", "part").join(words, "id").select("key", "id", "part", "h").repartition(
-        parts, "key").sortWithinPartitions("key", "id")
+    rows = dealt.join(values, "id").select("key", "low", "high", "own", "id", "part", "keys", "h").repartition(
+        parts, "key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
 
     def links_of(held: list[dict]) -> Iterator[tuple[int, int]]:
+        if len({r["part"] for r in held}) < 2:
+            return
         joined = {r["part"]: r["part"] for r in held}
 
         def root(part: int) -> int:
@@ -242,24 +281,45 @@ def crowd_links(members: DataFrame, texts: DataFrame, settings: Settings) -> Dat
             return part
 
         hashes = [np.frombuffer(r["h"], np.uint32) for r in held]
-        for i, one in enumerate(held):
-            for j in range(i):
-                a, b = root(one["part"]), root(held[j]["part"])
-                if a != b and similar(hashes[i], hashes[j], settings.similarity):
+        sizes = np.array([len(h) for h in hashes])
+        starts = np.cumsum(sizes) - sizes
+        codes = np.unique(np.concatenate([labelled(h.astype(np.uint64)) for h in hashes]), return_inverse=True)[1]
+        keys = [frozenset(r["keys"]) for r in held]
+        own = np.array([r["own"] for r in held])
+        across = held[0]["low"] != held[0]["high"]
+        mark = np.zeros(int(codes.max()) + 1, bool)
+        for i in range(1, len(held)):
+            mine = codes[starts[i] : starts[i] + sizes[i]]
+            mark[mine] = True
+            # Values in common, with occurrences: nothing matches more.
+            possible = np.add.reduceat(mark[codes[: starts[i]]].astype(np.int64), starts[:i])
+            mark[mine] = False
+            enough = possible >= similarity * (sizes[:i] + sizes[i]) / (1 + similarity) - 1e-6
+            if across:
+                enough &= own[:i] != own[i]
+            for j in np.flatnonzero(enough).tolist():
+                a, b = root(held[i]["part"]), root(held[j]["part"])
+                if a == b or min(keys[i] & keys[j]) != held[i]["key"]:
+                    continue
+                if alike(hashes[i], hashes[j]):
                     joined[max(a, b)] = min(a, b)
-                    yield held[j]["id"], one["id"]
+                    yield min(held[i]["id"], held[j]["id"]), max(held[i]["id"], held[j]["id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         held: list[dict] = []
         found: list[tuple[int, int]] = []
+        place = None
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 for row in batch.slice(at, SLICE_ROWS).to_pylist():
-                    if held and held[-1]["key"] != row["key"]:
+                    now = row["key"], row["low"], row["high"]
+                    if held and place != now:
                         found += links_of(held)
                         held = []
+                    place = now
                     held.append(row)
-        found += links_of(held)
+        if held:
+            found += links_of(held)
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return arrow_pass(rows, run, "a bigint, b bigint").distinct()
@@ -338,12 +398,13 @@ def components(links: DataFrame, chunk: int = 200_000) -> DataFrame:
 
 def linked(
     members: DataFrame, verify: Callable[[DataFrame], DataFrame], similarity: float,
-    compare: Callable[[DataFrame], DataFrame] | None = None, crowd: int = 0,
+    compare: Callable[[DataFrame], DataFrame], crowd: int,
 ) -> DataFrame:
     """Verified links (a, b) between the ids that share a bucket; `members` is (key, id, n).
 
-    `verify` gets a written table of pairs and returns those that hold. After two turns `compare` gets the members of
-    buckets of up to `crowd` texts that still lie in several parts, and returns the links between those parts.
+    `verify` gets a written table of pairs and returns those that hold. After two turns, and further ones while there
+    are several parts in a bucket of more than `crowd` and new links are found, `compare` gets the members of all
+    buckets, whatever their size, that still hold several parts, and returns the links between those parts.
     """
     crowded = settle(members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "crowded")
     members = settle(members.join(crowded, "key", "left_semi").withColumn("part", F.col("id")), "members")
@@ -359,25 +420,23 @@ def linked(
         new = settle(verify(pairs), "links")
         found = new if found is None else settle(found.unionByName(new), "links")
         tried = pairs if tried is None else settle(tried.unionByName(pairs), "tried")
-        # After the first turns, which find nearly all, others go on while there is something to find.
-        if turn and new.isEmpty():
-            break
-        joined = members.drop("part").join(components(found), "id", "left")
-        members = settle(joined.withColumn("part", F.coalesce("part", "id")), "members")
+        if new.isEmpty():
+            if turn:
+                break
+        else:
+            joined = members.drop("part").join(components(found), "id", "left")
+            members = settle(joined.withColumn("part", F.coalesce("part", "id")), "members")
         turn += 1
-        if turn == 2 and compare is not None:
+        if turn > 1:
             sizes = members.groupBy("key").agg(
                 F.count("*").alias("c"), F.min("part").alias("low"), F.max("part").alias("high"))
-            sizes = settle(sizes.where("low <> high").select("key", "c"), "several-parts")
-            open_rows = members.join(sizes, "key")
-            small = settle(open_rows.where(F.col("c") <= crowd).drop("c"), "small-buckets")
-            found = settle(found.unionByName(compare(small)), "links")
-            members = settle(open_rows.where(F.col("c") > crowd).drop("c"), "large-buckets")
-            if members.isEmpty():
+            sizes = settle(sizes.where("low <> high").select("key", "c"), "open-buckets")
+            members = settle(members.join(sizes.select("key"), "key", "left_semi"), "members")
+            if sizes.where(F.col("c") > crowd).isEmpty():
                 break
-    if found is None:
-        found = members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    return found
+    # Stars see one center of a bucket a turn; what they left apart is compared in full.
+    rest = settle(compare(members), "links")
+    return rest if found is None else settle(found.unionByName(rest).distinct(), "links")
 
 
 # --- operator -----------------------------------------------------------------------------------------------------
@@ -394,8 +453,15 @@ def near_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     first = sketched.groupBy("text_hash").agg(F.min(F.struct("rid", "n", "keys")).alias("x"))
     distinct = settle(first.select("text_hash", F.col("x.rid").alias("id"), "x.n", "x.keys"), "distinct")
     members = distinct.where("n > 0").select("id", "n", F.explode(F.array_distinct("keys")).alias("key"))
-    links = linked(members, lambda pairs: verified(pairs, texts, settings), settings.similarity,
-                   lambda open_rows: crowd_links(open_rows, texts, settings), settings.crowd)
+
+    def payload(ids: DataFrame) -> DataFrame:
+        return packed_words(texts, ids.select(F.col("id").alias("rid"))).withColumnRenamed("rid", "id")
+
+    def compare(open_rows: DataFrame) -> DataFrame:
+        return crowd_links(open_rows, payload, settings.similarity, settings.crowd,
+                           lambda a, b: similar(a, b, settings.similarity))
+
+    links = linked(members, lambda pairs: verified(pairs, texts, settings), settings.similarity, compare, settings.crowd)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n_links"))
     parts = components(links)

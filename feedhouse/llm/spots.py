@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedhouse.llm.common import arrow_pass, documents, settle, shared_partitions
-from feedhouse.llm.order_minhash import components, linked
+from feedhouse.llm.order_minhash import components, crowd_links, linked
 from feedhouse.llm.repeats import with_rid
 
 CACHED_WORDS = 500_000
@@ -45,6 +45,8 @@ class Settings:
     anchors: frozenset[str] = frozenset(w for words in ANCHORS.values() for w in words)
     chain: int = 2  # content words of a spot
     similarity: float = 0.8
+    # Sets of a bucket that one task compares with each other.
+    crowd: int = 200
 
 
 # --- spots --------------------------------------------------------------------------------------------------------
@@ -245,7 +247,13 @@ def spot_links(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFr
 
         return arrow_pass(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), check, "a bigint, b bigint")
 
-    links = linked(arrow_pass(distinct, keys, "key bigint, id bigint, n bigint"), verify, least)
+    def payload(ids: DataFrame) -> DataFrame:
+        return distinct.withColumnRenamed("spots", "h").join(ids, "id")
+
+    def compare(open_rows: DataFrame) -> DataFrame:
+        return crowd_links(open_rows, payload, least, settings.crowd, lambda a, b: pruned_jaccard(a, b, least) >= least)
+
+    links = linked(arrow_pass(distinct, keys, "key bigint, id bigint, n bigint"), verify, least, compare, settings.crowd)
     return found.select("rid", "hash").join(ids, "hash").select("rid", "set_id"), links
 
 

@@ -102,6 +102,28 @@ def test_classes_equal_brute_force(spark, tmp_path):
     assert all(sum(r.kept for r in found if r.class_id == c) == 1 for c in groups)
 
 
+def test_large_buckets_are_compared_in_full(spark, tmp_path):
+    """Variants that are near their original only, in buckets of several crowds."""
+    draw = random.Random(12)
+    words = [f"w{i}" for i in range(100)]
+    rows = [(0, " ".join(words))]
+    for i in range(1, 500):
+        own = list(words)
+        for k in draw.sample(range(100), 8):
+            own[k] = f"v{i}x{k}"
+        rows.append((i, " ".join(own)))
+    draw.shuffle(rows)
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    settings = omh.Settings(crowd=20)
+    found = omh.near_duplicates(spark.read.parquet(str(tmp_path / "d")), settings).collect()
+    hashes = {i: omh.words_of(t.encode()) for i, t in rows}
+    keys = {i: set(omh.sketch(omh.shingles(h, 5), settings).tolist()) for i, h in hashes.items()}
+    near = {i for i in hashes if keys[0] & keys[i] and omh.similar(hashes[0], hashes[i], 0.8)}
+    assert len(near) > 490 and max(sum(k in own for own in keys.values()) for k in keys[0]) > 100
+    own_class = {r.class_id for r in found if r.doc_id == 0}
+    assert near <= {r.doc_id for r in found if r.class_id in own_class}
+
+
 def test_awkward_documents(awkward):
     rows = omh.near_duplicates(awkward).collect()
     assert len(rows) == awkward.count()
