@@ -13,6 +13,10 @@ from feedhouse.llm.packing import pack_documents
 from feedhouse.llm.repeats import remove_repeats
 
 
+# A passage of so many words is a long repeat, whatever its bytes.
+REPEATED_WORDS = 51
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within the cutoffs of their language and source."""
     return rules.keep_good(docs)
@@ -29,8 +33,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the byte strings that occur more than once."""
-    return remove_repeats(docs)
+    """All documents, without the byte strings, and the runs of over 50 words, that occur more than once."""
+    return remove_repeats(docs, words=REPEATED_WORDS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

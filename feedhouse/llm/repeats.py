@@ -16,8 +16,9 @@ equal. Nothing is dropped and no bucket is ever larger than `bucket_limit` in on
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -381,10 +382,45 @@ def repeat_report(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
     return arrow_pass(_with_spans(texts, settings).select("doc_id", "text", "spans"), run, REPORT)
 
 
-def remove_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+# --- runs of words ------------------------------------------------------------------------------------------------
+
+_WORD = re.compile(r"\S+")
+CODE = 8  # bytes that stand for a word
+
+
+def coded_words(texts: DataFrame) -> DataFrame:
+    """(rid, text binary) with CODE bytes for each word: repeated words are repeated bytes, whatever their length and
+    the white space between them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            coded = [b"".join([xxhash.xxh3_64_digest(w) for w in _WORD.findall(t.decode("utf-8", "replace"))])
+                     for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(coded, pa.binary())], names=["rid", "text"])
+
+    return arrow_pass(texts, run, "rid bigint, text binary")
+
+
+def byte_ranges(text: bytes, spans: list[dict] | None) -> list[dict]:
+    """Byte ranges of the text from the first to the last whole word of ranges of its coded words."""
+    if not spans:
+        return []
+    shown = text.decode("utf-8", "replace")
+    words = [m.span() for m in _WORD.finditer(shown)]
+    out = []
+    for start, stop in merged(spans):
+        first, last = -(-start // CODE), stop // CODE - 1
+        a, b = words[first][0], words[last][1]
+        at = len(shown[:a].encode())
+        out.append({"start": at, "stop": at + len(shown[a:b].encode())})
+    return out
+
+
+def remove_repeats(docs: DataFrame, settings: Settings = Settings(), words: int = 0) -> DataFrame:
     """`docs` with the repeated bytes taken out of `text`, and `n_chars`, where it is there, counted anew.
 
-    Characters of which only some bytes remain go too. Documents without repeats keep their rows as they are.
+    With `words`, runs of that many words that occur more than once go too, however short. Characters of which only
+    some bytes remain go too. Documents without repeats keep their rows as they are.
     """
     names = docs.columns
     own = [f"_c{i}" for i in range(len(names))]
@@ -394,12 +430,21 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            rows = [None if not found else kept_bytes(t, merged(found)).decode("utf-8", "ignore")
-                    for t, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(rows, pa.string())],
-                                             names=[*batch.schema.names[:-2], "cut"])
-
-    joined = _with_spans(held, settings).select(*own, "text", "spans")
+            rows = []
+            for t, found, runs in zip(*[batch.column(c).to_pylist() for c in ("text", "spans", "runs")]):
+                found = (found or []) + byte_ranges(t, runs)
+                rows.append(kept_bytes(t, merged(found)).decode("utf-8", "ignore") if found else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(rows, pa.string())],
+                                             names=[*batch.schema.names[:-3], "cut"])
+
+    joined = _with_spans(held, settings)
+    if words:
+        coded = settle(coded_words(held.select("rid", "text")), "coded-words")
+        runs = repeated_spans(coded, replace(settings, length=words * CODE))
+        joined = joined.join(settle(runs.withColumnRenamed("spans", "runs"), "runs"), "rid", "left")
+    else:
+        joined = joined.withColumn("runs", F.lit(None).cast("array<struct<start: bigint, stop: bigint>>"))
+    joined = joined.select(*own, "text", "spans", "runs")
     schema = T.StructType([*renamed.schema.fields, T.StructField("cut", T.StringType())])
     done = arrow_pass(joined, run, schema)
     columns = []

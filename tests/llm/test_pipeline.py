@@ -1,6 +1,7 @@
 """The pipeline: its stages' columns and order, planted cases, and the registered queries."""
 
 import os
+import random
 
 import pytest
 
@@ -53,3 +54,24 @@ def test_everything_kept_is_packed(passed):
     assert packed.select("doc_id").distinct().count() == passed[-2].count()
     tops = packed.groupBy("sequence_id").agg({"length": "sum"}).collect()
     assert max(r[1] for r in tops) <= 4096
+
+
+def test_short_passages_of_over_fifty_words_go(spark, tmp_path):
+    """Runs of 51 to 60 short words that two documents share go, runs of 50 stay."""
+    draw = random.Random(21)
+    word = lambda: "".join(draw.choices("abcdefghijé", k=draw.randint(1, 4)))
+    rows, shared = [], {}
+    for n in (50, 51, 55, 60):
+        shared[n] = [word() for _ in range(n)]
+        for k in (0, 1):
+            own = [[f"own{n}x{k}x{j}" for j in range(a, a + 30)] for a in (0, 30)]
+            blank = "\n " if k else " "
+            rows.append((n * 10 + k, " ".join(own[0]) + blank + blank.join(shared[n]) + " " + " ".join(own[1])))
+    assert all(len(" ".join(w).encode()) < 300 for w in shared.values())
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    out = corpus_pipeline.long_repeats(spark, spark.read.parquet(str(tmp_path / "d")), "")
+    before = dict(rows)
+    for doc_id, text in out.collect():
+        n = doc_id // 10
+        kept = before[doc_id].split()
+        assert text.split() == (kept if n == 50 else kept[:30] + kept[-30:])
