@@ -23,6 +23,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -282,9 +283,33 @@ def repeat_reach(contexts: DataFrame, settings: Settings) -> DataFrame:
 # --- operator -----------------------------------------------------------------------------------------------------
 
 
+def _of_files(docs: DataFrame) -> bool:
+    """Whether each row of `docs` is a row of a file, once."""
+    node = docs._jdf.queryExecution().analyzed()
+    while (kind := node.getClass().getSimpleName()) in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return kind == "LogicalRelation"
+
+
 def with_rid(docs: DataFrame, name: str = "rid") -> DataFrame:
-    """A number per row: the same each time a written table is read."""
-    return docs.withColumn(name, F.monotonically_increasing_id())
+    """A number per row: that of its file and its place in it, which no split of a later read can change.
+
+    A frame that is more than rows of Parquet files is written first.
+    """
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    held = None
+    if _of_files(docs):
+        try:
+            held = docs.select("*", *place)
+        except AnalysisException:  # files of another format
+            pass
+    if held is None:
+        held = settle(docs, "rows").select("*", *place)
+    files = sorted(r[0] for r in held.select("_file").distinct().collect())
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(files)), "_number bigint, _file string")
+    rid = F.shiftleft("_number", 40).bitwiseOR(F.col("_row"))
+    return held.join(F.broadcast(numbers), "_file").withColumn("_rid", rid).select(
+        *[F.col(f"`{c}`") for c in docs.columns if c != name], F.col("_rid").alias(name))
 
 
 def repeated_spans(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:

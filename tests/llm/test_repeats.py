@@ -90,3 +90,23 @@ def test_stage_keeps_rows_and_columns(awkward):
 def test_empty_table(nothing):
     assert repeats.repeat_report(nothing).collect() == []
     assert repeats.remove_repeats(nothing).collect() == []
+
+
+def test_row_numbers_do_not_follow_the_splits(spark, tmp_path):
+    rows = [(i, f"text {i} " * 50) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    frame.write.option("parquet.block.size", 20_000).parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    numbered = repeats.with_rid(docs.select("doc_id"))
+    seen, parts = [], set()
+    for size in ("128m", "4k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            again = numbered.select("*")
+            parts.add(again.rdd.getNumPartitions())
+            seen.append(dict(again.collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(parts) == 2 and seen[0] == seen[1] and len(set(seen[0].values())) == 3000
+    twice = repeats.with_rid(docs.crossJoin(spark.range(2)))
+    assert twice.select("rid").distinct().count() == 6000
