@@ -1,16 +1,16 @@
 """Code lengths by context-tree weighting over binary-decomposed bytes.
 
-A token (a word, or the end of a text) is spelled as its bytes and a closing byte, and every byte as eight binary
-decisions. A decision's contexts are the last 0, 1 ... `depth` bytes inside the token, blanks standing before its
-start. In each node of the context tree the Krichevsky-Trofimov estimate of its own counts is mixed half and half
-with the product of its children; so the prediction of a decision is a mixture over all depths, weighted by how
-well each explained the training tokens. A context that never occurred adds nothing, its parent's estimate holds.
+A text is lower-case words with one blank after each, and a closing byte; every byte is eight binary decisions. A
+decision's contexts are the last 0, 1 ... `depth` bytes of the running text, previous words included, blanks standing
+before its start. (`score_documents` cuts contexts at the start of each word, `score_running` does not.) In each node
+of the context tree the Krichevsky-Trofimov estimate of its own counts is mixed half and half with the product of its
+children; so the prediction of a decision is a mixture over all depths, weighted by how well each explained the
+training text. A context that never occurred adds nothing, its parent's estimate holds.
 
 Trees are built from counts over all training documents and grow with them. The work is dealt by context: nodes
 below one context of `depth - step` bytes are one group, bounded by 256^step contexts, whose root is then a leaf of
-the group above, up to the empty context; weights go down the same way. A token's probability does not depend on
-its neighbours, so it is worked out once per distinct word; a block of documents then meets the words that occur in
-it, and no vocabulary is ever sent whole.
+the group above, up to the empty context; weights go down the same way. A block of documents then meets the events, or
+in the word model the words, that occur in it, and no vocabulary is ever sent whole.
 """
 
 from __future__ import annotations
@@ -46,6 +46,8 @@ class Settings:
     words_per_block: int = 100_000
     # Rows that are worked on at once, plus the rest of the last group.
     chunk_rows: int = 200_000
+    # Bytes of running text whose events are counted at once.
+    slice_bytes: int = 1 << 20
 
 
 # --- counts -------------------------------------------------------------------------------------------------------
@@ -445,5 +447,175 @@ def score_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     return numbered.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(score, RESULT)
 
 
+# --- running text -------------------------------------------------------------------------------------------------
+
+
+def running(words: list[bytes]) -> bytes:
+    """The text that is coded: each word and a blank, then END."""
+    return b"".join([w + bytes([BLANK]) for w in words]) + bytes([END])
+
+
+def running_keys(text: bytes, depth: int, start: int = 0, stop: int | None = None) -> np.ndarray:
+    """Keys of the byte events of text[start:stop], as `spelled` makes them, each with the `depth` bytes in front of it
+    in the whole text; blanks stand before its start."""
+    part = (bytes([BLANK]) * max(0, depth - start)) + text[max(0, start - depth) : stop]
+    own = np.frombuffer(part, np.uint8)
+    n = len(own) - depth
+    keys = np.zeros(n, np.int64)
+    for back in range(1, depth + 1):
+        keys = keys << 8 | own[depth - back : depth - back + n]
+    return keys << 8 | own[depth:]
+
+
+def block_events(texts: DataFrame, settings: Settings) -> DataFrame:
+    """block, key, n: the byte events of each block of (block, text, held_out), n of them in training documents, or 0.
+
+    Events are counted slice by slice and summed per block, as far as one task reads it, before they leave the task.
+    """
+    depth, size = settings.depth, settings.slice_bytes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        now = None
+        held: list[tuple[np.ndarray, int]] = []
+        waiting = 0
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def count() -> None:
+            nonlocal held, waiting
+            if held:
+                keys = np.concatenate([k for k, _ in held])
+                n = np.concatenate([np.full(len(k), train, np.int64) for k, train in held])
+                done.append(summed(keys, n))
+            held, waiting = [], 0
+            if len(done) >= 16:
+                done[:] = [summed(*map(np.concatenate, zip(*done)))]
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            count()
+            if done:
+                keys, n = summed(*map(np.concatenate, zip(*done)))
+                done.clear()
+                yield from _rows({"block": np.full(len(keys), now, np.int64), "key": keys, "n": n}, len(keys))
+
+        for batch in batches:
+            for block, text, out in zip(*[batch.column(c).to_pylist() for c in ("block", "text", "held_out")]):
+                if block != now:
+                    if now is not None:
+                        yield from rows()
+                    now = block
+                whole = running(text.lower().split())
+                for start in range(0, len(whole), size):
+                    keys = running_keys(whole, depth, start, start + size)
+                    held.append((keys, 0 if out else 1))
+                    waiting += len(keys)
+                    if waiting >= size:
+                        count()
+        if now is not None:
+            yield from rows()
+
+    return arrow_pass(texts, run, "block bigint, key bigint, n bigint")
+
+
+def score_running(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """RESULT per document, as `score_documents` gives it, with contexts that run on over the ends of words.
+
+    Documents are dealt into blocks once and written, so that counts and scores are of the same blocks however often a
+    task runs.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
+    texts = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
+        (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
+    )
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for block, part in in_blocks(batches, settings.block_bytes):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, block)), *part.columns],
+                                             names=["block", *part.schema.names])
+
+    dealt = settle(arrow_pass(texts, deal, "block bigint, doc_id bigint, text binary, held_out boolean"), "blocks")
+    texts = dealt.select("block", "text", "held_out")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        now, seen, train = None, set(), Counter()
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            words = list(seen | set(train))
+            for a in range(0, len(words), 100_000):
+                part = words[a : a + 100_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(part), now)), pa.array(part, pa.binary()),
+                     pa.array([train[w] for w in part], pa.int64())], names=["block", "word", "n"])
+
+        for batch in batches:
+            for block, text, out in zip(*[batch.column(c).to_pylist() for c in ("block", "text", "held_out")]):
+                if block != now:
+                    if now is not None:
+                        yield from rows()
+                    now, seen, train = block, {b""}, Counter()
+                words = text.lower().split()
+                if out:
+                    seen.update(words)
+                else:
+                    train.update(words)
+                    train[b""] += 1
+        if now is not None:
+            yield from rows()
+
+    found = settle(arrow_pass(texts, split, "block bigint, word binary, n bigint"), "block-words")
+    words = settle(found.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    total, distinct = words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    met = settle(block_events(texts, settings), "block-events")
+    events = settle(met.groupBy("key").agg(F.sum("n").alias("n")), "events")
+
+    @F.pandas_udf("bigint")
+    def hashed(word: pd.Series) -> pd.Series:
+        return word.map(word_hash).astype("int64")
+
+    counts = found.select("block", "word").join(words, "word").select(
+        "block", F.lit(True).alias("is_word"), hashed("word").alias("key"), F.col("n").cast("double").alias("value"))
+    scores = met.select("block", "key").join(event_scores(events, settings), "key").select(
+        "block", F.lit(False).alias("is_word"), "key", F.col("log10").alias("value"))
+    known = counts.unionByName(scores)
+    depth, size = settings.depth, settings.slice_bytes
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        word = right.column("is_word").to_numpy()
+        keys, values = right.column("key").to_numpy(), right.column("value").to_numpy()
+        hashes, n = keys[word], values[word]
+        order = np.argsort(hashes)
+        hashes, n = hashes[order], n[order].astype(np.int64)
+        keys, values = keys[~word], values[~word]
+        order = np.argsort(keys)
+        keys, values = keys[order], values[order]
+        base = np.log10((n + 1) / (total + distinct + 1))
+        at: dict[bytes, int] = {}
+        out = []
+        for text in left.column("text").to_pylist():
+            own = text.lower().split()
+            whole = running(own)
+            own.append(b"")
+            for w in set(own):
+                if w not in at:
+                    at[w] = int(np.searchsorted(hashes, word_hash(w)))
+            index = np.fromiter(map(at.__getitem__, own), np.int64, len(own))
+            log10 = 0.0
+            for start in range(0, len(whole), size):
+                events = np.sort(running_keys(whole, depth, start, start + size))
+                log10 += float(values[np.searchsorted(keys, events)].sum())
+            out.append((len(index), int(np.count_nonzero(n[index])), float(base[index].sum()), log10,
+                        -log10 * float(np.log2(10)) / len(whole)))
+        tokens, seen, base_score, own_score, bits = zip(*out)
+        return pa.table({
+            "doc_id": left.column("doc_id"), "held_out": left.column("held_out"),
+            "n_tokens": pa.array(tokens, pa.int64()), "n_known": pa.array(seen, pa.int64()),
+            "train_tokens": pa.array([total] * len(out), pa.int64()), "base_score": pa.array(base_score),
+            "score": pa.array(own_score), "bits_per_byte": pa.array(bits)})
+
+    return dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(score, RESULT)
+
+
 def op9_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(documents(spark, sf_dir))
+    return score_running(documents(spark, sf_dir))

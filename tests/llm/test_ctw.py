@@ -1,6 +1,7 @@
 """Context-tree weighting against a tree kept in a dictionary, and the baseline against plain counting."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -104,3 +105,64 @@ def test_log_gamma():
 
 def test_empty_table(nothing):
     assert ctw.score_documents(nothing).collect() == []
+
+
+class RunningTree(Tree):
+    """The same over whole texts, each word with a blank behind it."""
+
+    def decisions(self, words):
+        text = b" " * self.depth + b"".join(w + b" " for w in words) + b"\n"
+        for i in range(self.depth, len(text)):
+            context = text[i - self.depth : i][::-1]
+            for k in range(8):
+                yield context, 1 << k | text[i] >> (8 - k), text[i] >> (7 - k) & 1
+
+
+@pytest.mark.parametrize("size", [50, 1 << 20])
+def test_running_scores_equal_the_plain_tree(awkward, size):
+    settings = ctw.Settings(block_bytes=4000, chunk_rows=500, slice_bytes=size)
+    docs = [(i, t.encode().lower().split()) for i, t in texts_of(awkward)]
+    train, words = Counter(), Counter()
+    for i, own in docs:
+        if fold(i) != 2:
+            train[tuple(own)] += 1
+            words.update([*own, b""])
+    tree = RunningTree(train, settings.depth)
+    total, distinct = sum(words.values()), len(words)
+    known = {own: tree.log10(own) for own in {tuple(own) for _, own in docs}}
+    expected = []
+    for i, own in docs:
+        tokens = [*own, b""]
+        expected.append((i, fold(i) == 2, len(tokens), sum(w in words for w in tokens), total,
+                         round(sum(math.log10((words[w] + 1) / (total + distinct + 1)) for w in tokens), 4),
+                         round(known[tuple(own)], 4)))
+    found = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), round(r.score, 4))
+             for r in ctw.score_running(awkward, settings).collect()]
+    assert multiset(found) == multiset(expected)
+
+
+def test_shuffled_words_score_lower(spark, tmp_path):
+    draw = random.Random(8)
+    follows = {f"w{i}": [f"w{draw.randrange(60)}" for _ in range(2)] for i in range(60)}
+
+    def chain(n):
+        out = ["w0"]
+        while len(out) < n:
+            out.append(draw.choice(follows[out[-1]]))
+        return out
+
+    held = [i for i in range(400) if fold(i) == 2]
+    texts = {i: chain(80) for i in range(400)}
+    for a, b in zip(held[::2], held[1::2]):
+        texts[b] = draw.sample(texts[a], 80)
+    folder = tmp_path / "sf" / "documents.parquet"
+    spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").write.parquet(str(folder))
+    rows = ctw.op9_context_tree_weighting(spark, str(tmp_path / "sf")).collect()
+    score = {r.doc_id: r.score for r in rows}
+    assert all(score[a] > score[b] + 20 for a, b in zip(held[::2], held[1::2]))
+    clean = set(held[::2])
+    assert sum(r.score for r in rows if r.doc_id in clean) > sum(r.base_score for r in rows if r.doc_id in clean)
+
+
+def test_empty_table_has_no_running_text(nothing):
+    assert ctw.score_running(nothing).collect() == []
