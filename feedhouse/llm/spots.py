@@ -2,6 +2,7 @@
 
 A text's fingerprint is the set of its spots, written out in full, so that likeness is the Jaccard similarity of the
 sets. The start of a text counts as an anchor too; a text without content words has one spot, made of all its words.
+Where fixed anchors are rare (lists, other languages), the word with the smallest hash in each few words is one too.
 
 For a similarity join, sets are partitioned by their length: similar ones lie in the same or a neighbouring
 partition, and share one of their first spots in a fixed order. Comparisons stop as soon as what is left cannot
@@ -44,6 +45,9 @@ ANCHORS = {
 class Settings:
     anchors: frozenset[str] = frozenset(w for words in ANCHORS.values() for w in words)
     chain: int = 2  # content words of a spot
+    # A text with more different words than this for each anchor takes an anchor from every `window` of its words.
+    sparse: int = 8
+    window: int = 4
     similarity: float = 0.8
     # Sets of a bucket that one task compares with each other.
     crowd: int = 200
@@ -89,7 +93,11 @@ def spots(text: str, settings: Settings) -> np.ndarray:
         return np.array([xxhash.xxh32_intdigest(h.tobytes())], np.uint32)
     # The start of the text, as an anchor in front of all words, takes what words there are.
     at = np.r_[-1, np.flatnonzero(anchor)]
-    first = np.searchsorted(content, at)
+    if len(h) > settings.sparse * len(at) and len(np.unique(h)) > settings.sparse * len(at):
+        # Chosen by the words around alone, so that a change elsewhere leaves it.
+        runs = np.lib.stride_tricks.sliding_window_view(h, min(settings.window, len(h)))
+        at = np.union1d(at, np.arange(len(runs)) + runs.argmin(axis=1))
+    first = np.searchsorted(content, at, side="right")
     full = first + settings.chain <= len(content)
     full[0] = True
     at, first = at[full], first[full]

@@ -125,3 +125,20 @@ def test_classes_equal_all_pairs(spark, tmp_path):
 
 def test_empty_table(nothing):
     assert spots.fingerprints(nothing).collect() == []
+
+
+def test_texts_without_anchors_are_covered():
+    """Lists that begin alike are told apart, and copies with a changed start or middle stay alike."""
+    draw = random.Random(3)
+    items = lambda n: [f"item{draw.randrange(10**6)}" for _ in range(n)]
+    found = lambda words, by=" | ": spots.spots(by.join(words), SETTINGS)
+    for by in (" | ", " "):
+        one, other = items(60), items(60)
+        assert spots.pruned_jaccard(found(one, by), found(one[:2] + other, by)) < 0.1
+        for changed in (0, 1, 30):
+            copy = one[:changed] + ["changed"] + one[changed + 1 :]
+            assert spots.pruned_jaccard(found(one, by), found(copy, by)) > 0.75
+        for k in range(2, 57):
+            assert spots.pruned_jaccard(found(one, by), found(one[:k] + other[:4] + one[k + 4 :], by)) < 1
+    text = prose(draw, 200)
+    assert len(found([text])) == len(plain_spots(text))
