@@ -3,7 +3,7 @@
 Texts are sequences of five-word shingles, a repeated shingle being told apart by its occurrence number. Each sketch
 table hashes the labelled shingles, keeps the two smallest and joins them in the order of the text; texts that agree
 in such a pair meet in a bucket. The chance of that falls with different shingles and with different order. It is
-about the square of the share of shingles in common: with 24 tables, 98 % of pairs that differ in every tenth word
+about the square of the share of shingles in common: with 24 tables, 94 % of pairs that differ in every tenth word
 meet, and 99.9 % of those that differ in every fifteenth.
 
 In a bucket all texts are compared with one center first, not with each other. Links found so make components. Buckets
