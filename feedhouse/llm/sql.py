@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that it can express."""
 
+from itertools import permutations
+
 _MEASURES = ["symbol_share", "dup_line_share", "repeat_share", "word_length"]
 _CELL = "((value >> greatest(0, length(bin(value)) - 6)) << greatest(0, length(bin(value)) - 6))"
 _MARGIN = "case measure when 'symbol_share' then 60 when 'dup_line_share' then 500 when 'repeat_share' then 250 else 400 end"
@@ -69,3 +71,99 @@ select m.doc_id, m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat
 from measured m
 {" ".join(f"join cuts c_{x} on c_{x}.measure = '{x}' and c_{x}.lang = m.lang and c_{x}.source = m.source" for x in _MEASURES)}
 """
+
+
+def _whole(column: str) -> str:
+    return f"list_transform({column}, lambda x: floor(256 * x::double))"
+
+
+_FINITE = "len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+EXACT_TOP_K = f"""
+with whole as (
+  select row_number() over () as rid, vec_id, {_whole("embedding")} as v from embeddings
+  where embedding is not null and {_FINITE}),
+scored as (
+  select q.rid, q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+  from whole q join whole c on q.rid <> c.rid where q.vec_id % 50 = 0),
+ranked as (
+  select *, row_number() over (partition by rid order by score desc, vec_id)::integer as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+def _turn(number: int) -> str:
+    """Assignment to the centroids of one turn, and the centroids after it."""
+    return f"""
+a{number} as materialized (
+  select rid, vec_id, v, cluster, d from (
+    select w.*, c.cluster, (list_dot_product(v, v) - 2 * list_dot_product(v, centre) + list_dot_product(centre, centre))::bigint as d,
+      row_number() over (partition by rid order by
+        list_dot_product(v, v) - 2 * list_dot_product(v, centre) + list_dot_product(centre, centre), c.cluster) as place
+    from whole w cross join c{number} c) where place = 1),
+c{number + 1} as materialized (
+  select c.cluster, coalesce(m.centre, c.centre) as centre from c{number} c left join (
+    select cluster, list(floor(total / n) order by i) as centre from (
+      select cluster, i, sum(v[i]) as total, count(*) as n
+      from (select cluster, v, unnest(range(1, 65)) as i from a{number}) group by cluster, i)
+    group by cluster) m on m.cluster = c.cluster)"""
+
+
+HEAP_CLUSTERS = f"""
+with whole as materialized (
+  select row_number() over () as rid, vec_id, {_whole("embedding")} as v from embeddings
+  where len(embedding) = 64 and {_FINITE}),
+c0 as materialized (
+  select (row_number() over (order by name) - 1)::integer as cluster, v as centre
+  from (select sha256('2:' || vec_id) as name, v from whole order by name limit 40)),
+{",".join(_turn(i) for i in range(6))}
+select vec_id, a.cluster, d as distance, (sum(d) over (partition by a.cluster))::bigint as cluster_inertia,
+  (sum(d) over ())::bigint as inertia,
+  sha256(array_to_string(list_transform(centre, lambda x: x::bigint::varchar), ',')) as centroid_sha256
+from a5 a join c5 c on c.cluster = a.cluster
+"""
+
+
+def _steps() -> str:
+    """Rows of order, step, bits before, own bit, for all orders of five filters."""
+    rows = []
+    for order in permutations("ABCDE"):
+        for i, letter in enumerate(order):
+            before = sum(1 << "ABCDE".index(x) for x in order[:i])
+            rows.append(f"('{''.join(order)}', {i + 1}, {before}, {1 << 'ABCDE'.index(letter)})")
+    return ", ".join(rows)
+
+
+FILTER_AUDIT = f"""
+with docs as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text, min(doc_id) over (partition by coalesce(text, ''))
+    as first_id
+  from documents),
+split as (
+  select *, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as words from docs),
+marks as (
+  select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels
+  where doc_id is not null group by doc_id),
+masked as (
+  select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+    (len(words) < 100)::int + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::int
+    + 4 * (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text))::int
+    + 8 * regexp_matches(text, '[#$%&*|]')::int + 16 * coalesce(first_id < s.doc_id, false)::int as mask
+  from split s left join marks m on m.doc_id = s.doc_id),
+cells as (
+  select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from masked group by part, mask),
+steps(filter_order, step, before, bit) as (values {_steps()}),
+stepped as (
+  select part, filter_order, step, bit,
+    sum(n) filter (mask & (before | bit) = 0) as kept, sum(n) filter (mask & before = 0 and mask & bit <> 0) as removed,
+    sum(n) filter (mask & before <> 0 and mask & bit <> 0) as redundant, sum(n) filter (mask = bit) as unique_fails,
+    sum(good) filter (mask & before = 0 and mask & bit <> 0) as good_lost,
+    sum(toxic) filter (mask & before = 0 and mask & bit <> 0) as toxic_lost
+  from cells cross join steps group by all)
+select part, filter_order, step::integer as step, coalesce(kept, 0)::bigint as kept,
+  coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+  coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost,
+  coalesce(toxic_lost, 0)::bigint as toxic_lost,
+  coalesce(sum(removed) over (partition by part, bit), 0)::bigint as shapley
+from stepped
+"""
