@@ -286,14 +286,14 @@ def with_inertia(assigned: DataFrame, centroids: Centroids) -> DataFrame:
     A sum that does not fit a long is null.
     """
     spark = assigned.sparkSession
-    names = [(c, hashlib.sha256(",".join(str(int(x)) for x in at).encode()).hexdigest())
-             for c, at in enumerate(centroids.at)]
-    hashes = spark.createDataFrame(names, "cluster int, centroid_sha256 string")
     table = settle(assigned, "assigned")
     # One row per cluster.
-    per_cluster = table.groupBy("cluster").agg(F.try_sum("distance").alias("cluster_inertia"))
-    whole = per_cluster.agg(F.try_sum("cluster_inertia").alias("inertia")).withColumn("all", F.lit(0))
-    few = per_cluster.join(hashes, "cluster").withColumn("all", F.lit(0)).join(F.broadcast(whole), "all").drop("all")
+    sums = table.groupBy("cluster").agg(F.try_sum("distance").alias("cluster_inertia")).collect()
+    total = sum(r.cluster_inertia for r in sums) if all(r.cluster_inertia is not None for r in sums) else None
+    total = None if total is None or total >= 2**63 else total
+    hashes = [hashlib.sha256(",".join(str(int(x)) for x in at).encode()).hexdigest() for at in centroids.at]
+    few = spark.createDataFrame([(r.cluster, r.cluster_inertia, total, hashes[r.cluster]) for r in sums],
+                                "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
     return table.join(F.broadcast(few), "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
