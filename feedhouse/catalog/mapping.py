@@ -74,11 +74,35 @@ def map_custom_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fieldMappings": {
             "city": {"from": "city", "transform": "shout"}, "code": {"from": "postal_code", "transform": "next"},
         },
-        "transforms": {"shout": "reverse(upper(trim(value)))", "next": "try_cast(value as int) + 1"},
+        "transforms": {"shout": "reverse(upper(trim(value)))", "next": "cast(value as int) + 1"},
     }
     return mapped_feed(spark, sf_dir, config).customers.select(row_number(), "city", "code")
 
 
+_BY_SQL = {
+    "fieldMappings": {
+        "code": {"from": "postal_code", "transform": "next"}, "town": {"from": "city", "transform": "other"},
+    },
+    "transforms": {"next": "cast(value as int) + 1", "other": "nullif(value, 'City 3')"},
+}
+
+
+@query("map_null_expr", """
+    select row_number, nullif(city, 'City 3') as town,
+      case when postal_code = 'n/a' then postal_code else cast(cast(postal_code as integer) + 1 as varchar) end as code
+    from customer_feed""")
+def map_null_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null that an expression gives is kept; only where it fails the raw value passes through."""
+    return mapped_feed(spark, sf_dir, _BY_SQL).customers.select(row_number(), "town", "code")
+
+
+@query("sql_transform_errors", """
+    select row_number, 'cast(value as int) + 1 failed for: ' || postal_code as error
+    from customer_feed where postal_code = 'n/a'""")
+def sql_transform_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mapped_feed(spark, sf_dir, _BY_SQL).errors.select(row_number(), "error")
+
+
 def number_rule() -> PythonTransform:
     """A Python transform that fails on anything but a whole number."""
 

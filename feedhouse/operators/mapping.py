@@ -6,7 +6,6 @@ import datetime as dt
 import json
 import warnings
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pandas as pd
@@ -65,48 +64,46 @@ class PythonTransform:
 Transform = Callable[[str], Column]
 
 
-def _expression(spark: SparkSession, text: str) -> Transform | None:
-    """A Spark SQL expression over `value`, or None where it does not resolve.
-
-    Where it gives null (as `try_cast` does for a bad value) the raw value passes through.
-    """
-
-    def apply(raw: str) -> Column:
-        return F.expr(f"coalesce(transform(array({raw}), value -> cast(({text}) as string))[0], {raw})")
-
-    try:
-        with _lenient(spark):
-            spark.range(0).select(apply("''"))
-    except (AnalysisException, ParseException):
-        return None
-    return apply
+class SqlTransform:
+    """A Spark SQL expression over `value`. What it gives is kept, null too; where it fails, as a cast of a bad value
+    does, the raw value passes through and the failure is told. Sessions without ANSI mode give null there instead."""
 
+    def __init__(self, text: str):
+        self.text = text
 
-@contextmanager
-def _lenient(spark: SparkSession) -> Iterator[None]:
-    """Expressions resolved inside give null for a value they cannot take, so that value passes through raw."""
-    before = spark.conf.get("spark.sql.ansi.enabled")
-    spark.conf.set("spark.sql.ansi.enabled", "false")
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.ansi.enabled", before)
-
-
-def build_transforms(spark: SparkSession, config: dict) -> dict[str, Transform | PythonTransform]:
+    def outcome(self, raw: str) -> Column:
+        """struct(value, error): on an error the raw value and the error text."""
+        # The result is marked, so that null is a value like others. The one built-in that takes any failure inside it
+        # for null is a conversion to bytes.
+        marked = f"transform(array({raw}), value -> coalesce(concat('v', cast(({self.text}) as string)), 'n'))[0]"
+        tried = F.expr(f"cast(try_to_binary({marked}, 'utf-8') as string)")
+        failed = tried.isNull()
+        value = F.when(failed, F.expr(raw)).when(tried != "n", F.substring(tried, 2, 2**31 - 1))
+        error = F.when(failed, F.concat(F.lit(f"{self.text} failed for: "), F.expr(raw)))
+        return F.struct(value.alias("value"), error.alias("error"))
+
+    def resolves(self, spark: SparkSession) -> bool:
+        try:
+            spark.range(0).select(self.outcome("''"))
+        except (AnalysisException, ParseException):
+            return False
+        return True
+
+
+def build_transforms(spark: SparkSession, config: dict) -> dict[str, Transform | SqlTransform | PythonTransform]:
     """Named transforms of a configuration.
 
     The four shipped names are built in as long as their text is the shipped one, or their name. Any other takes a
     PythonTransform or a Spark SQL expression over `value`; one that does not resolve is left out with a
     warning, and its fields pass through.
     """
-    built: dict[str, Transform | PythonTransform] = {}
+    built: dict[str, Transform | SqlTransform | PythonTransform] = {}
     for name, rule in (config.get("transforms") or {}).items():
         if isinstance(rule, PythonTransform):
             built[name] = rule
         elif name in BUILT_IN and rule in (name, SHIPPED_TRANSFORMS[name]):
             built[name] = lambda raw, fn=BUILT_IN[name]: fn(F.expr(raw))
-        elif (made := _expression(spark, rule)) is not None:
+        elif (made := SqlTransform(rule)).resolves(spark):
             built[name] = made
         else:
             warnings.warn(f'transform "{name}" is not a Spark SQL expression over value; its fields pass through')
@@ -139,12 +136,13 @@ def map_rows(
     """Customer objects: flat fields, then one struct per group, after the `keep` columns.
 
     A transform error is listed with its row; the row stays with the raw value (`on_error='raw'`) or is
-    left out (`on_error='reject'`). Only a PythonTransform can have errors.
+    left out (`on_error='reject'`). Built-in transforms have no errors.
     """
     config = config or DEFAULT_MAPPING
     transforms = build_transforms(rows.sparkSession, config)
     stamp = iso_stamp(stamp_literal(run_at or utc_now()))
     outcomes: dict[str, Column] = {}
+    slow: list[bool] = []
 
     def mapped(rule: dict) -> Column:
         if "value" in rule:
@@ -154,9 +152,10 @@ def map_rows(
         transform = transforms.get(rule.get("transform"))
         if transform is None:
             return F.expr(raw)
-        if isinstance(transform, PythonTransform):
+        if isinstance(transform, (PythonTransform, SqlTransform)):
             name = f"_outcome{len(outcomes)}"
-            outcomes[name] = transform.outcome(F.expr(raw))
+            slow.append(isinstance(transform, PythonTransform))
+            outcomes[name] = transform.outcome(F.expr(raw) if slow[-1] else raw)
             return F.col(name)["value"]
         return transform(raw)
 
@@ -170,15 +169,15 @@ def map_rows(
     columns = [c.alias(name) for name, c in {**flat, **groups}.items()]
     if not outcomes:
         none = rows.sparkSession.createDataFrame([], "_rowNumber bigint, error string")
-        with _lenient(rows.sparkSession):
-            return Mapped(rows.select(*keep, *columns), none)
-    # Written once: customers and errors both come from it, and each value is tried a single time.
-    tried = settle(rows.withColumns(outcomes), "tried").frame
+        return Mapped(rows.select(*keep, *columns), none)
+    tried = rows.withColumns(outcomes)
+    if any(slow):
+        # Written once: customers and errors both come from it, and each value is tried a single time.
+        tried = settle(tried, "tried").frame
     first_error = F.coalesce(*[F.col(name)["error"] for name in outcomes])
     errors = tried.where(first_error.isNotNull()).select("_rowNumber", first_error.alias("error"))
     kept = tried.where(first_error.isNull()) if on_error == "reject" else tried
-    with _lenient(rows.sparkSession):
-        return Mapped(kept.select(*keep, *columns), errors)
+    return Mapped(kept.select(*keep, *columns), errors)
 
 
 def flat_customers(customers: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

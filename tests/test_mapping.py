@@ -45,12 +45,30 @@ def test_expression_and_bad_expression(rows):
         },
         "transforms": {
             "twice": "concat(trim(value), value)", "script": "value => value.trim()",
-            "number": "try_cast(value as int) + 1",
+            "number": "cast(value as int) + 1",
         },
     }
     with pytest.warns(UserWarning, match="script"):
-        found = map_rows(rows, config).customers.orderBy("_rowNumber").collect()
+        mapped = map_rows(rows, config)
+    found = mapped.customers.orderBy("_rowNumber").collect()
     assert [(r.a, r.b, r.c) for r in found] == [("de de ", " de ", "555.0200 x1"), ("xx", "x", "8")]
+    assert [(r._rowNumber, r.error) for r in mapped.errors.collect()] == [
+        (2, "cast(value as int) + 1 failed for: 555.0200 x1")]
+
+
+def test_null_of_an_expression_is_kept(rows):
+    config = {
+        "fieldMappings": {"a": {"from": "country", "transform": "none"}, "b": {"from": "phone_number", "transform": "number"},
+                          "c": {"from": "phone_number", "transform": "split"}},
+        "transforms": {"none": "nullif(value, 'x')", "number": "try_cast(value as int) + 1",
+                       "split": "element_at(split(value, ' '), 2)"},
+    }
+    mapped = map_rows(rows, config)
+    found = mapped.customers.orderBy("_rowNumber").collect()
+    assert [(r.a, r.b, r.c) for r in found] == [(" de ", None, "x1"), (None, "8", "7")]
+    assert [r._rowNumber for r in mapped.errors.collect()] == [3]
+    rejected = map_rows(rows, config, on_error="reject").customers.collect()
+    assert [r._rowNumber for r in rejected] == [2]
 
 
 @pytest.mark.parametrize("on_error, kept", [("raw", [2, 3]), ("reject", [3])])
