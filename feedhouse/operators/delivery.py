@@ -6,8 +6,9 @@ for a network error), and optionally `error` (text) and `response_id`.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from feedhouse.fixed import BACKOFF_MS, BATCH_SIZE, DELIVERY_ATTEMPTS
 from feedhouse.functions.nested import record_json
 from feedhouse.functions.numbers import count_where
 from feedhouse.operators.ranks import dense_numbers
+from feedhouse.sources.tables import settle
 
 
 def is_success(status: Column) -> Column:
@@ -87,13 +89,41 @@ def delivery_summary(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def _cut(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Runs of rows of one batch: `batch_id`, `first` place, `payloads`. Rows come in order of place."""
+    schema = pa.schema([("batch_id", pa.int64()), ("first", pa.int64()), ("payloads", pa.list_(pa.string()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, first, held = None, 0, []
+        for batch in batches:
+            rows = []
+            for place, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if (place - 1) // size != number:
+                    if held:
+                        rows.append((number, first, held))
+                    number, first, held = (place - 1) // size, place, []
+                held.append(payload)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+        if held:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c], t) for c, t in zip((number, first, held), schema.types)], schema=schema)
+
+    return run
+
+
 def payload_batches(customers: DataFrame, order: str = "_rowNumber", size: int = BATCH_SIZE) -> DataFrame:
-    """Customer objects as JSON, `size` per batch in row order; the last batch may be short."""
+    """Customer objects as JSON, `size` per batch in row order; the last batch may be short.
+
+    Payloads are sorted into ranges once, and batches are cut where they lie. Only batches that lie on two tasks, two a
+    task at most, meet by shuffle.
+    """
     fields = [c for c in customers.columns if not c.startswith("_")]
     payloads = customers.select(order, record_json(fields).alias("payload"))
-    numbered = dense_numbers(payloads, order, "_place", "payloads")
-    batch = F.floor((F.col("_place") - 1) / size).cast("bigint").alias("batch_id")
-    groups = numbered.groupBy(batch).agg(
-        F.array_sort(F.collect_list(F.struct("_place", "payload"))).alias("_items")
-    )
-    return groups.select("batch_id", F.col("_items.payload").alias("payloads"))
+    numbered = dense_numbers(payloads, order, "_place", "payloads").select("_place", "payload")
+    cut = settle(numbered.mapInArrow(_cut(size), "batch_id bigint, first bigint, payloads array<string>"), "batches").frame
+    whole = F.size("payloads") == size
+    parts = cut.where(~whole).groupBy("batch_id").agg(
+        F.array_sort(F.collect_list(F.struct("first", "payloads"))).alias("_parts"))
+    joined = parts.select("batch_id", F.flatten("_parts.payloads").alias("payloads"))
+    return cut.where(whole).select("batch_id", "payloads").unionByName(joined)

@@ -27,21 +27,26 @@ def run_health(runs: DataFrame) -> DataFrame:
 
 
 def daily_import_volume(facts: DataFrame, dates: DataFrame, since: dt.date | None = None) -> DataFrame:
-    """Imports per day. `since` limits both sides before any work is done: the date key of a fact is its day."""
+    """Imports per day. `since` limits both sides before any work is done: the date key of a fact is its day.
+
+    Facts of a warehouse lie in folders by month, and meet the dates by month too, so a condition on the days of the
+    result leaves folders out unread.
+    """
     if since is not None:
         facts = facts.where(F.col("date_key") >= since.year * 10000 + since.month * 100 + since.day)
         if "import_month" in facts.columns:
-            # Facts of a warehouse lie in folders by month, which are left out unread.
             facts = facts.where(F.col("import_month") >= since.strftime("%Y-%m"))
         dates = dates.where(F.col("full_date") >= F.lit(since))
-    per_key = facts.groupBy("date_key").agg(
+    keys = ["date_key", *[c for c in ("import_month",) if c in facts.columns]]
+    per_key = facts.groupBy(*keys).agg(
         F.count("import_key").alias("total_imports"),
         count_where(F.col("was_valid")).alias("valid_imports"),
         count_where(~F.col("was_valid")).alias("invalid_imports"),
         count_where(F.col("api_success")).alias("api_success"),
     )
-    days = dates.select("date_key", "full_date", "year", "month", "month_name", "day_name")
-    return per_key.join(days, "date_key").groupBy("full_date", "year", "month", "month_name", "day_name").agg(
+    days = dates.select("date_key", "full_date", "year", "month", "month_name", "day_name",
+                        F.date_format("full_date", "yyyy-MM").alias("import_month"))
+    return per_key.join(days, keys).groupBy("full_date", "year", "month", "month_name", "day_name").agg(
         *[F.sum(c).alias(c) for c in ("total_imports", "valid_imports", "invalid_imports", "api_success")]
     ).withColumn("daily_success_rate", percent(F.col("api_success"), F.col("total_imports")))
 
