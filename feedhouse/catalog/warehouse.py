@@ -19,7 +19,7 @@ from feedhouse.operators.mapping import map_rows
 from feedhouse.operators.runs import one_row
 from feedhouse.operators.spread import key_counts, settle_keyed
 from feedhouse.sources import seeds
-from feedhouse.sources.records import read_feed
+from feedhouse.sources.records import field_names, read_feed
 from feedhouse.sources.tables import settle
 
 
@@ -389,3 +389,42 @@ def multi_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = map_rows(flagged.where(~F.col("_duplicateEmail")), keep=("_sourceFile", "_rowNumber", "_rowOrder")).customers
     upserts = dimension.one_per_email(dimension.dimension_columns(customers), "_rowOrder")
     return upserts.select("contact_email", "company_name", "tax_id", "n")
+
+
+@query("multi_file_history", f"""
+    with feed as (
+      select *, 1 + row_number() over (partition by file_no order by k) as row_number from (
+        select c_custkey as k, c_custkey // 4 as g, cast((c_custkey % {_FILES}) * 4000 + c_custkey // 250000 as integer)
+          as file_no, case when c_custkey % 7 = 0 then ' ' else c_mktsegment end as phone
+        from customer) f),
+    kept as (select g, min(cast(file_no as varchar)) as first_file from feed where g % 11 <> 0 group by g),
+    flagged as (
+      select f.*, coalesce(k.first_file < cast(f.file_no as varchar), false) as loaded,
+        row_number() over (partition by f.g, file_no order by f.k) > 1 as later
+      from feed f left join kept k on k.g = f.g)
+    select file_no, row_number, loaded, loaded or later as duplicate_row,
+      not (loaded or later) and g % 11 <> 0 as staged, not loaded and phone <> ' ' as becomes_fact,
+      case when phone = ' ' then 'Missing required field: "phone.no"' else '' end as errors
+    from flagged""")
+def multi_file_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows repeated within and across files, some too long for staging, and a rule on a field named `phone.no`.
+
+    What staging took from an earlier file counts as loaded, so files together give what they give one by one.
+    """
+    k = F.col("c_custkey")
+    group = rel.text(F.floor(k / 4))
+    tax = F.when(F.floor(k / 4) % 11 == 0, F.repeat(F.lit("9"), 101)).otherwise(F.lit("T"))
+    fields = F.concat_ws(",", F.concat(F.lit("Firm "), group), F.concat(F.lit("m"), group, F.lit("@x.co")), tax,
+                         F.when(k % 7 == 0, F.lit(" ")).otherwise(F.col("c_mktsegment")))
+    lines = rel.table(spark, sf_dir, "customer").select(
+        ((k % _FILES) * (4000 * ROWS_PER_FILE) + k).alias("place"), fields.alias("line"))
+    feed = read_feed(spark, write_files(lines, "company_name,contact_email,tax_id,phone.no", "files"))
+    kept = staging.insertable(feed.rows.columns)
+    enriched = quality.enrich(feed.rows, None, "_rowOrder", feed_rows=feed.lines, kept=kept)
+    checked = rules.validate(enriched, {"required": ["phone.no"]}, field_names(feed.header))
+    return checked.select(
+        F.regexp_extract("_sourceFile", r"file_no=(\d+)", 1).cast("int").alias("file_no"),
+        F.col("_rowNumber").alias("row_number"), F.col("_loaded").alias("loaded"),
+        F.col("_duplicateRow").alias("duplicate_row"), (~F.col("_duplicateRow") & kept).alias("staged"),
+        (~F.col("_loaded") & (F.size("errors") == 0)).alias("becomes_fact"),
+        F.concat_ws("; ", "errors").alias("errors"))

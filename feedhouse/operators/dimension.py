@@ -61,7 +61,8 @@ def one_per_email(incoming: DataFrame, order: str = "_rowNumber", **how) -> Data
     `n` counts the rows. Only figures are grouped; the rows themselves are not shuffled unless very many
     emails repeat, and a repeated email is combined before anything moves.
     """
-    columns = ["contact_email", *REPLACED, "tax_id"]
+    runs = [c for c in ("source_run_id",) if c in incoming.columns]
+    columns = ["contact_email", *REPLACED, *runs, "tax_id"]
     counts = incoming.groupBy("contact_email").agg(
         F.min(order).alias("_firstRow"), F.max(order).alias("_lastRow"), F.count(F.lit(1)).alias("n")
     )
@@ -79,50 +80,70 @@ def one_per_email(incoming: DataFrame, order: str = "_rowNumber", **how) -> Data
 
 
 def surrogate_keys(emails: DataFrame, first_free: int) -> DataFrame:
-    """`customer_key` for new emails: growing with the email, dense, starting at `first_free`."""
+    """`customer_key` for new emails: growing with the email, dense, starting at `first_free`. Emails alone move."""
     ranked = dense_numbers(emails.select("contact_email"), "contact_email", "_rank", "new-emails")
     return ranked.select("contact_email", (F.col("_rank") + (first_free - 1)).alias("customer_key"))
 
 
+def bucket_of(email: Column, buckets: int) -> Column:
+    """The bucket of an email: the number of the partition that `repartition(buckets, email)` puts it into."""
+    return F.pmod(F.hash(email), F.lit(buckets))
+
+
+def bucket_number(rows: int, known: int, bucket_rows: int) -> int:
+    """How many buckets a dimension of `rows` should have: `known` as long as they are not overfull, else a power of two
+    that leaves room for four times the rows."""
+    if known and rows <= known * bucket_rows:
+        return known
+    wanted = 1 if rows <= bucket_rows else -(-4 * rows // bucket_rows)
+    return max(known, 1 << (wanted - 1).bit_length())
+
+
 def merge_customers(
     current: DataFrame | None,
     incoming: DataFrame,
     run_id: str,
     run_at: dt.datetime,
     first_free: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """The dimension after the upsert of `incoming` (one row per email, see `one_per_email`).
 
-    Both sides hold an email once, so neither join has a hot key. New emails get the next keys in email
-    order.
+    Both sides hold an email once, so the join has no hot key, and each row moves once at most. New emails get the next
+    keys in email order; only they are sorted, not their rows. With `buckets` a partition of the result holds exactly one
+    bucket, and `current` may be cut to the buckets of the incoming emails. A row comes from the run in its own column
+    `source_run_id`, where it has one.
     """
     stamp = stamp_literal(run_at)
     if current is None:
         current = incoming.sparkSession.createDataFrame([], DIM_SCHEMA)
     if first_free is None:
         first_free = (current.agg(F.max("customer_key")).first()[0] or 0) + 1
+    run = F.col("new.source_run_id") if "source_run_id" in incoming.columns else F.lit(run_id)
+    # The dimension is cut to the arriving emails first: a small load then moves no part of a large one for this.
+    known = current.select("contact_email").join(incoming.select("contact_email"), "contact_email", "left_semi")
+    fresh = incoming.select("contact_email").join(known, "contact_email", "left_anti")
+    keys = surrogate_keys(fresh, first_free).withColumnRenamed("customer_key", "_newKey")
+    if buckets:
+        current, incoming, keys = (df.repartition(buckets, "contact_email") for df in (current, incoming, keys))
     arrived = F.col("new.n").isNotNull()
 
-    def updated(name: str) -> Column:
-        if name in REPLACED:
-            return F.when(arrived, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
-        if name == "last_updated_at":
-            return F.when(arrived, stamp).otherwise(F.col(f"old.{name}")).alias(name)
-        if name == "source_run_id":
-            return F.when(arrived, F.lit(run_id)).otherwise(F.col(f"old.{name}")).alias(name)
-        return F.col(name if name == "contact_email" else f"old.{name}")
+    def merged(name: str) -> Column:
+        if name == "contact_email":
+            return F.col(name)
+        old = F.col(f"old.{name}")
+        if name == "customer_key":
+            return F.coalesce(old, F.col("_newKey")).alias(name)
+        if name == "is_active":
+            return F.when(F.col("old.customer_key").isNull(), F.lit(True)).otherwise(old).alias(name)
+        if name == "first_seen_at":
+            return F.when(F.col("old.customer_key").isNull(), stamp).otherwise(old).alias(name)
+        if name == "tax_id":
+            return F.when(F.col("old.customer_key").isNull(), F.col("new.tax_id")).otherwise(old).alias(name)
+        value = stamp if name == "last_updated_at" else run if name == "source_run_id" else F.col(f"new.{name}")
+        return F.when(arrived, value).otherwise(old).alias(name)
 
     names = [f.split()[0] for f in DIM_SCHEMA.split(", ")]
-    kept = current.alias("old").join(incoming.alias("new"), "contact_email", "left").select(*map(updated, names))
-    # The dimension is cut to the arriving emails first: a small load then moves no part of a large dimension.
-    known = current.select("contact_email").join(incoming.select("contact_email"), "contact_email", "left_semi")
-    fresh = incoming.join(known, "contact_email", "left_anti")
-    keyed = dense_numbers(fresh, "contact_email", "_rank", "new-customers")
-    added = keyed.withColumns({
-        "customer_key": F.col("_rank") + (first_free - 1),
-        "first_seen_at": stamp,
-        "last_updated_at": stamp,
-        "source_run_id": F.lit(run_id),
-        "is_active": F.lit(True),
-    })
-    return kept.unionByName(added.select(*names))
+    both = incoming.alias("new").join(keys, "contact_email", "left").alias("new")
+    rows = current.alias("old").join(both, "contact_email", "full").select(*map(merged, names))
+    return rows.withColumn("bucket", bucket_of(F.col("contact_email"), buckets)) if buckets else rows

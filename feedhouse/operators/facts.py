@@ -46,7 +46,7 @@ def fact_rows(
     customers: DataFrame,
     keys: Settled,
     dim_country: DataFrame,
-    run_id: str,
+    run_id: str | Column,
     run_at: dt.datetime,
     source_file: str | None = None,
     order: str = "_rowNumber",
@@ -71,7 +71,7 @@ def fact_rows(
             "customer_key",
             "country_key",
             date_key(stamp).alias("date_key"),
-            F.lit(run_id).alias("pipeline_run_id"),
+            (F.lit(run_id) if isinstance(run_id, str) else run_id).alias("pipeline_run_id"),
             file.cast("string").alias("source_file"),
             F.col("_rowNumber").alias("source_row"),
             F.lit(True).alias("was_valid"),

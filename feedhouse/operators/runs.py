@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedhouse.functions.numbers import half_up
+from feedhouse.functions.times import stamp_literal
 
 COUNT_COLUMNS = [
     "records_in_file", "records_parsed", "records_valid", "records_invalid", "records_new",
@@ -84,6 +85,43 @@ def fail_event(
     )
 
 
+def file_events(files: DataFrame, **values: Column) -> DataFrame:
+    """One event per row of `files`; columns that are not given are null."""
+    fields = [f.split(" ", 1) for f in EVENT_SCHEMA.split(", ")]
+    return files.select(*[values.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in fields])
+
+
+def start_events(files: DataFrame, at: dt.datetime, version: str) -> DataFrame:
+    """Start events of the runs in `files` (`run_id`, `_sourceFile`)."""
+    zero = F.lit(0)
+    return file_events(
+        files, run_id=F.col("run_id"), event_seq=zero, pipeline_version=F.lit(version), source_file=F.col("_sourceFile"),
+        started_at=stamp_literal(at), status=F.lit("running"), parse_error_count=zero,
+        **dict.fromkeys(COUNT_COLUMNS, zero),
+    )
+
+
+def _ended_columns(started_at: dt.datetime, at: dt.datetime) -> dict[str, Column]:
+    ended = _ended(started_at, at)
+    return {"completed_at": stamp_literal(at), "execution_time_ms": F.lit(ended["execution_time_ms"])}
+
+
+def fail_events(files: DataFrame, started_at: dt.datetime, at: dt.datetime, message: Column) -> DataFrame:
+    return file_events(files, run_id=F.col("run_id"), event_seq=F.lit(1), status=F.lit("failed"), error_message=message,
+                       **_ended_columns(started_at, at))
+
+
+def complete_events(figures: DataFrame, started_at: dt.datetime, at: dt.datetime) -> DataFrame:
+    """End events from one row per run: `run_id`, the counts, `parse_error_count` and `dq_report`."""
+    rate = F.when(F.col("records_parsed") > 0, F.floor(
+        F.col("records_api_success") / F.nullif("records_parsed", F.lit(0)) * 10000 + 0.5) / 100).otherwise(0.0)
+    return file_events(
+        figures, run_id=F.col("run_id"), event_seq=F.lit(1), dq_report=F.col("dq_report"), success_rate=rate,
+        status=F.when(F.col("records_api_failed") == 0, "success").otherwise("partial"),
+        **{c: F.col(c) for c in [*COUNT_COLUMNS, "parse_error_count"]}, **_ended_columns(started_at, at),
+    )
+
+
 def fold_events(log: DataFrame) -> DataFrame:
     """Current state of each run: for every column the latest event that sets it.
 

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedhouse.fixed import (
@@ -21,10 +21,10 @@ from feedhouse.operators.mapping import map_rows, with_columns_of
 from feedhouse.operators.ranks import growing_key
 from feedhouse.operators.spread import settle_keyed
 from feedhouse.plans.schemas import TABLES
-from feedhouse.session import delete_path, path_exists, require_utc, scratch_path
+from feedhouse.session import delete_path, require_utc, scratch_path
 from feedhouse.sources import seeds
 from feedhouse.sources.records import Feed, field_names, read_feed
-from feedhouse.sources.tables import Settled, Warehouse, Written, settle
+from feedhouse.sources.tables import EventLog, Settled, Warehouse, Written, settle
 
 ORDER = "_rowOrder"
 KEEP = ("_sourceFile", "_rowNumber", ORDER)
@@ -52,16 +52,17 @@ def read_table(warehouse: Warehouse, name: str) -> DataFrame | None:
     return warehouse.read(name, TABLES[name])
 
 
+def run_events(warehouse: Warehouse) -> EventLog:
+    return EventLog(warehouse.spark, warehouse.root, "run_events", runs.EVENT_SCHEMA)
+
+
 def run_log(warehouse: Warehouse) -> DataFrame:
     """`pipeline_runs`: the current state of every run; empty where nothing ran yet."""
-    path = f"{warehouse.root}/run_events"
-    if not path_exists(warehouse.spark, path):
-        return runs.fold_events(warehouse.spark.createDataFrame([], runs.EVENT_SCHEMA))
-    return runs.fold_events(warehouse.spark.read.schema(runs.EVENT_SCHEMA).parquet(path))
+    return runs.fold_events(run_events(warehouse).read())
 
 
 def log_event(warehouse: Warehouse, event: DataFrame) -> None:
-    event.coalesce(1).write.mode("append").parquet(f"{warehouse.root}/run_events")
+    run_events(warehouse).append(event.coalesce(1))
 
 
 def processed_staging(warehouse: Warehouse) -> DataFrame:
@@ -111,11 +112,13 @@ def prepare(warehouse: Warehouse, at: dt.datetime | None = None, spine: tuple[st
 
 
 def assess(
-    feed: Feed, loaded: DataFrame | None, validation: dict | None, country_codes: Sequence[str], path: str
+    feed: Feed, loaded: DataFrame | None, validation: dict | None, country_codes: Sequence[str], path: str,
+    reload: bool = False,
 ) -> Settled:
     """All rows with errors, issues and flags, written once; every count of the reports is taken on the way."""
-    enriched = quality.enrich(feed.rows, loaded, ORDER, country_codes, feed.lines)
-    assessed = enriched.withColumn("errors", rules.error_list(feed.rows.columns, validation))
+    kept = staging.insertable(feed.rows.columns)
+    enriched = quality.enrich(feed.rows, loaded, ORDER, country_codes, feed.lines, kept, reload)
+    assessed = rules.validate(enriched, validation, field_names(feed.header))
     figures = {
         "valid": count_where(F.size("errors") == 0),
         "clean": count_where(F.col("_isClean")),
@@ -126,13 +129,13 @@ def assess(
     return settle(assessed, "rows", path, **figures)
 
 
-def quality_report(spark: SparkSession, feed: Feed, assessed: Settled, at: dt.datetime) -> dict:
+def quality_report(spark: SparkSession, header: Sequence[str], assessed: Settled, at: dt.datetime) -> dict:
     """Summary, drift, null rates and dataset issues. Row issues and duplicates stay in the row table."""
     stats = {name: value or 0 for name, value in assessed.stats.items()}
     counts = [(assessed.rows, *[stats[f"null_{f}"] for f in EXPECTED_FIELDS])]
     schema = ", ".join(f"{c} bigint" for c in ["_total", *EXPECTED_FIELDS])
     profile = quality.profile_from_counts(spark.createDataFrame(counts, schema))
-    drift = quality.schema_drift(feed.header)
+    drift = quality.schema_drift(header)
     issues = quality.dataset_issues(profile, drift).orderBy("issue_order").drop("issue_order").collect()
     score = int(stats["clean"] / assessed.rows * 100 + 0.5) if assessed.rows else 100
     return {
@@ -150,6 +153,11 @@ def quality_report(spark: SparkSession, feed: Feed, assessed: Settled, at: dt.da
     }
 
 
+def run_of_file(load: str) -> Column:
+    """The run id of a file within a load of many, told from its name."""
+    return F.substring(F.sha2(F.concat(F.lit(f"{load}\x01"), F.col("_sourceFile")), 256), 1, 32)
+
+
 @dataclass
 class _Run:
     run_id: str
@@ -159,25 +167,42 @@ class _Run:
     load_id: str
     folder: str
     full_reload: bool
+    # With a run for each file: `_sourceFile`, `run_id` (see `run_of_file`) and raw header `_names` of each.
+    files: DataFrame | None = None
     committed: bool = False
 
+    def of_row(self) -> Column:
+        """The run that a row with `_sourceFile` belongs to."""
+        return F.lit(self.run_id) if self.files is None else run_of_file(self.run_id)
+
 
 @dataclass
 class _Loaded:
     written: dict[str, Written] = field(default_factory=dict)
     errors: list[DataFrame] = field(default_factory=list)
     counts: dict = field(default_factory=dict)
+    facts: DataFrame | None = None
 
 
-def _load_staging(wh: Warehouse, assessed: DataFrame, loaded: DataFrame | None, run: _Run, out: _Loaded) -> None:
-    rows = staging.staging_rows(assessed, run.run_id, run.at, run.version)
+def _load_staging(
+    wh: Warehouse, assessed: DataFrame, new: int, loaded: DataFrame | None, run: _Run, out: _Loaded
+) -> None:
+    rows = staging.staging_rows(assessed, run.of_row(), run.at, run.version)
     if run.full_reload and loaded is not None:
         # History was not looked at before; the hash of a staged row still stays unique.
-        rows = rows.join(loaded, "source_hash", "left_anti")
+        known = history.staged_among(rows.select(F.col("source_hash").alias("_sourceHash")), loaded, new)
+        rows = rows.join(known.withColumnRenamed("_sourceHash", "source_hash"), "source_hash", "left_anti")
     checked = checks.check_rows(rows, lengths=STAGING_LENGTHS)
     path = wh.new_path("stg_customers", run.load_id)
-    keyed = checks.accepted(checked).withColumn("stg_id", growing_key(wh.last_key("stg_customers") + 1))
-    done = settle(keyed, "stg_customers", path, last=F.max("stg_id"))
+    digits = history.prefix_digits(new)
+    placed = checks.accepted(checked).withColumn(history.PREFIX, history.hash_prefix(F.col("source_hash"), digits))
+    if digits:
+        # Each folder is written by a task per two million rows, about.
+        files = max(16**digits, new // history.FOLDER_ROWS)
+        salt = F.pmod(F.xxhash64("source_hash"), F.lit(-(-files // 16**digits)))
+        placed = placed.repartition(files, history.PREFIX, salt)
+    keyed = placed.withColumn("stg_id", growing_key(wh.last_key("stg_customers") + 1))
+    done = settle(keyed, "stg_customers", path, history.PREFIX, last=F.max("stg_id"))
     out.written["stg_customers"] = Written(path, last_key=done.stats["last"], rows=done.rows)
     out.errors.append(checks.rejects(checked, "staging", "source_row"))
 
@@ -185,27 +210,37 @@ def _load_staging(wh: Warehouse, assessed: DataFrame, loaded: DataFrame | None,
 def _load_customers(
     wh: Warehouse, customers: DataFrame, outcomes: DataFrame | None, run: _Run, out: _Loaded
 ) -> Settled:
-    """Upsert the dimension; gives key and delivery flags per email."""
+    """Upsert the dimension, writing the buckets of the arriving emails anew; gives key and delivery flags per email."""
     checked = checks.check_rows(
-        dimension.dimension_columns(customers).withColumn("source_run_id", F.lit(run.run_id)),
+        dimension.dimension_columns(customers).withColumn("source_run_id", run.of_row()),
         not_null=["company_name", "contact_email"],
         lengths=CUSTOMER_LENGTHS,
     )
     out.errors.append(checks.rejects(checked, "dim_customer", "contact_email"))
     arriving = dimension.one_per_email(checks.accepted(checked), ORDER)
-    incoming = settle(arriving, "incoming", f"{run.folder}/incoming", customers=F.sum("n")).frame
+    known, rows = wh.bucketing("dim_customer")
+    mine = dimension.bucket_of(F.col("contact_email"), known) if known else F.lit(0)
+    settled = settle(arriving, "incoming", f"{run.folder}/incoming", customers=F.sum("n"), buckets=F.collect_set(mine))
+    incoming = settled.frame
+    count = dimension.bucket_number(rows + settled.rows, known, wh.bucket_rows)
+    touched = sorted(settled.stats["buckets"]) if count == known else None
+    current = wh.read("dim_customer", TABLES["dim_customer"], touched) if known else None
     merged = dimension.merge_customers(
-        read_table(wh, "dim_customer"), incoming, run.run_id, run.at, wh.last_key("dim_customer") + 1
-    )
+        current, incoming, run.run_id, run.at, wh.last_key("dim_customer") + 1, count)
     path = wh.new_path("dim_customer", run.load_id)
-    done = settle(merged, "dim_customer", path, last=F.max("customer_key"))
-    out.written["dim_customer"] = Written(path, replaces=True, last_key=done.stats["last"], rows=done.rows)
+    done = settle(merged, "dim_customer", path, "bucket", last=F.max("customer_key"),
+                  added=count_where(F.col("customer_key") > wh.last_key("dim_customer")),
+                  buckets=F.collect_set("bucket"))
+    total = rows + (done.stats["added"] or 0)
+    out.written["dim_customer"] = Written(
+        path, replaces=True, last_key=done.stats["last"], rows=total, bucket_count=count,
+        buckets=sorted(done.stats["buckets"]))
     keys = facts.email_keys(done.frame, incoming.select("contact_email", "n"))
     return settle_keyed(facts.with_delivery(keys, outcomes), "customer-keys")
 
 
 def _load_facts(wh: Warehouse, customers: DataFrame, keys: Settled, run: _Run, out: _Loaded) -> None:
-    rows = facts.fact_rows(customers, keys, read_table(wh, "dim_country"), run.run_id, run.at, order=ORDER)
+    rows = facts.fact_rows(customers, keys, read_table(wh, "dim_country"), run.of_row(), run.at, order=ORDER)
     # All facts of a run share one day, so its reference is checked once, not per row.
     dates = read_table(wh, "dim_import_date")
     known = dates.where(F.col("date_key") == date_key(stamp_literal(run.at))).limit(1).count()
@@ -222,6 +257,7 @@ def _load_facts(wh: Warehouse, customers: DataFrame, keys: Settled, run: _Run, o
     )
     done = settle(keyed, "fact_customer_imports", path, last=F.max("import_key"))
     out.written["fact_customer_imports"] = Written(path, last_key=done.stats["last"], rows=done.rows)
+    out.facts = done.frame
 
 
 def run_load(
@@ -241,6 +277,7 @@ def run_load(
     source: Callable[[str], Feed] | None = None,
     also_written: dict[str, Callable[[str], Written]] | None = None,
     label: str | None = None,
+    files: DataFrame | None = None,
 ) -> LoadResult:
     """Load feed files into the warehouse at `root`.
 
@@ -248,6 +285,10 @@ def run_load(
     rows loaded before as new. All tables of a run appear together when it ends; a failed run leaves them
     as they were. Without a root there is no history and no run log: rows are checked, mapped, delivered
     and reported. A dry run does not deliver either and writes nothing but scratch data.
+
+    All files are one run, unless `files` (a written table of `_sourceFile`, `_names`) asks for a run of its own for each
+    of them: rows, customers and facts then carry the id that `run_of_file` gives, and the log has figures and a quality
+    report per file.
     """
     if gate not in ("clean", "valid"):
         raise ValueError(f"gate must be 'clean' or 'valid', not {gate!r}")
@@ -260,18 +301,22 @@ def run_load(
     load_id = f"{run_id}-{uuid.uuid4().hex[:8]}"
     folder = f"{warehouse.root}/runs/{load_id}" if warehouse else scratch_path(spark, "run")
     run = _Run(run_id, at, version, load_id, folder, full_reload)
+    if files is not None:
+        run.files = files.withColumn("run_id", run_of_file(run_id))
     label = label or (paths if isinstance(paths, str) else ", ".join(paths))
     if warehouse:
         prepare(warehouse, at)
-        log_event(warehouse, runs.start_event(spark, run_id, label, at, version))
+        log_event(warehouse, runs.start_event(spark, run_id, label, at, version) if files is None
+                  else runs.start_events(run.files, at, version))
     try:
         return _run(spark, paths, warehouse, run, config or {}, gate, None if dry_run else deliver, country_codes,
                     source, also_written or {}, started)
     except Exception as error:
         # What is committed stays visible: such a run did not fail, even if its end could not be logged.
         if warehouse and not run.committed:
-            took = utc_now() - started
-            log_event(warehouse, runs.fail_event(spark, run_id, at, at + took, str(error)))
+            ended = at + (utc_now() - started)
+            log_event(warehouse, runs.fail_event(spark, run_id, at, ended, str(error)) if files is None
+                      else runs.fail_events(run.files, at, ended, F.lit(str(error))))
         raise
 
 
@@ -281,11 +326,14 @@ def _run(spark, paths, warehouse, run, config, gate, deliver, country_codes, sou
     staged = read_table(warehouse, "stg_customers") if warehouse else None
     loaded = history.loaded_hashes(staged)
     assessed = assess(
-        feed, None if run.full_reload else loaded, config.get("validationRules"), country_codes, f"{run.folder}/rows"
+        feed, None if run.full_reload else loaded, config.get("validationRules"), country_codes, f"{run.folder}/rows",
+        run.full_reload,
     )
     stats = {name: value or 0 for name, value in assessed.stats.items()}
     rows = assessed.frame
-    dq_report = quality_report(spark, feed, assessed, run.at)
+    # Headers differ from file to file; their drift is in the reports of the files.
+    header = feed.header if run.files is None else EXPECTED_FIELDS
+    dq_report = quality_report(spark, header, assessed, run.at)
 
     passing = F.col("_isClean") if gate == "clean" else F.size("errors") == 0
     mapping = with_columns_of(config if config.keys() & MAPPED else DEFAULT_MAPPING, field_names(feed.header))
@@ -311,7 +359,7 @@ def _run(spark, paths, warehouse, run, config, gate, deliver, country_codes, sou
 
     out = _Loaded()
     if warehouse and stats["new"]:
-        _load_staging(warehouse, rows, loaded, run, out)
+        _load_staging(warehouse, rows, stats["new"], loaded, run, out)
         out.counts = {"stagingAttempted": stats["new"], "stagingLoaded": out.written["stg_customers"].rows}
         if customers.rows:
             per_email = None
@@ -333,13 +381,63 @@ def _run(spark, paths, warehouse, run, config, gate, deliver, country_codes, sou
             warehouse.commit(run.run_id, out.written, run.at)
         run.committed = True
         ended = run.at + (utc_now() - started)
-        log_event(warehouse, runs.complete_event(spark, run.run_id, run.at, ended, metrics, json.dumps(dq_report)))
+        if run.files is None:
+            event = runs.complete_event(spark, run.run_id, run.at, ended, metrics, json.dumps(dq_report))
+        else:
+            event = runs.complete_events(
+                file_figures(run, feed, rows, customers.frame, outcomes.frame if outcomes else None, out.facts),
+                run.at, ended)
+        log_event(warehouse, event)
     # The row table holds all that the landed feed did; nothing reads these any more.
     for name in ("feed", "feed-blocks", "incoming"):
         delete_path(spark, f"{run.folder}/{name}")
     return result
 
 
+def file_figures(
+    run: _Run, feed: Feed, rows: DataFrame, customers: DataFrame, outcomes: DataFrame | None, loaded: DataFrame | None
+) -> DataFrame:
+    """One row per file of a load: run id, counts and quality report. Each table is combined per file before it moves."""
+    one = F.count(F.lit(1))
+    parts = [
+        rows.groupBy("_sourceFile").agg(
+            one.alias("total"), count_where(F.size("errors") == 0).alias("records_valid"),
+            count_where(F.col("_isClean")).alias("clean"), count_where(F.col("_duplicateRow")).alias("duplicates"),
+            count_where(~F.col("_loaded")).alias("records_new"),
+            *[c.alias(f"null_{f}") for f, c in zip(EXPECTED_FIELDS, quality.null_counts(feed_columns(rows)))]),
+        feed.parse_errors.groupBy("_sourceFile").agg(one.alias("parse_error_count")),
+        customers.groupBy("_sourceFile").agg(one.alias("records_api_sent")),
+    ]
+    if loaded is not None:
+        parts.append(loaded.groupBy(F.col("source_file").alias("_sourceFile")).agg(one.alias("records_loaded")))
+    if outcomes is not None:
+        if ORDER in outcomes.columns:
+            sent = outcomes.select(F.col(f"{ORDER}.file").alias("_sourceFile"), "status")
+        else:
+            emails = customers.select("_sourceFile", F.col("email")).distinct()
+            sent = emails.join(outcomes, "email").select("_sourceFile", "status")
+        good = F.col("status") == "success"
+        parts.append(sent.groupBy("_sourceFile").agg(
+            count_where(good).alias("records_api_success"), count_where(~good).alias("records_api_failed")))
+    joined = run.files.select("_sourceFile", "run_id", "_names")
+    for part in parts:
+        joined = joined.join(part, "_sourceFile", "left")
+    named = ["total", "clean", "duplicates", "parse_error_count", *runs.COUNT_COLUMNS, *[f"null_{f}" for f in EXPECTED_FIELDS]]
+    counts = {c: F.coalesce(F.col(c), F.lit(0)) if c in joined.columns else F.lit(0) for c in named}
+    total = counts["total"]
+    counts |= {
+        "records_parsed": total, "records_in_file": total + counts["parse_error_count"],
+        "records_invalid": total - counts["records_valid"],
+    }
+    filled = joined.select("run_id", "_names", *[c.cast("bigint").alias(n) for n, c in counts.items()])
+    return filled.withColumn("dq_report", quality.file_report(run.at.isoformat()))
+
+
+def feed_columns(rows: DataFrame) -> list[str]:
+    """The fields of an assessed feed; those of the load's own begin with an underscore."""
+    return [c for c in rows.columns if not c.startswith("_") and c != "errors"]
+
+
 def _report(spark, feed, assessed, transform_errors, outcomes, metrics, dq_report, run, out, warehouse) -> LoadResult:
     """Write the error table and the one-row summary; give both back with the row table."""
     invalid = rules.invalid_rows(assessed.frame)

@@ -3,11 +3,12 @@
 from feedhouse.fixed import STAGING_COLUMNS
 from feedhouse.operators.dimension import DIM_SCHEMA
 
+# hash_prefix comes from the folder name, so a look for hashes reads the folders of their first digits only.
 STAGING = (
     "stg_id bigint, source_file string, source_row bigint, source_hash string, pipeline_run_id string, "
     "ingested_at timestamp, pipeline_version string, "
     + ", ".join(f"{c} string" for c in STAGING_COLUMNS.values())
-    + ", is_valid boolean, quality_issues string"
+    + ", is_valid boolean, quality_issues string, hash_prefix string"
 )
 COUNTRY = (
     "country_key bigint, country_code string, country_name string, region string, is_valid boolean, "

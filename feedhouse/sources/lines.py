@@ -86,13 +86,17 @@ def head_lines(landing: Landing) -> DataFrame:
 
 
 def number_lines(landing: Landing) -> DataFrame:
-    """Add `_rowNumber` (1-based in its file) and `_rowOrder` (a struct: file, then row number)."""
+    """Add `_rowNumber` (1-based in its file) and `_rowOrder` (a struct: file, then row number).
+
+    Further columns of the block table come along.
+    """
     starts = landing.blocks.frame.drop("_count")
     # One row per input split: some 200 MB for 100 TB of text in splits of 128 MB.
     if landing.blocks.fits(BROADCAST_BYTES):
         starts = F.broadcast(starts)
     number = F.col("_line") + F.col("_shift")
     keep = [c for c in landing.lines.columns if c not in ("_block", "_line")]
+    keep += [c for c in starts.columns if c not in ("_sourceFile", "_block", "_shift")]
     return landing.lines.join(starts, ["_sourceFile", "_block"]).select(
         *keep,
         number.alias("_rowNumber"),

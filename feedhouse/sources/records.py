@@ -12,9 +12,10 @@ from feedhouse.functions.numbers import count_where
 from feedhouse.functions.text import WHITE_SPACE
 from feedhouse.session import scratch_path
 from feedhouse.sources.lines import Landing, file_sizes, head_lines, land_lines, number_lines, scan_lines
-from feedhouse.sources.tables import settle
+from feedhouse.sources.tables import row_bytes, settle
 
 ROW_NUMBER = "_rowNumber"
+NO_DATA = "a feed must have a header line and at least one data line"
 _MARK, _ESC = "\x01", "\x02"
 
 
@@ -55,7 +56,7 @@ def read_header(spark: SparkSession, paths: str | list[str]) -> list[str]:
     """Raw names from the first non-blank line; a scan that stops at the first row."""
     first = scan_lines(spark.read, paths).select(split_fields(F.col("value")).alias("names")).first()
     if first is None:
-        raise ValueError("a feed must have a header line and at least one data line")
+        raise ValueError(NO_DATA)
     return list(first.names)
 
 
@@ -91,10 +92,11 @@ def pick_fields(fields: Column, header: list[str]) -> list[Column]:
     return [F.get(fields, F.lit(place)).alias(name) for name, place in resolve_header(header).items()]
 
 
-def mismatch_text(row_number: Column, found: Column, expected: int) -> Column:
+def mismatch_text(row_number: Column, found: Column, expected: int | Column) -> Column:
+    expected = F.lit(expected) if isinstance(expected, int) else expected
     return F.concat(
-        F.lit("Row "), row_number.cast("string"),
-        F.lit(f": column count mismatch (expected {expected}, got "), found.cast("string"), F.lit(")"),
+        F.lit("Row "), row_number.cast("string"), F.lit(": column count mismatch (expected "), expected.cast("string"),
+        F.lit(", got "), found.cast("string"), F.lit(")"),
     )
 
 
@@ -123,7 +125,8 @@ def parse_summary(parsed: DataFrame, header: list[str]) -> DataFrame:
 class Feed:
     """A feed with its raw header, well-formed rows and parse errors, both with exact row numbers.
 
-    `lines` counts all of them, headers included.
+    `lines` counts all of them, headers included. For files with headers of their own (`feed_of_files`) `header` has the
+    fields that were asked for, and `lines` leaves the headers out.
     """
 
     header: list[str]
@@ -171,7 +174,7 @@ def _check_sizes(landing: Landing, folder: str | None, listed: DataFrame | None
     if listed is not None:
         # A file without any line has no block.
         short = short.unionByName(listed.join(sizes, "_sourceFile", "left_anti"))
-    _refuse(short, "a feed must have a header line and at least one data line", folder)
+    _refuse(short, NO_DATA, folder)
 
 
 def _listed_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -191,12 +194,45 @@ def read_feed(spark: SparkSession, paths: str | list[str], target: str | None =
     return _as_feed(number_lines(landing), header, landing.blocks.stats["lines"])
 
 
-def feed_from_landing(landing: Landing, target: str | None = None) -> Feed:
-    """The feed of lines landed as raw text, written once more as columns."""
-    _check_sizes(landing, target)
-    heads = head_lines(landing)
-    first = heads.first().value
-    _check_heads(heads.where(F.col("value") != first), target)
-    header = list(heads.sparkSession.range(1).select(split_fields(F.lit(first)).alias("names")).first().names)
-    parsed = settle(_parse_columns(number_lines(landing), header), "feed", target)
-    return _as_feed(parsed.frame, header, parsed.rows)
+def file_headers(landing: Landing, wanted: list[str]) -> DataFrame:
+    """One row per file with a line: `_sourceFile`, `lines`, raw header `_names`, `_places` of the wanted fields, and the
+    `_refused` text of a file that is no feed.
+
+    Names are trimmed for their place, and of two equal ones the last holds; a field that a file lacks has no place.
+    """
+    heads = head_lines(landing).select("_sourceFile", split_fields(F.col("value")).alias("_names"))
+    trimmed = F.transform("_names", lambda n: F.trim(n, F.lit(WHITE_SPACE)))
+    reserved = F.array_contains(trimmed, F.lit(ROW_NUMBER))
+    refused = F.when(F.col("lines") < 2, F.lit(NO_DATA)).when(
+        reserved, F.lit(f"{ROW_NUMBER} is a reserved column name"))
+
+    def place(name: str) -> Column:
+        from_end = F.array_position(F.reverse(trimmed), name)
+        return F.when(from_end > 0, F.size("_names") - from_end).cast("int")
+
+    return heads.join(file_sizes(landing), "_sourceFile").select(
+        "_sourceFile", "lines", "_names", F.array(*[place(w) for w in wanted]).alias("_places"),
+        refused.alias("_refused"))
+
+
+def feed_of_files(landing: Landing, headers: DataFrame, wanted: list[str], target: str) -> Feed:
+    """The rows of files with headers of their own, as the wanted fields; null where a file lacks one.
+
+    What a line needs to know of its file comes with its block, so files of any number and size are one job.
+    """
+    blocks = landing.blocks.frame.join(headers.select("_sourceFile", F.size("_names").alias("_expected"), "_places"),
+                                       "_sourceFile")
+    wide = row_bytes(blocks) + 4 * len(wanted)
+    known = Landing(landing.lines, settle(blocks, "file-blocks", f"{target}-blocks", lines=F.sum("_count"), size=F.sum(wide)))
+    numbered = number_lines(known).where(F.col(ROW_NUMBER) > 1)
+    names = field_names(wanted)
+    fields = F.col("_fields")
+    picked = [F.get(fields, F.col("_places")[i]).alias(column) for i, column in enumerate(names.values())]
+    parsed = numbered.withColumn("_fields", split_fields(F.col("value"))).select(
+        "_sourceFile", ROW_NUMBER, "_rowOrder", *picked, F.size(fields).alias("_found"), "_expected")
+    lines = settle(parsed, "feed", target)
+    good = F.col("_found") == F.col("_expected")
+    rows = lines.frame.where(good).select("_sourceFile", ROW_NUMBER, "_rowOrder", *names.values())
+    errors = lines.frame.where(~good).select(
+        "_sourceFile", ROW_NUMBER, mismatch_text(F.col(ROW_NUMBER), F.col("_found"), F.col("_expected")).alias("message"))
+    return Feed(wanted, rows, errors, lines.rows)

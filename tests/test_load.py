@@ -1,11 +1,14 @@
 """The load job end to end on a small feed."""
 
 import datetime as dt
+import functools
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from feedhouse.fixed import EXPECTED_FIELDS
+from feedhouse.operators import dimension
 from feedhouse.plans import analytics, load
 from feedhouse.plans.load import processed_staging, read_table, run_load, run_log, warehouse_tables
 from feedhouse.sources.tables import Warehouse
@@ -213,7 +216,8 @@ def test_arrivals_are_loaded_once(spark, tmp_path):
     write(arrivals / "a.csv", FEED)
     write(arrivals / "b.csv", [line(20), line(1)])
     (first,) = ingest(spark, str(arrivals), root, run_id="r1", run_at=AT)
-    assert (first.metrics.records_parsed, first.metrics.records_new) == (10, 10)
+    # The row that both files have was loaded by the first of them.
+    assert (first.metrics.records_parsed, first.metrics.records_new) == (10, 9)
     assert first.dq_report["summary"]["duplicatesFound"] == 2
     assert ingest(spark, str(arrivals), root) == []
     write(arrivals / "c.csv", [line(21), line(2)])
@@ -230,10 +234,12 @@ def test_bad_files_keep_no_good_file_back(spark, tmp_path):
     (arrivals / "c.csv").write_text(HEADER + "\n")
     (arrivals / "d.csv").write_text("\n \n")
     write(arrivals / "e.csv", [line(2)])
-    results = ingest(spark, str(arrivals), root, run_id="r1", run_at=AT)
-    assert [r.metrics.records_parsed for r in results] == [2, 1]
-    log = {r.source_file.split("/")[-1]: r.status for r in run_log(Warehouse(spark, root)).collect()}
-    assert sorted(log.values()) == ["failed", "success", "success"] and log["c.csv"] == "failed"
+    (result,) = ingest(spark, str(arrivals), root, run_id="r1", run_at=AT)
+    assert result.metrics.records_parsed == 3
+    log = {r.source_file.split("/")[-1]: r for r in run_log(Warehouse(spark, root)).collect()}
+    assert {f: r.status for f, r in log.items()} == {
+        "a.csv": "success", "b.csv": "success", "c.csv": "failed", "d.csv": "failed", "e.csv": "success"}
+    assert log["c.csv"].error_message == log["d.csv"].error_message and "data line" in log["c.csv"].error_message
     assert table(root, spark, "fact_customer_imports").count() == 3
     write(arrivals / "f.csv", [line(3)])
     assert [r.metrics.records_parsed for r in ingest(spark, str(arrivals), root)] == [1]
@@ -253,6 +259,132 @@ def test_files_together_equal_files_one_by_one(spark, tmp_path):
     assert [table(str(tmp_path / r), spark, "fact_customer_imports").count() for r in "ab"] == [4, 4]
 
 
+def repeated_files(tmp_path):
+    """Rows that come again within a file, in later files, and in files that staging refuses them from."""
+    long = "9" * 101
+    return [
+        write(tmp_path / "1.csv", [line(1), line(2), line(2), line(5, tax_id=long), line(6, company_name="", country="")]),
+        write(tmp_path / "2.csv", [line(2), line(3), line(5, tax_id=long), line(5, tax_id=long), line(6, company_name="")]),
+        write(tmp_path / "3.csv", [line(3), line(1), line(4), line(5, tax_id=long), line(4)]),
+    ]
+
+
+@pytest.mark.parametrize("gate, full_reload", [("valid", False), ("valid", True), ("clean", False)])
+def test_rows_of_an_earlier_file_count_as_loaded(spark, tmp_path, gate, full_reload):
+    files = repeated_files(tmp_path)
+    single = [run_load(spark, f, str(tmp_path / "a"), gate=gate, full_reload=full_reload, run_id=f"r{i}", run_at=AT)
+              for i, f in enumerate(files)]
+    together = run_load(spark, files, str(tmp_path / "b"), gate=gate, full_reload=full_reload, run_id="r", run_at=AT)
+
+    def found(name, *columns):
+        return [sorted(map(tuple, table(str(tmp_path / r), spark, name).select(*columns).collect())) for r in "ab"]
+
+    for name, *columns in [
+        ("stg_customers", "source_file", "source_row", "source_hash", "is_valid", "quality_issues"),
+        ("dim_customer", "contact_email", "company_name", "country_code", "tax_id"),
+        ("fact_customer_imports", "source_file", "source_row", "was_valid", "date_key"),
+    ]:
+        one_by_one, at_once = found(name, *columns)
+        assert one_by_one == at_once
+    for count in ("stagingAttempted", "stagingLoaded", "dimensionLoaded", "factLoaded"):
+        assert sum(r.counts.get(count, 0) for r in single) == together.counts[count]
+    for figure in ("records_new", "records_valid", "records_api_sent", "records_loaded"):
+        assert sum(getattr(r.metrics, figure) for r in single) == getattr(together.metrics, figure)
+    for figure in ("duplicatesFound", "cleanRows"):
+        assert sum(r.dq_report["summary"][figure] for r in single) == together.dq_report["summary"][figure]
+    rows = together.tables["rows"]
+    assert [r.n for r in rows.groupBy("_loaded").agg(F.count("*").alias("n")).orderBy("_loaded").collect()] == (
+        [15] if full_reload else [11, 4])
+
+
+def test_small_loads_write_touched_buckets_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(load, "Warehouse", functools.partial(Warehouse, bucket_rows=10))
+    root = str(tmp_path / "wh")
+    run_load(spark, write(tmp_path / "a.csv", [line(i) for i in range(60)]), root, run_id="r1", run_at=AT)
+    warehouse = Warehouse(spark, root, bucket_rows=10)
+    assert warehouse.bucketing("dim_customer") == (32, 60)
+    before = set(warehouse.live_paths("dim_customer"))
+    later = [line(7, company_name="New", tax_id="other"), line(100)]
+    run_load(spark, write(tmp_path / "b.csv", later), root, run_id="r2", run_at=AT)
+    warehouse.refresh()
+    assert warehouse.bucketing("dim_customer") == (32, 61)
+    after = set(warehouse.live_paths("dim_customer"))
+    (second,) = [p for p in (tmp_path / "wh" / "dim_customer").iterdir() if any(str(p) in a for a in after - before)]
+    written = sorted(p.name for p in second.iterdir() if p.name.startswith("bucket"))
+    assert 1 <= len(written) <= 2 and len(after - before) == len(written) and len(before - after) <= 2
+    people = {r.contact_email: r for r in table(root, spark, "dim_customer").collect()}
+    assert len(people) == 61 and sorted(p.customer_key for p in people.values()) == list(range(1, 62))
+    assert (people["u7@x.co"].company_name, people["u7@x.co"].tax_id, people["u100@x.co"].customer_key) == ("New", "T7", 61)
+    for b, emails in ((int(n.split("=")[1]), warehouse.read("dim_customer", load.TABLES["dim_customer"], [int(n.split("=")[1])]))
+                      for n in written):
+        assert emails.where(dimension.bucket_of(F.col("contact_email"), 32) != b).count() == 0
+    # Buckets that were replaced go, and nothing that is in force does.
+    gone = warehouse.vacuum(keep=0)
+    assert all("bucket=" in g for g in gone) and len(gone) == len(before - after)
+    assert table(root, spark, "dim_customer").count() == 61
+
+
+def test_many_files_are_one_set_of_jobs(spark, tmp_path):
+    """A run per file, whatever its header; jobs do not grow with the files."""
+    header = "tax_id,company_name,contact_email,a.b"
+    config = {"validationRules": {"required": ["company_name", "contact_email"], "nonEmpty": ["a.b"]}}
+
+    def arrive(folder, files):
+        folder.mkdir()
+        for i in range(files):
+            if i % 10 == 3:
+                (folder / f"{i:04}.csv").write_text(["\n", header + "\n", "\n \n"][i // 10 % 3])
+            elif i % 2:
+                (folder / f"{i:04}.csv").write_text(f"{header}\nT{i},Firm {i},m{i}@x.co,{'' if i % 4 == 1 else 'y'}\nshort\n")
+            else:
+                write(folder / f"{i:04}.csv", [line(i), line(i // 4)])
+        first = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+        (result,) = ingest(spark, str(folder), str(folder) + "-wh", config=config, gate="valid", run_id="L", run_at=AT)
+        return result, spark.sparkContext._jsc.sc().dagScheduler().nextJobId() - first
+
+    few, jobs_few = arrive(tmp_path / "few", 10)
+    many, jobs_many = arrive(tmp_path / "many", 120)
+    assert jobs_many <= jobs_few + 5
+    root = str(tmp_path / "many-wh")
+    log = {r.source_file.split("/")[-1]: r for r in run_log(Warehouse(spark, root)).collect()}
+    assert len(log) == 120 and len({r.run_id for r in log.values()}) == 120
+    assert {f for f, r in log.items() if r.status == "failed"} == {f"{i:04}.csv" for i in range(3, 120, 10)}
+    odd, even = log["0005.csv"], log["0008.csv"]
+    assert (odd.records_in_file, odd.records_parsed, odd.records_invalid, odd.parse_error_count) == (2, 1, 1, 1)
+    # Row 2 of file 8 came with file 2 before.
+    assert (even.records_parsed, even.records_valid, even.records_new, even.records_loaded) == (2, 2, 1, 1)
+    single = run_load(spark, str(tmp_path / "many" / "0005.csv"), config=config, gate="valid", run_at=AT, dry_run=True)
+    assert json.loads(odd.dq_report) == single.dq_report
+    assert many.metrics.records_loaded == sum(r.records_loaded or 0 for r in log.values())
+    facts = table(root, spark, "fact_customer_imports").collect()
+    assert {(f.source_file.split("/")[-1], f.pipeline_run_id) for f in facts} <= {(f, r.run_id) for f, r in log.items()}
+    people = table(root, spark, "dim_customer").where("contact_email = 'u8@x.co'").first()
+    assert people.source_run_id == log["0032.csv"].run_id or people.source_run_id == log["0008.csv"].run_id
+    processed = processed_staging(Warehouse(spark, root))
+    assert processed.where("not is_processed").count() == 0 and processed.count() > 0
+
+
+def test_condition_on_the_view_prunes_months(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    for i, day in enumerate([dt.datetime(2024, 1, 5), dt.datetime(2024, 3, 5)]):
+        run_load(spark, write(tmp_path / f"{i}.csv", [line(i)]), root, run_id=f"r{i}", run_at=day)
+    analytics.register_views(spark, warehouse_tables(Warehouse(spark, root)))
+    recent = spark.sql("select * from vw_daily_import_volume where full_date >= date '2024-03-01'")
+    assert [r.total_imports for r in recent.collect()] == [1]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.split("import_month")[0] or "dynamicpruning" in plan
+
+
+def test_rules_on_any_header(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("company_name,n,a.b,N,errors\nAcme,1, ,x@y.co,\nBeta,,2,bad,z\n")
+    config = {"validationRules": {"required": ["n", "a.b", "absent"], "email": ["N"], "nonEmpty": ["errors", "other"]}}
+    result = run_load(spark, str(tmp_path / "f.csv"), config=config, gate="valid")
+    missing = lambda f: f'Missing required field: "{f}"'
+    assert [r.errors for r in result.tables["rows"].orderBy("_rowNumber").collect()] == [
+        [missing("a.b"), missing("absent"), 'Field "errors" must not be empty.'],
+        [missing("n"), missing("absent"), 'Invalid email format in field "N": "bad"']]
+
+
 def test_run_log_names_all_files_and_whole_errors(spark, tmp_path, monkeypatch):
     feeds = [write(tmp_path / f"{i}.csv", [line(i)]) for i in range(5)]
     run_load(spark, feeds, str(tmp_path / "wh"), run_id="r1", run_at=AT)

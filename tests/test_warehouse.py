@@ -1,11 +1,12 @@
 import datetime as dt
+import hashlib
 import random
 
 from pyspark.sql import functions as F
 
-from feedhouse.operators import checks, dimension, facts
+from feedhouse.operators import checks, dimension, facts, history
 from feedhouse.operators.ranks import dense_numbers
-from feedhouse.sources import seeds
+from feedhouse.sources import seeds, tables
 
 AT = dt.datetime(2024, 1, 31, 23, 59, tzinfo=dt.timezone.utc)
 FIELDS = ["company_name", "contact_first", "contact_last", "phone_number", "company_size", "address", "city",
@@ -118,3 +119,69 @@ def test_missing_reference_rows_are_whole_on_every_way(spark):
         found = facts.reference_violations(data, "row", {"ref": (known, "key")}, **how).collect()
         expected = {i for i in range(300) if i % 3 == 0 or (i % 3 == 1 and (i >= 50 or i == 1))}
         assert {r.row for r in found} == expected and len(found) == len(expected)
+
+
+def test_commit_log_is_read_from_its_last_snapshot(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "SEGMENT_COMMITS", 4)
+    warehouse = tables.Warehouse(spark, str(tmp_path))
+    warehouse.create()
+    for i in range(1, 11):
+        written = {"grows": tables.Written(f"g{i}", last_key=i, rows=1)}
+        if i % 3 == 0:
+            written["whole"] = tables.Written(f"w{i}", replaces=True, last_key=100 - i)
+        bucket = [0, 1, 2] if i == 1 else [i % 3]
+        written["buckets"] = tables.Written(
+            f"b{i}", replaces=True, last_key=50 if i == 2 else i, rows=i, bucket_count=3, buckets=bucket)
+        warehouse.commit(f"r{i}", written, AT)
+    late = tables.Warehouse(spark, str(tmp_path))
+    folders = late.log_folders()
+    assert [f.rsplit("/", 1)[1] for f in folders] == ["before=2", "segment=2"]
+    assert late.live_paths("grows") == [f"g{i}" for i in range(1, 11)]
+    assert late.live_paths("whole") == ["w9"] and late.last_key("whole") == 97
+    assert sorted(late.live_paths("buckets")) == ["b10/bucket=1", "b8/bucket=2", "b9/bucket=0"]
+    assert late.last_key("buckets") == 50 and late.bucketing("buckets") == (3, 10)
+    assert late.commits().select("commit").distinct().count() == 10
+    late.commit("more", {"buckets": tables.Written("b11", replaces=True, bucket_count=6, buckets=[0, 5], rows=9)}, AT)
+    assert sorted(late.live_paths("buckets")) == ["b11/bucket=0", "b11/bucket=5"]
+
+
+def test_events_are_packed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "SEGMENT_FILES", 3)
+    log = tables.EventLog(spark, str(tmp_path), "events", "n bigint")
+    assert log.read().count() == 0
+    for i in range(11):
+        log.append(spark.createDataFrame([(i,)], "n bigint").coalesce(1))
+        assert sorted(r.n for r in log.read().collect()) == list(range(i + 1))
+    assert [f.rsplit("/", 1)[1] for f in log.folders()] == ["before=3", "segment=3"]
+    assert sorted(p.name for p in (tmp_path / "events").iterdir()) == ["segment=2", "segment=3"]
+
+
+def test_staged_hashes_stay_where_they_are(spark, tmp_path):
+    staged = [hashlib.sha256(f"{i}".encode()).hexdigest() for i in range(600)]
+    for digits, part in enumerate((staged[:200], staged[200:400], staged[400:])):
+        frame = spark.createDataFrame([(h,) for h in part], "source_hash string")
+        frame.withColumn(history.PREFIX, history.hash_prefix(F.col("source_hash"), digits)).write.partitionBy(
+            history.PREFIX).mode("append").parquet(str(tmp_path / f"d{digits}"))
+    paths = [str(tmp_path / f"d{d}") for d in range(3)]
+    table = spark.read.schema("source_hash string, hash_prefix string").parquet(paths[0])
+    for path in paths[1:]:
+        table = table.unionByName(spark.read.schema("source_hash string, hash_prefix string").parquet(path))
+    feed = staged[::7] + staged[::7] + [hashlib.sha256(f"new {i}".encode()).hexdigest() for i in range(100)]
+    hashes = spark.createDataFrame([(h,) for h in feed], "_sourceHash string")
+    loaded = history.loaded_hashes(table)
+    for rows, part_bytes in ((None, 1), (len(feed), 2**20), (len(feed), len(feed) * 128 // 3), (len(feed), 1)):
+        found = history.staged_among(hashes, loaded, rows, part_bytes)
+        assert sorted(r[0] for r in found.collect()) == sorted(set(staged[::7]))
+    # A feed of one row reads the folders of its digits, and staging meets it by broadcast.
+    one = history.staged_among(spark.createDataFrame([(staged[-1],)], "_sourceHash string"), loaded, 1)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    pruned = [x for x in plan.split("PartitionFilters: ")[1:]]
+    assert pruned and all("hash_prefix" in x.split("PushedFilters")[0] for x in pruned)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_folders_and_buckets_follow_the_size():
+    assert [history.prefix_digits(n, 10) for n in (0, 10, 11, 160, 161, 10**9)] == [0, 0, 1, 1, 2, 2]
+    assert dimension.bucket_number(5, 0, 10) == 1 and dimension.bucket_number(10, 1, 10) == 1
+    assert dimension.bucket_number(11, 1, 10) == 8 and dimension.bucket_number(80, 8, 10) == 8
+    assert dimension.bucket_number(81, 8, 10) == 64
