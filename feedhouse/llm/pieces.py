@@ -59,6 +59,8 @@ class PieceModel:
         if len(self.byte_ids) != 256:
             raise ValueError("the model needs all 256 byte pieces")
         self.longest = max(map(len, self.pieces))
+        # All ends of pieces: a backward walk from a position stops where no piece can end so.
+        self.ends = {p[i:] for p in self.pieces for i in range(len(p))}
         # Pieces that the model rules out by an absurd score do not count as the worst.
         self.by_byte = min(s for _, s in self.pieces.values() if s > -1e8) - BYTE_PENALTY
         # Split points that every path passes.
@@ -72,7 +74,7 @@ class PieceModel:
 
     def stream(self, chars: Iterable[str]) -> Iterator[tuple[list[int], float]]:
         """Final ids, and what they score, as soon as they are settled."""
-        pieces, longest = self.pieces, self.longest
+        pieces, longest, ends = self.pieces, self.longest, self.ends
         text = ""  # from the last settled boundary on
         best: list[float] = [0.0]
         back: list[int] = [0]
@@ -83,7 +85,10 @@ class PieceModel:
             top = best[end - 1] + (own[1] if own else self.by_byte * len(self.char_ids(char)))
             source = end - 1
             for start in range(end - 2, max(-1, end - longest - 1), -1):
-                found = pieces.get(text[start:end])
+                part = text[start:end]
+                if part not in ends:
+                    break
+                found = pieces.get(part)
                 if found and best[start] + found[1] > top:
                     top, source = best[start] + found[1], start
             best.append(top)
