@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from dataclasses import asdict, dataclass
 from decimal import Decimal
 
@@ -64,6 +65,11 @@ def start_event(spark: SparkSession, run_id: str, source_file: str, at: dt.datet
     )
 
 
+def _now() -> int:
+    """Ends are in the order they were logged in, whatever time a run is given."""
+    return time.time_ns() // 1000
+
+
 def _ended(started_at: dt.datetime, at: dt.datetime) -> dict:
     return {"completed_at": at, "execution_time_ms": int((at - started_at).total_seconds() * 1000)}
 
@@ -72,7 +78,7 @@ def complete_event(
     spark: SparkSession, run_id: str, started_at: dt.datetime, at: dt.datetime, metrics: RunMetrics, dq_report: str
 ) -> DataFrame:
     return events(
-        spark, run_id=run_id, event_seq=1, status=metrics.status, dq_report=dq_report,
+        spark, run_id=run_id, event_seq=_now(), status=metrics.status, dq_report=dq_report,
         success_rate=Decimal(str(metrics.success_rate)), **_ended(started_at, at), **asdict(metrics),
     )
 
@@ -81,7 +87,7 @@ def fail_event(
     spark: SparkSession, run_id: str, started_at: dt.datetime, at: dt.datetime, message: str
 ) -> DataFrame:
     return events(
-        spark, run_id=run_id, event_seq=1, status="failed", error_message=message, **_ended(started_at, at)
+        spark, run_id=run_id, event_seq=_now(), status="failed", error_message=message, **_ended(started_at, at)
     )
 
 
@@ -107,7 +113,7 @@ def _ended_columns(started_at: dt.datetime, at: dt.datetime) -> dict[str, Column
 
 
 def fail_events(files: DataFrame, started_at: dt.datetime, at: dt.datetime, message: Column) -> DataFrame:
-    return file_events(files, run_id=F.col("run_id"), event_seq=F.lit(1), status=F.lit("failed"), error_message=message,
+    return file_events(files, run_id=F.col("run_id"), event_seq=F.lit(_now()), status=F.lit("failed"), error_message=message,
                        **_ended_columns(started_at, at))
 
 
@@ -116,7 +122,7 @@ def complete_events(figures: DataFrame, started_at: dt.datetime, at: dt.datetime
     rate = F.when(F.col("records_parsed") > 0, F.floor(
         F.col("records_api_success") / F.nullif("records_parsed", F.lit(0)) * 10000 + 0.5) / 100).otherwise(0.0)
     return file_events(
-        figures, run_id=F.col("run_id"), event_seq=F.lit(1), dq_report=F.col("dq_report"), success_rate=rate,
+        figures, run_id=F.col("run_id"), event_seq=F.lit(_now()), dq_report=F.col("dq_report"), success_rate=rate,
         status=F.when(F.col("records_api_failed") == 0, "success").otherwise("partial"),
         **{c: F.col(c) for c in [*COUNT_COLUMNS, "parse_error_count"]}, **_ended_columns(started_at, at),
     )
@@ -126,13 +132,15 @@ def fold_events(log: DataFrame) -> DataFrame:
     """Current state of each run: for every column the latest event that sets it.
 
     A second start of a known run is ignored, so of several start events (`event_seq` 0) the earliest
-    counts; of several ends the latest. Runs without a start event do not exist.
+    counts; of several ends the one logged last. Runs without a start event do not exist.
     """
     begun = F.col("event_seq") == 0
     # Starts sort before ends; among starts the earliest must win, so its order value is the largest.
     started, ended = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("started_at", "completed_at"))
     place = F.when(begun, -started).otherwise(ended)
-    rank = F.struct(F.when(begun, 0).otherwise(1).alias("kind"), place.alias("place"))
+    rank = F.struct(
+        F.when(begun, 0).otherwise(1).alias("kind"), F.when(begun, 0).otherwise(F.col("event_seq")).alias("seq"),
+        place.alias("place"))
     columns = [c for c in RUN_COLUMNS if c != "run_id" and c in log.columns]
     state = log.groupBy("run_id").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(c) for c in columns],
