@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedhouse.llm.common import arrow_pass, documents, free_name, settle, shared_partitions
+from feedhouse.llm.common import arrow_pass, documents, settle, shared_partitions
 from feedhouse.llm.repeats import with_rid
 
 SLICE_ROWS = 64
@@ -484,11 +484,17 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 
 def keep_first(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One document of each class, with the columns it came with."""
-    name = free_name(docs.columns, "_rid")
-    classes = near_classes(with_rid(docs.select("doc_id", "text")), settings)
-    gone = settle(classes.where("rid <> class_rid").select(F.col("rid").alias(name)), "copies")
-    return with_rid(docs, name).join(gone, name, "left_anti").drop(name)
+    """One document of each class, with the columns it came with, whatever their names."""
+    names = docs.columns
+    own = [f"_c{i}" for i in range(len(names))]
+    renamed = docs.toDF(*own)
+    if "_metadata" in {n.lower() for n in names}:
+        # It hides the places of rows in their files; both reads below must see the same ones.
+        renamed = settle(renamed, "documents")
+    texts = renamed.select(F.col(own[names.index("doc_id")]).alias("doc_id"), F.col(own[names.index("text")]).alias("text"))
+    classes = near_classes(with_rid(texts), settings)
+    gone = settle(classes.where("rid <> class_rid").select("rid"), "copies")
+    return with_rid(renamed).join(gone, "rid", "left_anti").select(*[F.col(c).alias(n) for c, n in zip(own, names)])
 
 
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

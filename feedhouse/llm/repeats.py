@@ -383,8 +383,9 @@ def _with_spans(docs: DataFrame, settings: Settings) -> DataFrame:
 REPORT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
-def repeat_report(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """REPORT per document. Null text counts as empty; other columns are not read; repeated rows each have a row.
+def repeat_report(docs: DataFrame, settings: Settings = Settings(), with_text: bool = False) -> DataFrame:
+    """REPORT per document, and on demand `kept_text`, without characters of which only some bytes remain. Null text
+    counts as empty; other columns are not read; repeated rows each have a row.
 
     Texts shorter than `length` bytes lose nothing. `docs` is read three times: pass a written table.
     """
@@ -396,15 +397,18 @@ def repeat_report(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
             rows = []
             for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 spans = merged(found)
-                rows.append((len(text), sum(b - a for a, b in spans), len(spans),
-                             hashlib.sha256(kept_bytes(text, spans)).hexdigest()))
+                kept = kept_bytes(text, spans)
+                rows.append((len(text), sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept).hexdigest(),
+                             kept.decode("utf-8", "ignore") if with_text else None))
             if rows:
-                size, gone, n, sha = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in (size, gone, n)], pa.array(sha)],
-                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                size, gone, n, sha, kept = zip(*rows)
+                columns = [batch.column("doc_id"), *[pa.array(x, pa.int64()) for x in (size, gone, n)], pa.array(sha)]
+                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+                more = [pa.array(kept, pa.string())] if with_text else []
+                yield pa.RecordBatch.from_arrays(columns + more, names=names + ["kept_text"] * with_text)
 
-    return arrow_pass(_with_spans(texts, settings).select("doc_id", "text", "spans"), run, REPORT)
+    schema = f"{REPORT}, kept_text string" if with_text else REPORT
+    return arrow_pass(_with_spans(texts, settings).select("doc_id", "text", "spans"), run, schema)
 
 
 # --- runs of words ------------------------------------------------------------------------------------------------
@@ -484,4 +488,4 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), words: int
 
 
 def op3_interval_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeat_report(documents(spark, sf_dir))
+    return repeat_report(documents(spark, sf_dir), with_text=True)

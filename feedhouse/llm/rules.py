@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedhouse.llm.common import SPACE_RUN, SPACES, documents, free_name, settle
+from feedhouse.llm.common import SPACE_RUN, SPACES, documents, settle
 
 SYMBOLS = "#*$%&|<>"
 WINDOW_WORDS = 8
@@ -212,10 +212,9 @@ def adaptive_rules(docs: DataFrame, fences: Fences = Fences()) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, fences: Fences = Fences()) -> DataFrame:
-    """The documents that pass, with the columns they came with."""
+    """The documents that pass, with the columns they came with, whatever their names."""
     names = docs.columns
-    hidden = {c: free_name(names, f"_own_{i}") for i, c in enumerate(names)
-              if c.lower() in {x.lower() for x in [*BASE, *SHARES, "base_failed", "kept"]}}
+    hidden = {c: f"_own_{i}" for i, c in enumerate(names) if c not in ("doc_id", "text", "lang", "source")}
     held = docs.select(*[F.col(f"`{c.replace('`', '``')}`").alias(hidden.get(c, c)) for c in names])
     judged = judge(settle(with_measures(held), "measured"), fences)
     return judged.where("kept").select(

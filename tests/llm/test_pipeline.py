@@ -7,13 +7,15 @@ import pytest
 
 import __spark_entry__ as registered
 import corpus_pipeline
+from feedhouse.llm import order_minhash, rules
+from pyspark.sql import functions as F
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def test_every_operator_is_registered():
     names = registered.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality rules", "quality classifier", "near duplicates", "long repeats", "best-fit packing"]
 
@@ -75,3 +77,17 @@ def test_short_passages_of_over_fifty_words_go(spark, tmp_path):
         n = doc_id // 10
         kept = before[doc_id].split()
         assert text.split() == (kept if n == 50 else kept[:30] + kept[-30:])
+
+
+def test_stages_take_columns_of_any_name(spark, awkward, tmp_path):
+    extra = ["_file", "_row", "_number", "_rid", "_metadata", "_q_words", "_q_hits", "_q_lang", "_own_1", "cut", "a.b`c"]
+    plain = ["doc_id", "text", "lang", "source", "n_chars"]
+    awkward.select(*plain, *[F.lit(n).alias(n) for n in extra]).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    for stage in (rules.keep_good, order_minhash.keep_first):
+        kept = stage(docs)
+        assert kept.dtypes == docs.dtypes
+        rows = kept.collect()
+        assert all(tuple(r[5:]) == tuple(extra) for r in rows)
+        expected = stage(awkward.select(*plain)).collect()
+        assert sorted(repr(tuple(r[:5])) for r in rows) == sorted(repr(tuple(r)) for r in expected)
