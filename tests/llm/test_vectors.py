@@ -76,7 +76,7 @@ def test_clusters_equal_plain_rounds(spark, n):
 
 
 def test_bounds_spare_vectors_and_change_nothing(spark):
-    """Vectors in clear groups, one centroid each: after the first turns nearly no gap expires."""
+    """Vectors in clear groups: after the first turns most gaps hold."""
     rows = vectors(3000, groups=8, seed=5)
     settings = hc.Settings(clusters=8, rounds=12)
     assigned, centroids = hc.cluster(table(spark, rows), settings)
