@@ -18,6 +18,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,11 @@ from pyspark.sql import functions as F
 from feedhouse.llm.common import arrow_pass, documents, settle, ship_package
 
 END_ID = 1
-CACHED_WORDS = 200_000
-CACHED_CHARS = 64
 LATIN_LETTERS, LATIN_NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
-SLICE_ROWS = 256
+# Characters of the texts whose pieces are looked up together, and of the words of one call to the vocabulary.
+SLICE_CHARS, CALL_CHARS = 2_000_000, 200_000
+END_MARK = "\x01"
+_CONTROLS, _BEYOND_LATIN = re.compile(r"[\x01\x1c-\x1f]"), re.compile(r"[^\x00-\xff]")
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -58,116 +60,141 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordIds:
-    """Ids of whole texts, put together from the ids of their words, of which the recent ones are remembered.
+class TextIds:
+    """Ids of whole texts, put together from those of their pieces; a piece is looked up once for many texts.
 
-    The vocabulary never joins characters across white space, so words may be encoded apart. A new word of Latin-1
-    letters is cut further, by the vocabulary's own pattern after lowering, so that its case and the signs around it
-    do not make it new. A text with special token strings, or with a control character that Python but not the
-    vocabulary takes for white space, is encoded as one.
+    The vocabulary cuts a lower-cased text by a pattern, marks the end of each piece and merges within pieces only. So
+    the different pieces of Latin-1 texts go, each with a byte behind it that stands for its end, through a merge
+    table without normalizer; its order is that of the vocabulary's merges, the marking of ends coming first. Words
+    with other letters take the vocabulary's own way. A text with special token strings, or with a control character
+    that is the end mark or that Python but not the vocabulary takes for white space, is encoded as one.
+
+    Nothing is remembered from call to call.
     """
 
     def __init__(self, path: str):
+        from tiktoken._tiktoken import CoreBPE
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         with open(path, encoding="utf-8") as f:
-            pattern = json.load(f)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+            parts = json.load(f)
+        pattern = parts["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # Letters and numbers of Latin-1 in lower case, spelled out for Python's own, faster patterns.
         self.cut = re.compile(pattern.replace(r"\p{L}", LATIN_LETTERS).replace(r"\p{N}", LATIN_NUMBERS)).findall
-        self.words, self.older_words = {}, {}
-        self.parts, self.older_parts = {}, {}
-
-    def plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, "<u4").tobytes() for x in found]
-
-    def apart(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces without white space, encoded in one go and told apart by their places."""
-        found = self.tokenizer.encode("\n".join(pieces), add_special_tokens=False)
-        ids = np.asarray(found.ids, "<u4").tobytes()
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1
-        at = np.fromiter((start for start, _ in found.offsets), np.int64, len(found.offsets))
-        cuts = (4 * np.searchsorted(at, np.r_[0, np.cumsum(sizes)])).tolist()
-        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
-
-    def learn(self, words: set[str]) -> None:
-        """Put the words into `self.words`. Two generations are kept, so frequent words outlive the rare ones."""
-        if len(self.parts) > CACHED_WORDS:
-            self.parts, self.older_parts = {}, self.parts
-        known, parts = self.words, self.parts
-        cuts, new = {}, set()
-        for word in words:
-            ids = self.older_words.get(word)
-            if ids is not None:
-                known[word] = ids
-                continue
-            if word.isascii() or max(word) <= "\xff":
-                pieces = [word.lower()] if word.isalpha() else self.cut(word.lower())
+        self.ranks, ids = merge_ranks(parts["model"])
+        self.merges = CoreBPE(self.ranks, {}, f"[^{END_MARK}]+{END_MARK}")
+        self.id_of = np.array(ids, "<u4")
+        self.closes = np.array([len(k) > 1 and k.endswith(END_MARK.encode()) for k in self.ranks])
+
+    def plain(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def latin(self, pieces: list[str]) -> list[bytes]:
+        """Ids of lower-cased pieces of Latin-1."""
+        if not pieces:
+            return []
+        joined = END_MARK.join(pieces) + END_MARK
+        found = np.frombuffer(self.merges.encode_to_tiktoken_buffer(joined, set()), np.uint32)
+        ids = self.id_of[found].tobytes()
+        cuts = (4 * (np.flatnonzero(self.closes[found]) + 1)).tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def other(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words without white space, so many at a time, told apart by their places."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        share = np.cumsum(sizes) // CALL_CHARS
+        for at, size in zip(*[x.tolist() for x in np.unique(share, return_index=True, return_counts=True)[1:]]):
+            found = self.tokenizer.encode("\n".join(words[at : at + size]), add_special_tokens=False)
+            ids = np.asarray(found.ids, "<u4").tobytes()
+            starts = np.fromiter((start for start, _ in found.offsets), np.int64, len(found.offsets))
+            ends = np.cumsum(sizes[at : at + size])
+            cuts = (4 * np.searchsorted(starts, np.r_[0, ends])).tolist()
+            yield from (ids[a:b] for a, b in zip(cuts, cuts[1:]))
+
+    def pieces(self, text: str) -> list[str] | None:
+        """What the ids of a text are put together from; None if it must be encoded as one."""
+        if _CONTROLS.search(text) or ("<|" in text and any(s in text for s in self.special)):
+            return None
+        if text.isascii() or not _BEYOND_LATIN.search(text):
+            return self.cut(text.lower())
+        out = []
+        for word in text.split():
+            if _BEYOND_LATIN.search(word):
+                out.append(word)
             else:
-                pieces = [word]
-            cuts[word] = pieces
-            for piece in pieces:
-                if piece not in parts:
-                    ids = self.older_parts.get(piece)
-                    if ids is None:
-                        new.add(piece)
-                    else:
-                        parts[piece] = ids
-        if new:
-            listed = list(new)
-            parts.update(zip(listed, self.apart(listed)))
-        for word, pieces in cuts.items():
-            known[word] = parts[pieces[0]] if len(pieces) == 1 else b"".join([parts[x] for x in pieces])
-        for piece in new:
-            if len(piece) > CACHED_CHARS:
-                del parts[piece]
+                out += self.cut(word.lower())
+        return out
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [None if any(c in t for c in "\x1c\x1d\x1e\x1f") or ("<|" in t and any(s in t for s in self.special))
-                 else t.split() for t in texts]
-        wanted: set[str] = set()
-        for words in split:
-            wanted.update(words or ())
-        new = wanted.difference(self.words)
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words, self.older_words, new = {}, self.words, wanted
-        self.learn(new)
-        for text, words in zip(texts, split):
-            yield self.plain([text])[0] if words is None else b"".join(map(self.words.__getitem__, words))
-        for word in new:
-            if len(word) > CACHED_CHARS:
-                del self.words[word]
-
-
-_TOKENIZERS: dict[str, WordIds] = {}
-
-
-def word_ids(path: str) -> WordIds:
-    """One per Python worker, so that its words are remembered from task to task."""
+        split = [self.pieces(t) for t in texts]
+        different = set(chain.from_iterable(x for x in split if x is not None))
+        other = [x for x in different if not x.isascii() and _BEYOND_LATIN.search(x)]
+        latin = list(different.difference(other))
+        known = dict(zip(latin, self.latin(latin)))
+        known.update(zip(other, self.other(other)))
+        for text, pieces in zip(texts, split):
+            yield self.plain(text) if pieces is None else b"".join(map(known.__getitem__, pieces))
+
+
+def merge_ranks(model: dict) -> tuple[dict[bytes, int], list[int]]:
+    """Bytes of every token, an end mark behind those that end a piece, with their merge order; and their ids."""
+    shown = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or b > 173]
+    chars = {b: chr(b) for b in shown}
+    chars |= {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in chars)}
+    byte_of = {c: b for b, c in chars.items()}
+    suffix, vocab = model["end_of_word_suffix"], model["vocab"]
+
+    def spelled(token: str) -> bytes:
+        ends = token.endswith(suffix)
+        return bytes(byte_of[c] for c in token.removesuffix(suffix)) + END_MARK.encode() * ends
+
+    tokens = [*chars.values(), *[c + suffix for c in chars.values()], *[x + y for x, y in model["merges"]]]
+    ids: dict[bytes, int] = {}
+    for token in tokens:
+        ids.setdefault(spelled(token), vocab[token])
+    return {t: rank for rank, t in enumerate(ids)}, list(ids.values())
+
+
+_TOKENIZERS: dict[str, TextIds] = {}
+
+
+def text_ids(path: str) -> TextIds:
+    """One per Python worker; it holds the vocabulary only."""
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordIds(path)
+        _TOKENIZERS[path] = TextIds(path)
     return _TOKENIZERS[path]
 
 
+def by_size(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of about SLICE_CHARS characters."""
+    start = held = 0
+    for at, text in enumerate(texts):
+        if held and held + len(text) > SLICE_CHARS:
+            yield start, at
+            start, held = at, 0
+        held += len(text) + 1
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def token_pieces(docs: DataFrame, path: str, capacity: int) -> DataFrame:
     """One row per piece: ids of the document with the end id behind, cut where they exceed `capacity`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        encoder = word_ids(path)
+        encoder = text_ids(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            every = [t or "" for t in batch.column(1).to_pylist()]
+            for start, stop in by_size(every):
                 rows: list[tuple] = []
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.ids(texts)):
+                for doc_id, ids in zip(batch.column(0)[start:stop].to_pylist(), encoder.ids(every[start:stop])):
                     ids += END_ID.to_bytes(4, "little")
-                    for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
-                        cut = ids[4 * start : 4 * (start + capacity)]
-                        rows.append((doc_id, piece, start, len(cut) // 4, zlib.crc32(cut)))
+                    for piece, at in enumerate(range(0, len(ids) // 4, capacity)):
+                        cut = ids[4 * at : 4 * (at + capacity)]
+                        rows.append((doc_id, piece, at, len(cut) // 4, zlib.crc32(cut)))
                 columns = list(zip(*rows))
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays(

@@ -1,5 +1,6 @@
 """Packing: the ids of whole texts, complete and disjoint places, few sequences."""
 
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -22,7 +23,7 @@ def whole(tokenizer, text):
 
 
 def test_words_apart_give_the_ids_of_the_whole(tokenizer):
-    words = packing.WordIds(packing.default_tokenizer())
+    words = packing.TextIds(packing.default_tokenizer())
     draw = random.Random(1)
     odd = "ab Éé ẍ̈ 'S 'll 12 ... <| <|endoftext|> \u0085 \x1c   ΑΣ İ 日本語 ́ \n \t ﬁ".split(" ")
     for _ in range(300):
@@ -31,10 +32,43 @@ def test_words_apart_give_the_ids_of_the_whole(tokenizer):
 
 
 def test_latin_words_are_cut_as_the_vocabulary_does(tokenizer):
-    words = packing.WordIds(packing.default_tokenizer())
+    words = packing.TextIds(packing.default_tokenizer())
     signs = [chr(c) for c in range(0x21, 0x100) if c not in (0x85, 0xA0)]
     texts = [a + "x" + b + "'" + a for a in signs for b in signs[::7]] + ["".join(signs)]
-    assert list(words.ids(texts)) == words.plain(texts)
+    assert list(words.ids(texts)) == [words.plain(x) for x in texts]
+
+
+def test_merges_by_bytes_are_those_of_the_vocabulary(tokenizer):
+    """Byte strings tell merges by what they give, the vocabulary by their two parts: every token must come from its own
+    two parts when all earlier merges are done, so that both agree on any text."""
+    words = packing.TextIds(packing.default_tokenizer())
+    ranks, never = words.ranks, 1 << 30
+    by_id = {int(words.id_of[rank]): token for token, rank in ranks.items()}
+    assert len(by_id) == len(ranks) == tokenizer.get_vocab_size() - len(words.special)
+    with open(packing.default_tokenizer(), encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    for x, y in model["merges"]:
+        x, y = by_id[model["vocab"][x]], by_id[model["vocab"][y]]
+        token = x + y
+        parts = [token[i : i + 1] for i in range(len(token))]
+        while len(parts) > 2:
+            rank, at = min((ranks.get(a + b, never), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if rank >= ranks[token]:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        assert parts == [x, y]
+
+
+def test_slices_and_calls_change_nothing(tokenizer, monkeypatch):
+    words = packing.TextIds(packing.default_tokenizer())
+    draw = random.Random(9)
+    texts = [" ".join(draw.choices(["日本", "δύο", "one", "Zwölf", "x" * 50, "3.5", "’s"], k=draw.randint(0, 40)))
+             for _ in range(60)]
+    monkeypatch.setattr(packing, "CALL_CHARS", 7)
+    monkeypatch.setattr(packing, "SLICE_CHARS", 300)
+    ranges = list(packing.by_size(texts))
+    assert [i for a, b in ranges for i in range(a, b)] == list(range(60)) and len(ranges) > 5
+    assert [x for a, b in ranges for x in words.ids(texts[a:b])] == [words.plain(t) for t in texts]
 
 
 def test_pieces_and_places(awkward, tokenizer):
