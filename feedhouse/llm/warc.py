@@ -9,11 +9,13 @@ the same records.
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import html
 import re
 import uuid
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -50,14 +52,14 @@ def to_bytes(fields: Fields, block: bytes) -> bytes:
 
 def parse_fields(head: bytes) -> Fields:
     """Named fields in order; a line that starts with white space goes on with the field before it."""
-    out: Fields = []
+    out: list[tuple[str, list[str]]] = []
     for line in head.decode("utf-8", "replace").split("\r\n"):
         if line[:1] in (" ", "\t") and out:
-            out[-1] = out[-1][0], f"{out[-1][1]} {line.strip()}"
+            out[-1][1].append(line.strip())
         elif ":" in line:
             name, value = line.split(":", 1)
-            out.append((name.strip(), value.strip()))
-    return out
+            out.append((name.strip(), [value.strip()]))
+    return [(name, " ".join(values)) for name, values in out]
 
 
 def parse(record: bytes) -> tuple[Fields, bytes]:
@@ -88,30 +90,122 @@ def http_parts(block: bytes) -> tuple[str, Fields, bytes]:
 
 # --- text of a page -----------------------------------------------------------------------------------------------
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_BLOCK = re.compile(
-    r"</?(?:p|div|br|hr|h[1-6]|li|ul|ol|dl|dt|dd|tr|table|section|article|header|footer|nav|main|aside|pre|blockquote"
-    r"|form|figure|title|body|html)\b[^>]*>", re.I)
-_TAG = re.compile(r"<[a-zA-Z/!?][^>]*>?")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_BLOCKS = frozenset(
+    "p div br hr h1 h2 h3 h4 h5 h6 li ul ol dl dt dd tr table section article header footer nav main aside pre blockquote"
+    " form figure title body html".split())
+# What these hold is not shown. Tags are looked for in those of the second list only: the first hold other languages.
+_RAW, _HIDDEN = ("script", "style"), ("noscript", "template", "head")
+_NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*)")
+_HREF = re.compile(r"(?<![\w:-])href\s*=\s*(\"|'|[^\s>\"']+)", re.I)
+_LANG = re.compile(r"(?<![\w:-])lang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w-]+)", re.I)
+# Not of the web, and slow or failing on any but short texts.
+_NO_CHARSETS = ("idna", "punycode", "undefined")
+_ZEROS, _LONG_NUMBER = re.compile(r"&#0+(?=[0-9])"), re.compile(r"&#[0-9]{9,};?")
 
 
 def decoded(payload: bytes, content_type: str) -> str:
     found = _CHARSET.search(content_type)
     try:
-        return payload.decode(found[1] if found else "utf-8", "replace")
-    except LookupError:
+        charset = codecs.lookup(found[1]).name if found else "utf-8"
+        return payload.decode("utf-8" if charset in _NO_CHARSETS else charset, "replace")
+    except (LookupError, UnicodeError):
         return payload.decode("utf-8", "replace")
 
 
-def page_text(page: str) -> str:
-    """Visible text, a line per block, white space drawn together."""
-    shown = _TAG.sub("", _BLOCK.sub("\n", _HIDDEN.sub(" ", page)))
-    lines = (" ".join(x.split()) for x in html.unescape(shown).split("\n"))
-    return "\n".join(x for x in lines if x)
+def unescaped(text: str) -> str:
+    """Character references replaced; numbers of any length are none of a character, not an error."""
+    return html.unescape(_LONG_NUMBER.sub("\ufffd", _ZEROS.sub("&#", text)) if "&#" in text else text)
+
+
+class Ahead:
+    """The next place of a string or pattern in a page. Places asked for only grow, so a page is searched once for each."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.found: dict[str, tuple[int, int]] = {}
+
+    def string(self, what: str, at: int) -> int:
+        """Where `what` starts next, or the end of the page."""
+        if self.found.get(what, (-1, 0))[0] < at:
+            place = self.page.find(what, at)
+            self.found[what] = (place if place >= 0 else len(self.page), 0)
+        return self.found[what][0]
+
+    def closing(self, name: str, at: int) -> tuple[int, int]:
+        """Start and stop of the next closing tag of that name, or the end of the page twice."""
+        key = "</" + name
+        if self.found.get(key, (-1, 0))[0] < at:
+            match = re.compile(rf"</{name}\s*>", re.I | re.A).search(self.page, at)
+            self.found[key] = match.span() if match else (len(self.page), len(self.page))
+        return self.found[key]
+
+
+@dataclass
+class Page:
+    text: str = ""
+    title: str | None = None
+    language: str | None = None
+    links: list[str] = field(default_factory=list)
+
+
+def read_page(page: str) -> Page:
+    """Visible text (a line per block, white space drawn together), title, language and links, in one walk over the tags.
+
+    A tag ends at the next `>`, or with the page. Time grows with the length of the page, whatever is left open in it.
+    """
+    out, shown = Page(), []
+    ahead, links = Ahead(page), {}
+    at = hidden = 0
+    while at < len(page):
+        tag = ahead.string("<", at)
+        start = max(at, hidden)
+        if tag > start:
+            shown.append(page[start:tag])
+        if tag == len(page):
+            break
+        if page.startswith("<!--", tag):
+            at = ahead.string("-->", tag + 4) + 3
+            shown.append(" ")
+            continue
+        named = _NAME.match(page, tag)
+        if not named and page[tag + 1 : tag + 2] not in ("/", "!", "?"):
+            if tag >= hidden:
+                shown.append("<")
+            at = tag + 1
+            continue
+        stop = ahead.string(">", tag)
+        at = stop + 1
+        if not named:
+            continue
+        name = named[1].lower()
+        opening = page[tag + 1] != "/"
+        if opening and name == "a":
+            href = _HREF.search(page, named.end(), stop)
+            if href and href[1] in ("'", '"'):
+                # The value may hold a `>`; one that nothing closes ends with the tag.
+                end = ahead.string(href[1], href.end())
+                link = page[href.end() : end if end < len(page) else stop]
+                links[link] = None
+            elif href:
+                links[href[1]] = None
+        elif opening and name == "html" and out.language is None:
+            found = _LANG.search(page, named.end(), stop)
+            out.language = found[1] if found else None
+        elif opening and name == "title" and out.title is None and stop < len(page):
+            out.title = unescaped(page[stop + 1 : ahead.closing(name, stop + 1)[0]])
+        if opening and name in _RAW:
+            at = ahead.closing(name, named.end())[1]
+            shown.append(" ")
+        elif opening and name in _HIDDEN:
+            hidden = max(hidden, ahead.closing(name, named.end())[1])
+            shown.append(" ")
+        elif name in _BLOCKS and tag >= hidden:
+            shown.append("\n")
+    lines = (" ".join(x.split()) for x in unescaped("".join(shown)).split("\n"))
+    out.text = "\n".join(x for x in lines if x)
+    out.links = list(dict.fromkeys(map(unescaped, links)))
+    return out
 
 
 # --- operator -----------------------------------------------------------------------------------------------------
@@ -122,7 +216,8 @@ DERIVED = ("page_id bigint, warc_type string, record_id string, refers_to string
 
 
 def response_records(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
-    """page_id, record: a response record for every page (page_id, url, html). Null html is an empty page."""
+    """page_id, record: a response record for every page (page_id, url, html). Null html is an empty page, a null url an
+    empty one; equal rows give equal records, an empty table none. Other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
@@ -154,19 +249,17 @@ def derived_records(record: bytes) -> list[dict]:
     status, headers, payload = http_parts(block)
     payload_digest = first(fields, "WARC-Payload-Digest") or digest(payload)
     block_digest = first(fields, "WARC-Block-Digest") or digest(block)
-    page = decoded(payload, first(headers, "Content-Type") or "")
-    title, lang = _TITLE.search(page), _LANG.search(page)
+    page = read_page(decoded(payload, first(headers, "Content-Type") or ""))
     about: Fields = [("source-status", status), *[(f"source-header-{k.lower()}", v) for k, v in headers],
                      ("source-payload-digest", payload_digest), ("source-block-digest", block_digest)]
-    if title:
-        about.append(("title", html.unescape(title[1])))
-    if lang:
-        about.append(("language", lang[1]))
-    links = ("".join(m.groups(default="")) for m in _LINK.finditer(page))
-    about += [("outlink", html.unescape(x)) for x in dict.fromkeys(links)]
+    if page.title is not None:
+        about.append(("title", page.title))
+    if page.language:
+        about.append(("language", page.language))
+    about += [("outlink", x) for x in page.links]
     blocks = {
-        "metadata": ("application/warc-fields", "".join(f"{k}: {one_line(v)}\r\n" for k, v in about).encode()),
-        "conversion": ("text/plain; charset=utf-8", page_text(page).encode()),
+        "metadata": ("application/warc-fields", "".join(f"{k}: {one_line(v)}\r\n" for k, v in about).encode("utf-8", "replace")),
+        "conversion": ("text/plain; charset=utf-8", page.text.encode("utf-8", "replace")),
     }
     out = []
     for kind, (content_type, own) in blocks.items():
@@ -182,7 +275,11 @@ def derived_records(record: bytes) -> list[dict]:
 
 
 def derive(responses: DataFrame) -> DataFrame:
-    """DERIVED: two rows for each response record of (page_id, record); other and broken records give none."""
+    """DERIVED: two rows for each response record of (page_id, record); null, other and broken records give none.
+
+    Repeated rows give repeated rows, with the same ids. Pages are taken whole, in time that grows with their length.
+    Other columns are not read. An empty table gives an empty result.
+    """
     names = [c.split()[0] for c in DERIVED.split(", ")]
     schema = pa.schema([(n, pa.int64() if n in ("page_id", "content_length") else
                          pa.binary() if n == "record" else pa.string()) for n in names])

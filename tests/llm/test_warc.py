@@ -2,6 +2,12 @@
 
 import base64
 import hashlib
+import os
+import time
+from html.parser import HTMLParser
+
+import pytest
+from pyspark.sql import functions as F
 
 from feedhouse.llm import warc
 
@@ -56,9 +62,9 @@ def test_contents(spark):
 
 
 def test_text_of_odd_pages():
-    assert warc.page_text("1 < 2 & 3 > 2 <unclosed") == "1 < 2 & 3 > 2"
-    assert warc.page_text("<script>never closed <p>gone") == ""
-    assert warc.page_text("") == ""
+    assert warc.read_page("1 < 2 & 3 > 2 <unclosed").text == "1 < 2 & 3 > 2"
+    assert warc.read_page("<script>never closed <p>gone").text == ""
+    assert warc.read_page("").text == ""
 
 
 def test_broken_and_other_records_give_nothing():
@@ -77,3 +83,84 @@ def test_folded_headers_and_latin_payload():
 
 def test_empty_table(spark):
     assert warc.derive(warc.response_records(pages(spark).limit(0))).collect() == []
+
+
+class Plain(HTMLParser):
+    """The same page as the standard library sees it."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.text, self.links, self.title, self.inside = [], [], None, []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "head", "title"):
+            self.inside.append(tag)
+        elif tag in ("p", "div", "h1", "li", "br"):
+            self.text.append("\n")
+        self.links += [v for k, v in attrs if tag == "a" and k == "href" and v not in self.links]
+
+    def handle_endtag(self, tag):
+        if tag in self.inside:
+            self.inside.remove(tag)
+        elif tag in ("p", "div", "h1", "li"):
+            self.text.append("\n")
+
+    def handle_comment(self, data):
+        self.text.append(" ")
+
+    def handle_data(self, data):
+        if "title" in self.inside and self.title is None:
+            self.title = data
+        if not self.inside:
+            self.text.append(data)
+
+
+def test_pages_as_the_standard_parser_sees_them(spark):
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    rows = spark.read.parquet(f"{folder}/pages.parquet").collect()
+    made = ["<html lang=en><head><title>T &lt; 1</title><script>if (a<b) '</p>'</script></head><body><div>x<p>y &amp; z"
+            "<!-- <a href='/no'> --><A HREF='/u?a=1&amp;b=2'>v</A> <a name=x href=/w>w</a></div></body></html>"]
+    for page in made + [r.html for r in rows if r.html]:
+        plain = Plain()
+        plain.feed(page)
+        plain.close()
+        found = warc.read_page(page)
+        lines = (" ".join(x.split()) for x in "".join(plain.text).split("\n"))
+        assert found.text == "\n".join(x for x in lines if x)
+        assert found.links == plain.links and found.title == plain.title
+
+
+def test_values_with_a_tag_end_and_open_values():
+    page = warc.read_page("<a href='/a>b'>x</a><a href=\"/open>y</a><a data-href=/n>z</a><html xml:lang=a lang='pt-BR'>")
+    assert page.links == ["/a>b", "/open"] and page.language == "pt-BR"
+
+
+@pytest.mark.parametrize("part", [
+    "<a ", "<a href=\"", "<a href='x>", "<html ", "<html lang ", "<p ", "<!--", "<script>", "<head>", "</head ", "<title>",
+    "<", "&#", "&#0", "&#9", "&amp", "<a href", "<p>", " ", "href = ", "<a href=x>"])
+def test_long_pages_of_open_tags(part):
+    page = part * (4_000_000 // len(part))
+    start = time.process_time()
+    warc.read_page(page)
+    assert time.process_time() - start < 20
+
+
+def test_long_folded_header():
+    head = b"A: 1" + b"\r\n x" * 300_000
+    start = time.process_time()
+    assert len(warc.parse_fields(head)[0][1]) == 600_001
+    assert time.process_time() - start < 5
+
+
+def test_odd_charsets():
+    for name in ("idna", "punycode", "hex", "none-such", "utf-16"):
+        assert isinstance(warc.decoded(b"\xff<p>abc" * 50, f"text/html; charset={name}"), str)
+
+
+def test_extra_columns_are_not_read(spark):
+    plain = pages(spark)
+    more = plain.select("*", *[F.lit(7).alias(c) for c in ("record", "warc_type", "_metadata", "refers_to")])
+    records = warc.response_records(more)
+    wide = records.select("*", F.lit("x").alias("record_id"), F.lit(1).alias("content_length"))
+    assert sorted(map(str, warc.derive(wide).collect())) == sorted(
+        map(str, warc.derive(warc.response_records(plain)).collect()))
