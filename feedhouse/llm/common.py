@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import zipfile
@@ -48,12 +49,38 @@ def ship_package(spark: SparkSession) -> None:
     context._feedhouse_shipped = True
 
 
+_OF_TASK: list[dict] = []
+
+
+def of_task(table: dict) -> dict:
+    """A table that holds what a task has worked out; it is emptied when the task ends."""
+    _OF_TASK.append(table)
+    return table
+
+
+def free_task() -> None:
+    """Empty the tables of the task and give its memory back, since workers live on between tasks."""
+    for table in _OF_TASK:
+        table.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def arrow_pass(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """`mapInArrow` with the package at hand on the executors."""
+    """`mapInArrow` with the package at hand on the executors, and nothing left behind in them."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            free_task()
+
+    return df.mapInArrow(run, schema)
 
 
 def text_or_empty(name: str = "text") -> Column:

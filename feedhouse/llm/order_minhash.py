@@ -25,11 +25,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedhouse.llm.common import arrow_pass, documents, settle, shared_partitions
+from feedhouse.llm.common import arrow_pass, documents, of_task, settle, shared_partitions
 from feedhouse.llm.repeats import with_rid
 
 SLICE_ROWS = 64
-CACHED_WORDS = 500_000
+CACHED_WORDS = 250_000
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,7 @@ class Settings:
 
 
 class WordHashes(dict):
-    """word bytes -> 64-bit hash, remembered per worker."""
+    """word bytes -> 64-bit hash, remembered within a task."""
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
@@ -55,7 +55,7 @@ class WordHashes(dict):
         return value
 
 
-_WORDS = WordHashes()
+_WORDS = of_task(WordHashes())
 
 
 def words_of(text: bytes) -> np.ndarray:

@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedhouse.llm.common import arrow_pass, documents, fold_of, free_name, shared_partitions
+from feedhouse.llm.common import arrow_pass, documents, fold_of, free_name, of_task, shared_partitions
 
 FOLDS = 5
 SLICE_BYTES = 1 << 20
-CACHED_WORDS = 500_000
+CACHED_WORDS = 250_000
 SLICE_BUCKETS = 32
 
 # Shapes: 4 cases x 8 endings, and the two pseudo words.
@@ -69,7 +69,7 @@ def shape_of(word: str) -> int:
 
 
 class Codes(dict):
-    """word -> bucket * 64 + shape, worked out once per word and worker."""
+    """word -> bucket * 64 + shape, worked out once per word and task."""
 
     def __init__(self, buckets: int):
         super().__init__()
@@ -83,7 +83,7 @@ class Codes(dict):
         return code
 
 
-_CODES: dict[int, Codes] = {}
+_CODES: dict[int, Codes] = of_task({})
 
 
 def codes_of(buckets: int) -> Codes:
