@@ -62,6 +62,12 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def repeat_errors(repeated: DataFrame, stage: str, key: str) -> DataFrame:
+    """Repeated keys (`key`, `n_rows`) in the form of `rejects`."""
+    text = F.concat(F.lit(f"repeated {key} ("), F.col("n_rows").cast("string"), F.lit(" rows)"))
+    return repeated.select(F.lit(stage).alias("stage"), F.col(key).cast("string").alias("key"), text.alias("error"))
+
+
 def with_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
     """Add absent columns from `defaults`. A null that is given stays null, as in an insert that names the column."""
     return df.withColumns({name: value for name, value in defaults.items() if name not in df.columns})

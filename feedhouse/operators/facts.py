@@ -42,6 +42,13 @@ def email_keys(dim_customer: DataFrame, counted: DataFrame) -> DataFrame:
     return counted.join(dim_customer.select("contact_email", "customer_key"), "contact_email")
 
 
+def single_keys(keys: DataFrame) -> DataFrame:
+    """The smallest key of each email of `email_keys`, and how many the dimension `held`: a repeated one must not
+    multiply facts. Keeps the partitions of the join before it."""
+    return keys.groupBy("contact_email").agg(
+        F.min("customer_key").alias("customer_key"), F.first("n").alias("n"), F.count(F.lit(1)).alias("held"))
+
+
 def fact_rows(
     customers: DataFrame,
     keys: Settled,
@@ -54,10 +61,10 @@ def fact_rows(
 ) -> DataFrame:
     """One fact per customer whose email has a key; an unknown country gives a null key.
 
-    `keys` comes from `email_keys` and `with_delivery`. The country dimension is keyed by a two-letter
-    code, which bounds it to a few hundred rows.
+    `keys` comes from `email_keys` and `with_delivery`. A country code that is there twice gives its smallest key. Spark
+    broadcasts the countries as long as their size allows it.
     """
-    countries = F.broadcast(dim_country.select("country_code", "country_key"))
+    countries = dim_country.groupBy("country_code").agg(F.min("country_key").alias("country_key"))
     file = F.lit(source_file) if source_file is not None else F.col("_sourceFile")
     place = [c for c in ("_sourceFile", "_rowNumber", "_rowOrder") if c in customers.columns]
     coded = customers.select(

@@ -85,6 +85,34 @@ def warehouse_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
     return tables
 
 
+UNIQUE = {
+    "stg_customers": ["source_hash"], "dim_customer": ["contact_email", "customer_key"],
+    "dim_country": ["country_code", "country_key"], "dim_import_date": ["date_key"],
+}
+REFERENCES = {"customer_key": "dim_customer", "country_key": "dim_country", "date_key": "dim_import_date"}
+
+
+def constraint_errors(warehouse: Warehouse, since: str | None = None) -> DataFrame:
+    """`stage`, `key`, `error` for stored rows that break a constraint: keys that occur more than once, and references of
+    facts that lead nowhere, of the months from `since` (yyyy-MM) on if given, whose folders alone are read then.
+
+    A load keeps both by construction, as it numbers keys and looks references up; it lists itself what it cannot
+    keep: emails that the stored dimension has twice, and a day without a date row. This is for tables that something
+    else has written to.
+    """
+    tables = warehouse_tables(warehouse)
+    parts = [
+        checks.repeat_errors(checks.repeated_keys(tables[name], key), name, key)
+        for name, keys in UNIQUE.items() for key in keys
+    ]
+    rows = tables["fact_customer_imports"]
+    if since is not None:
+        rows = rows.where(F.col("import_month") >= since)
+    violations = facts.reference_violations(
+        rows, "import_key", {key: (tables[name], key) for key, name in REFERENCES.items()})
+    return checks.load_errors(*parts, checks.reference_errors(violations, "import_key"))
+
+
 def prepare(warehouse: Warehouse, at: dt.datetime | None = None, spine: tuple[str, str] = DATE_SPINE) -> None:
     """Create the warehouse if need be and seed the country and date dimensions, each key once."""
     at = at or utc_now()
@@ -235,8 +263,11 @@ def _load_customers(
     out.written["dim_customer"] = Written(
         path, replaces=True, last_key=done.stats["last"], rows=total, bucket_count=count,
         buckets=sorted(done.stats["buckets"]))
-    keys = facts.email_keys(done.frame, incoming.select("contact_email", "n"))
-    return settle_keyed(facts.with_delivery(keys, outcomes), "customer-keys")
+    keys = facts.single_keys(facts.email_keys(done.frame, incoming.select("contact_email", "n")))
+    customer_keys = settle_keyed(facts.with_delivery(keys, outcomes), "customer-keys")
+    repeated = customer_keys.frame.where("held > 1").withColumnRenamed("held", "n_rows")
+    out.errors.append(checks.repeat_errors(repeated, "dim_customer", "contact_email"))
+    return customer_keys
 
 
 def _load_facts(wh: Warehouse, customers: DataFrame, keys: Settled, run: _Run, out: _Loaded) -> None:

@@ -479,3 +479,35 @@ def test_any_header(spark, tmp_path):
     assert result.dq_report["schemaDrift"]["unexpectedFields"] == names[2:]
     assert [r.error for r in result.tables["errors"].collect()] == [
         r.error for r in result.tables["errors"].where("stage = 'validation'").collect()]
+
+
+def test_broken_constraints_are_listed(spark, tmp_path):
+    feed, root = write(tmp_path / "f.csv", [line(i) for i in range(4)]), str(tmp_path / "wh")
+    run_load(spark, feed, root, run_id="r1", run_at=AT)
+    warehouse = Warehouse(spark, root)
+    assert load.constraint_errors(warehouse).count() == 0
+
+    # Something else writes a row of the dimension once more, and takes countries and a fact's customer away.
+    def behind(name, change):
+        for path in warehouse.live_paths(name):
+            rows = spark.read.parquet(path)
+            rows = spark.createDataFrame(rows.collect(), rows.schema)
+            change(rows).coalesce(1).write.mode("overwrite").parquet(path)
+
+    behind("dim_customer", lambda d: d.where("contact_email <> 'u3@x.co'").unionByName(
+        d.where("contact_email = 'u1@x.co'").withColumn("customer_key", F.lit(99).cast("bigint"))))
+    behind("dim_country", lambda d: d.unionByName(d.where("country_code = 'US'")))
+    found = {tuple(r) for r in load.constraint_errors(warehouse).collect()}
+    lost = [r for r in found if r[0] == "fact"]
+    assert ("dim_customer", "u1@x.co", "repeated contact_email (2 rows)") in found
+    assert {e for s, _, e in found if s == "dim_country"} == {
+        "repeated country_code (2 rows)", "repeated country_key (2 rows)"}
+    assert len(lost) == 1 and lost[0][2].startswith("missing customer_key ")
+    assert {r.stage for r in load.constraint_errors(warehouse, "2999-01").collect()} == {"dim_customer", "dim_country"}
+
+    # A load lists the repeated email and does not multiply its facts.
+    again = write(tmp_path / "g.csv", [line(1, company_name="New", tax_id="other")])
+    result = run_load(spark, again, root, run_id="r2", run_at=AT)
+    assert result.counts["factLoaded"] == 1 and result.counts["errors"] == 1
+    errors = spark.read.parquet(f"{result.folder}/load_errors").collect()
+    assert [(e.stage, e.key, e.error) for e in errors] == [("dim_customer", "u1@x.co", "repeated contact_email (2 rows)")]
