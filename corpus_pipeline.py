@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from feedhouse.llm import order_minhash, quality_net, rules
-from feedhouse.llm.common import documents, settle
+from feedhouse.llm.common import documents, settle_alone
 from feedhouse.llm.packing import pack_documents
 from feedhouse.llm.repeats import remove_repeats
 
@@ -57,5 +57,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = settle_alone(lambda: stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

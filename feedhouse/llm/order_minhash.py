@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedhouse.llm.common import arrow_pass, documents, of_task, settle, shared_partitions
+from feedhouse.llm.common import arrow_pass, documents, drop, of_task, settle, settle_alone, shared_partitions
 from feedhouse.llm.repeats import with_rid
 
 SLICE_ROWS = 64
@@ -396,6 +396,27 @@ def components(links: DataFrame, chunk: int = 200_000) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("part")).unionByName(roots).distinct()
 
 
+def added(settled: DataFrame | None, more: DataFrame, label: str) -> DataFrame:
+    """Two settled tables as one, which takes their place."""
+    return more if settled is None else in_place_of(settled, in_place_of(more, settle(settled.unionByName(more), label)))
+
+
+def in_place_of(old: DataFrame, new: DataFrame) -> DataFrame:
+    """`new`, once the settled table `old` that it was made from is deleted."""
+    drop(old)
+    return new
+
+
+def untried(members: DataFrame, turn: int, tried: DataFrame | None, similarity: float) -> DataFrame:
+    pairs = star_pairs(members, turn, similarity)
+    return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+
+
+def with_parts(members: DataFrame, links: DataFrame) -> DataFrame:
+    """`members` with the parts that the links make."""
+    return members.drop("part").join(components(links), "id", "left").withColumn("part", F.coalesce("part", "id"))
+
+
 def linked(
     members: DataFrame, verify: Callable[[DataFrame], DataFrame], similarity: float,
     compare: Callable[[DataFrame], DataFrame], crowd: int,
@@ -411,31 +432,26 @@ def linked(
     found = tried = None
     turn = 0
     while True:
-        pairs = star_pairs(members, turn, similarity)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = settle(pairs, "pairs")
+        pairs = settle_alone(lambda: untried(members, turn, tried, similarity), "pairs")
         if pairs.isEmpty():
             break
-        new = settle(verify(pairs), "links")
-        found = new if found is None else settle(found.unionByName(new), "links")
-        tried = pairs if tried is None else settle(tried.unionByName(pairs), "tried")
-        if new.isEmpty():
-            if turn:
-                break
-        else:
-            joined = members.drop("part").join(components(found), "id", "left")
-            members = settle(joined.withColumn("part", F.coalesce("part", "id")), "members")
+        new = settle_alone(lambda: verify(pairs), "links")
+        any_new = not new.isEmpty()
+        found, tried = added(found, new, "links"), added(tried, pairs, "tried")
+        if any_new:
+            members = in_place_of(members, settle_alone(lambda: with_parts(members, found), "members"))
+        elif turn:
+            break
         turn += 1
         if turn > 1:
             sizes = members.groupBy("key").agg(
                 F.count("*").alias("c"), F.min("part").alias("low"), F.max("part").alias("high"))
             sizes = settle(sizes.where("low <> high").select("key", "c"), "open-buckets")
-            members = settle(members.join(sizes.select("key"), "key", "left_semi"), "members")
+            members = in_place_of(members, settle(members.join(sizes.select("key"), "key", "left_semi"), "members"))
             if sizes.where(F.col("c") > crowd).isEmpty():
                 break
     # Stars see one center of a bucket a turn; what they left apart is compared in full.
-    rest = settle(compare(members), "links")
+    rest = settle_alone(lambda: compare(members), "links")
     return rest if found is None else settle(found.unionByName(rest).distinct(), "links")
 
 
@@ -476,7 +492,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     Repeated rows are equal texts. `docs` is read several times: pass a written table.
     """
     held = with_rid(docs.select("doc_id", "text"))
-    classes = settle(near_classes(held, settings), "classes")
+    classes = settle_alone(lambda: near_classes(held, settings), "classes")
     ids = settle(held.select("rid", "doc_id"), "ids")
     heads = ids.select(F.col("rid").alias("class_rid"), F.col("doc_id").alias("class_id"))
     return classes.join(ids, "rid").join(heads, "class_rid").select(
@@ -492,8 +508,9 @@ def keep_first(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         # It hides the places of rows in their files; both reads below must see the same ones.
         renamed = settle(renamed, "documents")
     texts = renamed.select(F.col(own[names.index("doc_id")]).alias("doc_id"), F.col(own[names.index("text")]).alias("text"))
-    classes = near_classes(with_rid(texts), settings)
-    gone = settle(classes.where("rid <> class_rid").select("rid"), "copies")
+    placed = with_rid(texts)
+    gone = settle_alone(
+        lambda: near_classes(placed, settings).where("rid <> class_rid").select("rid"), "copies")
     return with_rid(renamed).join(gone, "rid", "left_anti").select(*[F.col(c).alias(n) for c, n in zip(own, names)])
 
 

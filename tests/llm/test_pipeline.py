@@ -7,7 +7,8 @@ import pytest
 
 import __spark_entry__ as registered
 import corpus_pipeline
-from feedhouse.llm import order_minhash, rules
+from feedhouse.llm import common, order_minhash, rules
+from feedhouse.session import folder_names, scratch_root
 from pyspark.sql import functions as F
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -91,3 +92,36 @@ def test_stages_take_columns_of_any_name(spark, awkward, tmp_path):
         assert all(tuple(r[5:]) == tuple(extra) for r in rows)
         expected = stage(awkward.select(*plain)).collect()
         assert sorted(repr(tuple(r[:5])) for r in rows) == sorted(repr(tuple(r)) for r in expected)
+
+
+def scratch_tables(spark):
+    """Labels of the settled tables that are there."""
+    names = folder_names(spark, f"{scratch_root(spark)}/feedhouse-{spark.sparkContext.applicationId}")
+    return {n: n.rsplit("-", 1)[0] for n in names}
+
+
+def test_stages_leave_no_working_tables(spark, awkward):
+    """What a stage wrote on the way to a table goes when that is written, and its result is whole."""
+    before = set(scratch_tables(spark))
+    kept, cut = order_minhash.keep_first(awkward), corpus_pipeline.long_repeats(spark, awkward, "")
+    left = {label for name, label in scratch_tables(spark).items() if name not in before}
+    assert left <= {"copies", "spans", "runs", "code"}
+    assert 0 < kept.count() < awkward.count() and cut.count() == awkward.count()
+
+
+def test_settled_tables(spark):
+    frame = spark.range(100).withColumn("k", F.col("id") % 7)
+    outer = []
+
+    def total():
+        outer.append(common.settle(frame.groupBy("k").count(), "inner"))
+        outer.append(common.settle_alone(lambda: common.settle(outer[0], "deep").where("k < 5"), "nested"))
+        return outer[1].select(F.sum("count").alias("n"))
+
+    before = set(scratch_tables(spark))
+    one = common.settle_alone(total, "one")
+    two = common.settle(one, "two")
+    now = lambda: {label for name, label in scratch_tables(spark).items() if name not in before}
+    assert one.first().n == two.first().n == sum(1 for i in range(100) if i % 7 < 5) and now() == {"one", "two"}
+    common.drop(two)
+    assert now() == {"one"} and spark.conf.get(common.FREE_SHUFFLES) == "false"
