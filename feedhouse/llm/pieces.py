@@ -9,7 +9,9 @@ same result, and recent words are remembered.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -23,6 +25,7 @@ MARK = "▁"
 CACHED_WORDS = 400_000
 CACHED_CHARS = 64
 SLICE_ROWS = 256
+WINDOWS = 4  # longest pieces that the search takes in before it settles what it can
 RESULT = "doc_id bigint, n_ids bigint, ids_crc32 bigint, score double, decoded_sha256 string, round_trip boolean"
 
 # A character without a piece costs this per byte on top of the worst piece.
@@ -63,6 +66,9 @@ class PieceModel:
         self.ends = {p[i:] for p in self.pieces for i in range(len(p))}
         # Pieces that the model rules out by an absurd score do not count as the worst.
         self.by_byte = min(s for _, s in self.pieces.values() if s > -1e8) - BYTE_PENALTY
+        # The same for one lookup a part: what an end of a piece scores, which is nothing if it is no piece itself.
+        self.gains = dict.fromkeys(self.ends, -math.inf) | {p: s for p, (_, s) in self.pieces.items()}
+        self.packed = {p: struct.pack("<I", i) for p, (i, _) in self.pieces.items()}
         # Split points that every path passes.
         if any(" " in p.lstrip(" ") or "\n" in p for p in self.pieces):
             raise ValueError("pieces must hold spaces in front only, and no line ends")
@@ -93,7 +99,7 @@ class PieceModel:
                     top, source = best[start] + found[1], start
             best.append(top)
             back.append(source)
-            if end >= 4 * longest:
+            if end >= WINDOWS * longest:
                 # Follow all live positions back until they meet.
                 live = set(range(max(0, end - longest + 1), end + 1))
                 while len(live) > 1:
@@ -121,7 +127,36 @@ class PieceModel:
             ids += [found[0]] if found else self.char_ids(text[a:b])
         return ids
 
+    def short(self, word: str) -> tuple[bytes, float]:
+        """What `stream` finds in a word that ends before its window does."""
+        gains, packed = self.gains, self.packed
+        best, back = [0.0], [0]
+        start = 0
+        for end, char in enumerate(word, 1):
+            gain = gains[char] if char in packed else self.by_byte * len(char.encode())
+            top, source = best[start] + gain, start
+            while start:
+                start -= 1
+                part = word[start:end]
+                if part not in gains:
+                    break
+                gain = best[start] + gains[part]
+                if gain > top:
+                    top, source = gain, start
+            best.append(top)
+            back.append(source)
+            start = end
+        out = []
+        while start:
+            part = word[back[start] : start]
+            out.append(packed[part] if part in packed else struct.pack(f"<{len(part.encode())}I", *self.char_ids(part)))
+            start = back[start]
+        out.reverse()
+        return b"".join(out), best[-1]
+
     def word(self, word: str) -> tuple[bytes, float]:
+        if len(word) < WINDOWS * self.longest:
+            return self.short(word)
         ids: list[int] = []
         score = 0.0
         for part, gain in self.stream(word):

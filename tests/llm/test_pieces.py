@@ -49,6 +49,16 @@ def test_long_words_are_settled_on_the_way(model):
     assert [i for ids, _ in parts for i in ids] == whole(model, word)[0]
 
 
+def test_short_words_are_searched_as_the_stream_does(model):
+    draw = random.Random(3)
+    for n in range(1, pieces.WINDOWS * model.longest + 2):
+        word = " " * (n % 3) + "".join(draw.choices("aabethiongréì日▁\t.#", k=n))
+        parts = list(model.stream(word))
+        ids = np.asarray([i for found, _ in parts for i in found], "<u4").tobytes()
+        for found in [model.word(word), *[model.short(word)] * (len(word) < pieces.WINDOWS * model.longest)]:
+            assert found == (ids, sum(gain for _, gain in parts))
+
+
 def test_documents(awkward, model):
     rows = pieces.encode_documents(awkward).collect()
     assert all(r.round_trip for r in rows)
