@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedhouse.llm.common import arrow_pass, documents, fold_of, settle, shared_partitions, ship_package
+from feedhouse.llm.common import arrow_pass, documents, drop, fold_of, settle, settle_alone, shared_partitions, ship_package
 
 FOLDS, HELD_OUT = 7, 2
 BLANK, END = 0x20, 0x0A
@@ -574,10 +574,16 @@ def score_running(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
     def hashed(word: pd.Series) -> pd.Series:
         return word.map(word_hash).astype("int64")
 
-    counts = found.select("block", "word").join(words, "word").select(
-        "block", F.lit(True).alias("is_word"), hashed("word").alias("key"), F.col("n").cast("double").alias("value"))
-    scores = met.select("block", "key").join(event_scores(events, settings), "key").select(
+    counts = settle(found.select("block", "word").join(words, "word").select(
+        "block", F.lit(True).alias("is_word"), hashed("word").alias("key"), F.col("n").cast("double").alias("value")),
+        "block-counts")
+    drop(found, words)
+    scored = settle_alone(lambda: event_scores(events, settings), "event-scores")
+    drop(events)
+    scores = met.select("block", "key").join(scored, "key").select(
         "block", F.lit(False).alias("is_word"), "key", F.col("log10").alias("value"))
+    scores = settle(scores, "block-scores")
+    drop(met, scored)
     known = counts.unionByName(scores)
     depth, size = settings.depth, settings.slice_bytes
 

@@ -10,6 +10,7 @@ import pytest
 
 from conftest_helpers import multiset, texts_of
 from feedhouse.llm import ctw
+from feedhouse.session import folder_names, scratch_root
 
 
 def log_kt(a, b):
@@ -166,3 +167,13 @@ def test_shuffled_words_score_lower(spark, tmp_path):
 
 def test_empty_table_has_no_running_text(nothing):
     assert ctw.score_running(nothing).collect() == []
+
+
+def test_only_what_the_result_reads_stays_on_disk(spark, awkward):
+    """Words, events, trees and unjoined scores go as soon as nothing reads them."""
+    folder = f"{scratch_root(spark)}/feedhouse-{spark.sparkContext.applicationId}"
+    before = set(folder_names(spark, folder))
+    scored = ctw.score_running(awkward)
+    left = {n.rsplit("-", 1)[0] for n in set(folder_names(spark, folder)) - before}
+    assert left <= {"blocks", "block-counts", "block-scores", "code"}
+    assert scored.count() == awkward.count()
