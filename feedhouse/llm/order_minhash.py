@@ -6,10 +6,11 @@ in such a pair meet in a bucket. The chance of that falls with different shingle
 about the square of the share of shingles in common: with 24 tables, 94 % of pairs that differ in every tenth word
 meet, and 99.9 % of those that differ in every fifteenth.
 
-In a bucket all texts are compared with one center first, not with each other. Links found so make components. Buckets
-of more than `crowd` texts are gone through again with other centers while a round finds something new. Then all texts
-of different components that still share a bucket are compared, in tasks of about `crowd` texts that give out links
-only: a larger bucket is dealt into groups, and each two groups meet in a task, save those of its largest component.
+In a bucket all texts are compared with one center first, not with each other: in a sixth of the buckets, which settles
+most copies, then in all of them. Links found so make components. Buckets of more than `crowd` texts are gone through
+again with other centers while a tenth of a turn's pairs are links. Then all texts of different components that still
+share a bucket are compared, in tasks of about `crowd` texts that give out links only: a larger bucket is dealt into
+groups, and each two groups meet in a task, save those of its largest component.
 A pair is linked if an alignment of their words, in a band as wide as the threshold allows, matches at least
 `similarity` of all distinct places: m / (a + b - m), which is Jaccard similarity that minds the order.
 """
@@ -25,11 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedhouse.llm.common import arrow_pass, documents, drop, of_task, settle, settle_alone, shared_partitions
+from feedhouse.llm.common import arrow_pass, documents, drop, marked, of_task, settle, settle_alone, shared_partitions
 from feedhouse.llm.repeats import with_rid
 
 SLICE_ROWS = 64
 CACHED_WORDS = 250_000
+# One of so many buckets is gone through first.
+FIRST_BUCKETS = 6
 
 
 @dataclass(frozen=True)
@@ -216,13 +219,30 @@ def star_pairs(members: DataFrame, turn: int, similarity: float) -> DataFrame:
 def packed_words(texts: DataFrame, needed: DataFrame) -> DataFrame:
     """rid, h: 32-bit word hashes of the texts (rid, text binary) that are needed (rid)."""
 
+    needed_rows = marked(texts, needed).where("_marked")
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([words_of(t).astype(np.uint32).tobytes()
                                             for t in batch.column(1).to_pylist()], pa.binary())], names=["rid", "h"])
 
-    return settle(arrow_pass(texts.join(needed, "rid").select("rid", "text"), pack, "rid bigint, h binary"), "word-hashes")
+    return settle(arrow_pass(needed_rows.select("rid", "text"), pack, "rid bigint, h binary"), "word-hashes")
+
+
+def part_sizes(members: DataFrame) -> DataFrame:
+    """key, total texts, `top` (c texts, part) of the largest part, and how many parts, of each bucket (key, id, part)."""
+    return members.groupBy("key", "part").agg(F.count("*").alias("c")).groupBy("key").agg(
+        F.sum("c").alias("total"), F.max(F.struct("c", "part")).alias("top"), F.count("*").alias("parts"))
+
+
+def families(members: DataFrame, crowd: int) -> DataFrame:
+    """`members` (key, id, part) with one bucket in place of all those of more than `crowd` texts where one part has
+    the majority: a large class fills a bucket in every table, mostly of the same texts."""
+    large = part_sizes(members).where((F.col("total") > crowd) & (F.col("parts") > 1) & (2 * F.col("top.c") > F.col("total")))
+    large = settle(large.select("key", F.xxhash64(F.lit("family"), "top.part").alias("family")), "families")
+    return settle(members.select("key", "id", "part").join(large, "key", "left").select(
+        F.coalesce("family", "key").alias("key"), "id", "part").distinct(), "family-members")
 
 
 def dealt_crowds(members: DataFrame, crowd: int) -> DataFrame:
@@ -233,8 +253,8 @@ def dealt_crowds(members: DataFrame, crowd: int) -> DataFrame:
     in proportion to its size.
     """
     half = max(1, crowd // 2)
-    sizes = members.groupBy("key", "part").agg(F.count("*").alias("c")).groupBy("key").agg(
-        F.sum("c").alias("total"), F.max(F.struct("c", "part")).alias("top"), F.count("*").alias("parts"))
+    members = families(members, crowd)
+    sizes = part_sizes(members)
     few = F.ceil((F.col("total") - F.col("top.c")) / half).cast("int")
     many = F.ceil(F.col("top.c") / half).cast("int")
     small = F.col("total") <= crowd
@@ -325,11 +345,10 @@ def crowd_links(
     return arrow_pass(rows, run, "a bigint, b bigint").distinct()
 
 
-def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """Those of the written pairs whose texts are similar; `texts` is (rid, text binary)."""
-    found = packed_words(texts, pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct())
-    left = found.select(F.col("rid").alias("a"), F.col("h").alias("ha"))
-    right = found.select(F.col("rid").alias("b"), F.col("h").alias("hb"))
+def verified(pairs: DataFrame, words: DataFrame, settings: Settings) -> DataFrame:
+    """Those of the written pairs whose texts are similar; `words` is (rid, h) as `packed_words` gives it."""
+    left = words.select(F.col("rid").alias("a"), F.col("h").alias("ha"))
+    right = words.select(F.col("rid").alias("b"), F.col("h").alias("hb"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
@@ -417,39 +436,62 @@ def with_parts(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.drop("part").join(components(links), "id", "left").withColumn("part", F.coalesce("part", "id"))
 
 
+def several(members: DataFrame) -> DataFrame:
+    """The rows of `members` (key, id, n) in buckets that hold more than one text, each a part of its own."""
+    crowded = settle(members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "crowded")
+    shared = settle(members.join(crowded, "key", "left_semi").withColumn("part", F.col("id")), "members")
+    return in_place_of(crowded, shared)
+
+
 def linked(
     members: DataFrame, verify: Callable[[DataFrame], DataFrame], similarity: float,
     compare: Callable[[DataFrame], DataFrame], crowd: int,
 ) -> DataFrame:
-    """Verified links (a, b) between the ids that share a bucket; `members` is (key, id, n).
+    """Verified links (a, b) between the ids that share a bucket of the written table `members`, as `several` makes it.
 
-    `verify` gets a written table of pairs and returns those that hold. After two turns, and further ones while there
-    are several parts in a bucket of more than `crowd` and new links are found, `compare` gets the members of all
+    `verify` gets a written table of pairs and returns those that hold. The first turn takes a sixth of the buckets, the
+    second all. Further ones take those of more than `crowd` texts that still hold several parts, while a tenth of the
+    pairs of a turn are links: what goes on with fewer is settled by `compare` at less cost. It gets the members of all
     buckets, whatever their size, that still hold several parts, and returns the links between those parts.
     """
-    crowded = settle(members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "crowded")
-    members = settle(members.join(crowded, "key", "left_semi").withColumn("part", F.col("id")), "members")
     found = tried = None
-    turn = 0
-    while True:
-        pairs = settle_alone(lambda: untried(members, turn, tried, similarity), "pairs")
-        if pairs.isEmpty():
-            break
-        new = settle_alone(lambda: verify(pairs), "links")
-        any_new = not new.isEmpty()
-        found, tried = added(found, new, "links"), added(tried, pairs, "tried")
-        if any_new:
-            members = in_place_of(members, settle_alone(lambda: with_parts(members, found), "members"))
-        elif turn:
-            break
+
+    def take(some: DataFrame, turn: int) -> tuple[int, int]:
+        """Pairs tried in a turn, and links among them."""
+        nonlocal found, tried
+        pairs = settle_alone(lambda: untried(some, turn, tried, similarity), "pairs")
+        many = pairs.count()
+        new = settle_alone(lambda: verify(pairs), "links") if many else None
+        links = new.count() if many else 0
+        if many:
+            found, tried = added(found, new, "links"), added(tried, pairs, "tried")
+        return many, links
+
+    if take(members.where(F.pmod(F.xxhash64("key"), F.lit(FIRST_BUCKETS)) == 0), 0)[1]:
+        members = in_place_of(members, settle_alone(lambda: with_parts(members, found), "members"))
+    turn = 1
+    take(members, turn)
+
+    def still_open(rows: DataFrame, least: int) -> DataFrame:
+        """Rows of buckets of more than `least` texts that hold several parts, with the parts of now."""
+        if found is not None:
+            rows = settle(with_parts(rows, found), "parted")
+        keys = rows.groupBy("key").agg(F.count("*").alias("c"), F.min("part").alias("low"), F.max("part").alias("high"))
+        keys = settle(keys.where((F.col("low") != F.col("high")) & (F.col("c") > least)).select("key"), "open-buckets")
+        return rows.join(keys, "key", "left_semi")
+
+    members = in_place_of(members, settle_alone(lambda: still_open(members, 1), "members"))
+    large = settle_alone(lambda: still_open(members, crowd), "large")
+    more = not large.isEmpty()
+    while more:
         turn += 1
-        if turn > 1:
-            sizes = members.groupBy("key").agg(
-                F.count("*").alias("c"), F.min("part").alias("low"), F.max("part").alias("high"))
-            sizes = settle(sizes.where("low <> high").select("key", "c"), "open-buckets")
-            members = in_place_of(members, settle(members.join(sizes.select("key"), "key", "left_semi"), "members"))
-            if sizes.where(F.col("c") > crowd).isEmpty():
-                break
+        pairs, links = take(large, turn)
+        more = 0 < pairs <= 10 * links
+        if links:
+            large = in_place_of(large, settle_alone(lambda: still_open(large, crowd), "large"))
+    if turn > 1:
+        drop(large)
+        members = in_place_of(members, settle_alone(lambda: still_open(members, 1), "members"))
     # Stars see one center of a bucket a turn; what they left apart is compared in full.
     rest = settle_alone(lambda: compare(members), "links")
     return rest if found is None else settle(found.unionByName(rest).distinct(), "links")
@@ -468,16 +510,19 @@ def near_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     sketched = settle(sketches(texts, settings), "sketches")
     first = sketched.groupBy("text_hash").agg(F.min(F.struct("rid", "n", "keys")).alias("x"))
     distinct = settle(first.select("text_hash", F.col("x.rid").alias("id"), "x.n", "x.keys"), "distinct")
-    members = distinct.where("n > 0").select("id", "n", F.explode(F.array_distinct("keys")).alias("key"))
+    members = several(distinct.where("n > 0").select("id", "n", F.explode(F.array_distinct("keys")).alias("key")))
+    # Every comparison is of these.
+    words = packed_words(texts, members.select("id").distinct())
 
     def payload(ids: DataFrame) -> DataFrame:
-        return packed_words(texts, ids.select(F.col("id").alias("rid"))).withColumnRenamed("rid", "id")
+        return words.withColumnRenamed("rid", "id").join(ids, "id")
 
     def compare(open_rows: DataFrame) -> DataFrame:
         return crowd_links(open_rows, payload, settings.similarity, settings.crowd,
                            lambda a, b: similar(a, b, settings.similarity))
 
-    links = linked(members, lambda pairs: verified(pairs, texts, settings), settings.similarity, compare, settings.crowd)
+    links = linked(members, lambda pairs: verified(pairs, words, settings), settings.similarity, compare, settings.crowd)
+    drop(words)
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n_links"))
     parts = components(links)

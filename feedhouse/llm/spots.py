@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedhouse.llm.common import arrow_pass, documents, settle, shared_partitions
-from feedhouse.llm.order_minhash import components, crowd_links, linked
+from feedhouse.llm.order_minhash import components, crowd_links, linked, several
 from feedhouse.llm.repeats import with_rid
 
 CACHED_WORDS = 500_000
@@ -261,7 +261,8 @@ def spot_links(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFr
     def compare(open_rows: DataFrame) -> DataFrame:
         return crowd_links(open_rows, payload, least, settings.crowd, lambda a, b: pruned_jaccard(a, b, least) >= least)
 
-    links = linked(arrow_pass(distinct, keys, "key bigint, id bigint, n bigint"), verify, least, compare, settings.crowd)
+    members = several(arrow_pass(distinct, keys, "key bigint, id bigint, n bigint"))
+    links = linked(members, verify, least, compare, settings.crowd)
     return found.select("rid", "hash").join(ids, "hash").select("rid", "set_id"), links
 
 

@@ -8,6 +8,7 @@ import numpy as np
 from conftest_helpers import multiset, texts_of
 from conftest import prose
 from feedhouse.llm import order_minhash as omh
+from feedhouse.llm.common import marked
 
 
 def longest_common(a, b):
@@ -124,6 +125,47 @@ def test_large_buckets_are_compared_in_full(spark, tmp_path):
     assert near <= {r.doc_id for r in found if r.class_id in own_class}
 
 
+def test_buckets_of_one_class_are_dealt_once(spark):
+    """Ten tables hold the same class of 60 and 20 others: ten times the buckets are no more rows."""
+    rows = [(key, i, 0 if i < 60 else i) for key in range(10) for i in range(80)] + [(99, 500, 500), (99, 501, 501)]
+    frame = lambda x: spark.createDataFrame(x, "key long, id long, part long")
+    dealt = omh.dealt_crowds(frame(rows), 20).collect()
+    once = omh.dealt_crowds(frame(rows[:80] + rows[-2:]), 20).collect()
+    assert multiset((r.low, r.high, r.id) for r in dealt) == multiset((r.low, r.high, r.id) for r in once)
+    tasks = defaultdict(set)
+    for r in dealt:
+        tasks[r.key, r.low, r.high].add(r.id)
+    assert all(any({i, j} <= own for own in tasks.values()) for i in range(60, 80) for j in range(80) if i != j)
+
+
+def test_turns_do_not_grow_with_false_buckets(spark, tmp_path, monkeypatch):
+    """Texts that share a passage and are not alike: further turns link next to nothing, so few are made."""
+    draw = random.Random(3)
+    passage = prose(draw, 90)
+    rows = [(i, passage + " " + prose(draw, 60)) for i in range(300)]
+    rows += [(1000 + i, text + " end") for i, text in rows[::10]]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(str(tmp_path / "d"))
+    turns = []
+    pairs = omh.star_pairs
+    monkeypatch.setattr(omh, "star_pairs", lambda members, turn, least: turns.append(turn) or pairs(members, turn, least))
+    found = omh.near_duplicates(spark.read.parquet(str(tmp_path / "d")), omh.Settings(crowd=10)).collect()
+    class_of = {r.doc_id: r.class_id for r in found}
+    assert all(class_of[i] == class_of[1000 + i] for i in range(0, 300, 10)) and len(set(class_of.values())) == 300
+    assert len(turns) <= 3
+
+
+def test_wanted_texts_are_told_without_moving_any(spark, tmp_path):
+    rows = [(f << 40 | i, f"text {i}") for f in range(3) for i in (0, 1, 7, 8, 32767, 32768, 32769, 70_000)]
+    spark.createDataFrame(rows, "rid long, text string").write.parquet(str(tmp_path / "t"))
+    ids = [r for r, _ in rows[::3]] + [5, 1 << 41]
+    texts = spark.read.parquet(str(tmp_path / "t"))
+    told = marked(texts, spark.createDataFrame([(i,) for i in ids * 2], "a long"))
+    assert {r.rid for r in told.where("_marked").collect()} == set(ids) & {r for r, _ in rows}
+    assert sorted(r.rid for r in told.collect()) == sorted(r for r, _ in rows)
+    assert "hashpartitioning" not in told._jdf.queryExecution().executedPlan().toString()
+    assert not told.where("_marked is null").count()
+
+
 def test_awkward_documents(awkward):
     rows = omh.near_duplicates(awkward).collect()
     assert len(rows) == awkward.count()
