@@ -110,3 +110,12 @@ def test_row_numbers_do_not_follow_the_splits(spark, tmp_path):
     assert len(parts) == 2 and seen[0] == seen[1] and len(set(seen[0].values())) == 3000
     twice = repeats.with_rid(docs.crossJoin(spark.range(2)))
     assert twice.select("rid").distinct().count() == 6000
+
+
+def test_texts_without_spans_do_not_move(spark, tmp_path):
+    rows = [(i, f"text {i}") for i in range(50)]
+    spark.createDataFrame(rows, "rid long, text string").write.parquet(str(tmp_path / "t"))
+    spark.createDataFrame([(7, ["a"]), (9, ["b"])], "rid long, spans array<string>").write.parquet(str(tmp_path / "s"))
+    both = repeats._beside(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s")))
+    found = {r.rid: (r.text, r.spans) for r in both.collect()}
+    assert found == {i: (t, {7: ["a"], 9: ["b"]}.get(i)) for i, t in rows} and both.count() == 50
